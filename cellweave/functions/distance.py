@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _codes(values, width: int) -> np.ndarray:
@@ -49,7 +50,7 @@ def free_divergence_series(s1: pd.Series, s2: pd.Series) -> pd.Series:
     return pd.Series(out).astype("Int32")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _free_divergence(s1: pd.Series, s2: pd.Series) -> pd.Series:
     return free_divergence_series(s1, s2)
 

@@ -7,9 +7,10 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _normal_sf(z: pd.Series) -> pd.Series:
     return z.map(lambda v: None if pd.isna(v) else 0.5 * math.erfc(v / math.sqrt(2.0)))
 

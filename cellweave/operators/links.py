@@ -160,6 +160,7 @@ def background_peaks(peaks: DataFrame, n_cut: int = 100) -> DataFrame:
     all classes with product up to a bound are found, and the bound grows until none is short.
     """
     k = n_cut
+    peaks = cut(peaks.select("peak", "n_cells", "gc_content"))  # read many times below
     by_class = Window.partitionBy("n_cells", "gc_content").orderBy("peak")
     members = peaks.select("peak", "n_cells", "gc_content").withColumn(
         "_r", F.row_number().over(by_class)
@@ -281,7 +282,8 @@ def mutual_information(
     """(gene_id, peak, mi) in nats, from an equal-width histogram per axis.
 
     ``expr`` is (cell, gene_id, value) and ``acc`` (cell, peak) of open peaks; a missing entry is
-    0. Only stored entries are joined: the counts for absent ones follow from the margins.
+    0. Only stored entries are joined: the counts for absent ones follow from the margins. Both are
+    read several times, so pass stored or checkpointed tables.
     """
     spread = expr.groupBy("gene_id").agg(
         F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("*").alias("_stored")
@@ -381,7 +383,8 @@ def correct_fdr(links: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Benjamini-Hochberg over all links with positive z: adds pval_adj and accept.
 
     Works on distinct p-values with their counts. Ranks and the running minimum are taken in
-    blocks of p on a log scale plus a carry per block, so no window sees all links.
+    blocks of p on a log scale plus a carry per block, so no window sees all links. ``links`` is
+    read twice.
     """
     tested = links.where(F.col("zscore") > 0)
     levels = tested.groupBy("pval").agg(F.count("*").alias("_c"))

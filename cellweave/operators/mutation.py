@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellweave.functions.seq import cell_from_qname
 
@@ -41,7 +42,7 @@ def split_pileup(text: str, n: int) -> list[str] | None:
     return tokens if len(tokens) == n else None
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _tokens(text: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([split_pileup(t, int(k)) for t, k in zip(text, n)])
 

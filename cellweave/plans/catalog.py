@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.config import AssayConfig
-from cellweave.functions import seq as S
-from cellweave.functions.distance import free_divergence
-from cellweave.functions.stats import normal_sf
-from cellweave.operators import annotation, atac, barcode, circle, dge, intervals, links, molecules, mutation, report
+from cellweave.operators import annotation, atac, dge, intervals, molecules, report
 from cellweave.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]

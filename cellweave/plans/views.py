@@ -165,5 +165,136 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     """A view as a Spark DataFrame; only the tables it names are read."""
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in template}
-    text = template.replace('"end"', "`end`").replace("{secs}", _SECS["spark"])
+    text = template.replace('"end"', "`end`").replace('"offset"', "`offset`").replace("{secs}", _SECS["spark"])
     return spark.sql(text, **used)
+
+
+# ---- regulation: expression, accessibility, peaks -------------------------------------------
+
+_CELL = "cast(least(l_orderkey%400, l_partkey%400, (l_orderkey+l_linenumber*37)%400) as string)"
+
+EXPRESSION = f"""
+select {_CELL} as cell, cast(l_partkey%40 as string) as gene_id, cast(count(*) as double) as value
+from {{lineitem}} group by 1, 2
+"""
+_PEAK_AT = "cast((l_suppkey*8 + l_linenumber)*2500 as bigint)"
+ACCESSIBILITY = f"""
+select {_CELL} as cell,
+       'hg_chr1:' || cast({_PEAK_AT} as string) || '-' || cast({_PEAK_AT} + 500 as string) as peak,
+       cast(count(*) as bigint) as value
+from {{lineitem}} group by 1, 2
+"""
+LINK_GENE = """
+select cast(g as string) as gene_id, 'name' || cast(g as string) as gene_name, 'hg_chr1' as chrom,
+       case when g%2=0 then '+' else '-' end as strand, cast(g*50000 as bigint) as start,
+       cast(g*50000 + 3000 as bigint) as "end"
+from (select distinct l_partkey%40 as g from {lineitem}) d
+"""
+# Contig text in chunks of 64 bases, one per order.
+CONTIG_TEXT = f"""
+select 'chr1' as chrom, o_orderkey*64 as "offset",
+       {dna("'s' || cast(o_orderkey as string)")} || {dna("'t' || cast(o_orderkey as string)")} as seq
+from {{orders}}
+"""
+GC_PEAK = """
+select 'p' || cast(c_custkey as string) as peak, 'chr1' as chrom, c_custkey*97 as start, c_custkey*97 + 150 as "end"
+from {customer}
+"""
+
+# ---- k-mer reference and reads --------------------------------------------------------------
+
+FASTA = f"""
+select 'rna' || cast(c_custkey as string) as name,
+       {dna("'f' || cast(c_custkey as string)")} || {dna("'g' || cast(c_custkey as string)")} as seq
+from {{customer}}
+"""
+RNA_READ = f"""
+select ordinal, case when o_orderstatus = 'F' then s when o_orderstatus = 'O' then reverse(translate(s, 'ACGT', 'TGCA'))
+                     else substring(r, 1, 25 + cast(ordinal%8 as int)) || s end as seq
+from (select o_orderkey as ordinal, o_orderstatus,
+             substring({dna("'f' || cast(o_custkey as string)")} || {dna("'g' || cast(o_custkey as string)")}, cast(1 + o_orderkey%9 as int), 50) as s,
+             {dna("'z' || cast(o_orderkey as string)")} as r
+      from {{orders}}) x
+"""
+
+# ---- pileup ---------------------------------------------------------------------------------
+
+_PILE_READS = 12
+_ALPHABET = ".,.,.,..ACGTac*>"
+
+
+def _pile_base(i: int) -> str:
+    return f"translate(substring(h,{i},1),'0123456789abcdef','{_ALPHABET}')"
+
+
+def _pile_cell(i: int) -> str:
+    return f"('c' || substring(h,{i + 16},1))"
+
+
+def _pile_token(i: int) -> str:
+    """Raw pileup text of read i; some reads carry start, end or indel marks."""
+    base = _pile_base(i)
+    return {1: f"('^I' || {base})", 3: f"({base} || '+2ac')", 6: f"({base} || '$')", 8: f"({base} || '-11gattacagatt')"}.get(i, base)
+
+
+def pileup(salt: str) -> str:
+    """Twelve reads per site, eight at pending orders; urgent orders end in an unknown mark."""
+    def joined(parts):
+        head = " || ".join(parts[:8])
+        tail = " || ".join(parts[8:])
+        return head, tail
+
+    m1, m2 = joined([_pile_token(i) for i in range(1, _PILE_READS + 1)])
+    cells = [f"{_pile_cell(i)} || ':u{i}'" for i in range(1, _PILE_READS + 1)]
+    n1 = " || ',' || ".join(cells[:8])
+    n2 = " || ',' || ".join(cells[8:])
+    return f"""
+select chrom, pos, ref, depth, {m1} || case when depth = 12 then {m2} else '' end
+         || case when o_orderpriority = '1-URGENT' then '!' else '' end as match,
+       substring('IIIIIIIIIIII', 1, cast(depth as int)) as qual,
+       {n1} || case when depth = 12 then ',' || {n2} else '' end as names
+from (select 'chr' || o_orderstatus as chrom, o_orderkey + 1 as pos, o_orderpriority,
+             substring({dna("'r' || cast(o_orderkey as string)")}, 1, 1) as ref,
+             case when o_orderstatus = 'P' then 8 else 12 end as depth,
+             md5('{salt}' || cast(o_orderkey as string)) as h
+      from {{orders}}) p
+"""
+
+
+def pileup_rows_oracle(salt: str) -> str:
+    """The same reads as DuckDB rows, written from the read list and not by parsing the text."""
+    def token(i):
+        up = f"replace(upper({_pile_base(i)}), ',', '.')"
+        return {1: f"('^' || {up})", 3: f"({up} || '+AC')", 6: f"({up} || '$')", 8: f"({up} || '-GATTACAGATT')"}.get(i, up)
+
+    items = ", ".join(f"{{'t': {token(i)}, 'c': {_pile_cell(i)}}}" for i in range(1, _PILE_READS + 1))
+    return f"""select chrom, pos, r.c as cell,
+      case when r.t in ('.', '^.', '.$') then ref when r.t = '>' then 'S' when r.t = '*' then 'D' else r.t end as allele
+    from (select chrom, pos, ref, unnest(list_slice([{items}], 1, depth)) as r
+          from (select 'chr' || o_orderstatus as chrom, o_orderkey + 1 as pos,
+                       substring({dna("'r' || cast(o_orderkey as string)")}, 1, 1) as ref,
+                       case when o_orderstatus = 'P' then 8 else 12 end as depth,
+                       md5('{salt}' || cast(o_orderkey as string)) as h
+                from orders where o_orderpriority <> '1-URGENT') p) q"""
+
+
+# ---- split reads that close circles ---------------------------------------------------------
+
+_SPAN = "(l_orderkey*13 + l_linenumber*7)%5000"
+CIRCLE = f"""
+select *, chrom1 || '\t' || cast(start1 as string) || '\t' || cast(end1 as string) || '\t' || name || '\t.\t.\t' || strand1 || '\t' || cigar1 || '\t' || order1 || '\t.\t'
+       || chrom2 || '\t' || cast(start2 as string) || '\t' || cast(end2 as string) || '\t' || name || '\t.\t.\t' || strand2 || '\t' || '20M30S' || '\t' || order2 || '\t.\t'
+       || chrom1 || '\t' || cast(start3 as string) || '\t' || cast(end3 as string) || '\t' || name || '\t.\t.\t' || strand3 || '\t' || '50M' || '\tx\t.' as value
+from (select 'chr' || l_returnflag as chrom1, 'chr' || case when l_linenumber = 7 then 'X' else l_returnflag end as chrom2,
+             a as start1, a + 60 as end1, b as start2, b + 60 as end2,
+             least(a, b) + l_partkey%40 - 5 as start3, greatest(a, b) + 20 + l_suppkey%45 as end3,
+             cast(l_suppkey as string) || ':' || umi || ':' || cast(l_orderkey as string) as name, umi,
+             cast(l_suppkey as string) as cell,
+             case when l_partkey%2=0 then '+' else '-' end as strand1,
+             case when (l_partkey + case when l_quantity > 45 then 1 else 0 end)%2=0 then '+' else '-' end as strand2,
+             case when (l_partkey + case when l_quantity > 5 then 1 else 0 end)%2=0 then '+' else '-' end as strand3,
+             case when l_discount > 0.09 then '10M5I10M2D25M' else '30S20M' end as cigar1,
+             case when a > b then 'first' else 'second' end as order1, case when a > b then 'second' else 'first' end as order2
+      from (select *, cast({_SPAN} as bigint) as a, cast((l_suppkey*17 + l_partkey)%5000 as bigint) as b,
+                   substring({dna("cast(l_orderkey%24 as string)")},1,4) as umi from {{lineitem}}) i) w
+"""
