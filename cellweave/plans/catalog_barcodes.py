@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import seq as S
 from cellweave.functions.distance import free_divergence
+from cellweave.lineage import cut
 from cellweave.operators import barcode, report
 from cellweave.plans import views as V
 from cellweave.plans.catalog import ALN, CFG, RDP, SBC, WL1, WL2, WL3, _r, _register
@@ -98,7 +99,7 @@ def _whitelists(spark, sf):
 def _sliced(spark, sf, max_d=1):
     reads = V.view(spark, sf, V.READ_PAIR)
     wl1 = V.view(spark, sf, V.WHITELIST1)
-    return barcode.slice_shifted(reads, barcode.prefix_map(wl1, 8, max_d), CFG)
+    return barcode.slice_shifted(reads, cut(barcode.prefix_map(wl1, 8, max_d)), CFG)
 
 
 def _triples(spark, sf):
@@ -116,7 +117,7 @@ def _sample_size(sf):
 
 def _corrected(spark, sf):
     wls = _whitelists(spark, sf)
-    maps = [barcode.neighbour_map(w, d) for w, d in zip(wls, CFG.bc_edit_dist)]
+    maps = [cut(barcode.neighbour_map(w, d)) for w, d in zip(wls, CFG.bc_edit_dist)]
     return barcode.correct_barcodes(_sliced(spark, sf), wls, maps, _triples(spark, sf))
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.stats import normal_sf
-from cellweave.lineage import cut
 from cellweave.operators import annotation, circle, links, mutation
+from cellweave.plans import regulatory
 from cellweave.plans import views as V
 from cellweave.plans.catalog import ALN, _r, _register
 from cellweave.plans.views import dna
@@ -158,32 +157,21 @@ _MI = f"""cc as ({_CELLS}), ge as (select * from ({_filtered_sql(EXP, 'gene_id',
                     sum(n) over (partition by gene_id, peak, y) as ny from jt) w group by 1, 2)"""
 
 
-def _link_inputs(spark, sf):
-    expr, acc = cut(_expr(spark, sf)), cut(_acc(spark, sf))
-    info = links.feature_cells(acc, "peak").withColumn("gc_content", F.expr(_GC).cast("double"))
-    background = links.background_peaks(info, RUN)
-    cells = links.common_cells(expr, acc)
-    peaks = links.peak_table(acc.select("peak").distinct())
-    near = links.peaks_near_genes(links.gene_tss(V.view(spark, sf, V.LINK_GENE)), peaks, WINDOW_KB)
-    expr = cut(expr.join(cells, "cell", "left_semi"))
-    acc = cut(acc.join(cells, "cell", "left_semi").select("cell", "peak"))
-    near = near.join(expr.select("gene_id").distinct(), "gene_id", "left_semi")
-    near = cut(near.join(acc.select("peak").distinct(), "peak", "left_semi"))
-    n = expr.agg(F.count_distinct("cell").alias("n")).scalar()
-    return near, background, expr, acc, n
+def _found(spark, sf):
+    gc = V.view(spark, sf, V.ACCESSIBILITY).select("peak").distinct().withColumn("gc_content", F.expr(_GC).cast("double"))
+    return regulatory.associate(
+        V.view(spark, sf, V.EXPRESSION), V.view(spark, sf, V.ACCESSIBILITY), V.view(spark, sf, V.LINK_GENE), gc,
+        WINDOW_KB, RUN, MIN_CELLS, MIN_GENES, MIN_PEAKS,
+    )
 
 
 def _links(spark, sf):
-    near, background, expr, acc, n = _link_inputs(spark, sf)
-    mi = cut(links.mutual_information(links.background_pairs(near, background), expr, acc, n))
-    return cut(links.link_statistics(mi, near, background))
+    return _found(spark, sf)["links"]
 
 
 @_register("mutual_information", f"with {_MI} select gene_id, peak, round(mi, 8) as mi from mi")
 def mutual_information(spark, sf):
-    near, background, expr, acc, n = _link_inputs(spark, sf)
-    out = links.mutual_information(links.background_pairs(near, background), expr, acc, n)
-    return out.withColumn("mi", _r("mi", 8))
+    return _found(spark, sf)["mi"].withColumn("mi", _r("mi", 8))
 
 
 _LINKS = f"""{_MI}, st as (select nr.gene_id, nr.peak, avg(b.mi) as m, stddev_pop(b.mi) as s from nr join bg using (peak)
@@ -202,8 +190,7 @@ def link_zscores(spark, sf):
 @_register("link_pvalues")
 def link_pvalues(spark, sf):
     """The whole association: z, upper tail, FDR, gene name and TSS. The tail has no SQL form."""
-    out = links.correct_fdr(_links(spark, sf))
-    return links.merge_links(out, V.view(spark, sf, V.LINK_GENE))
+    return regulatory.finish(_links(spark, sf), V.view(spark, sf, V.LINK_GENE))
 
 
 # The one-sided 5% point of z replaces the tail test.
@@ -215,7 +202,7 @@ def links_per_gene(spark, sf):
     return links.links_per_gene(_links(spark, sf))
 
 
-_PV = """select l_orderkey as id, l_linenumber as line, l_quantity - 25 as zscore, (l_partkey % 997 + 1) * (l_suppkey % 89 + 1) / 180000.0 as pval from {lineitem}"""
+_PV = """select l_orderkey as id, l_linenumber as line, l_quantity - 25 as zscore, (l_partkey % 997 + 1) * (l_suppkey % 89 + 1) / 180000e0 as pval from {lineitem}"""
 
 
 @_register(

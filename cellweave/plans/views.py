@@ -238,7 +238,7 @@ def _pile_token(i: int) -> str:
 
 
 def pileup(salt: str) -> str:
-    """Twelve reads per site, eight at pending orders; urgent orders end in an unknown mark."""
+    """Twelve reads per site, eight at pending orders; urgent orders start with an unknown mark."""
     def joined(parts):
         head = " || ".join(parts[:8])
         tail = " || ".join(parts[8:])
@@ -249,8 +249,7 @@ def pileup(salt: str) -> str:
     n1 = " || ',' || ".join(cells[:8])
     n2 = " || ',' || ".join(cells[8:])
     return f"""
-select chrom, pos, ref, depth, {m1} || case when depth = 12 then {m2} else '' end
-         || case when o_orderpriority = '1-URGENT' then '!' else '' end as match,
+select chrom, pos, ref, depth, case when o_orderpriority = '1-URGENT' then '!' else '' end || {m1} || case when depth = 12 then {m2} else '' end as match,
        substring('IIIIIIIIIIII', 1, cast(depth as int)) as qual,
        {n1} || case when depth = 12 then ',' || {n2} else '' end as names
 from (select 'chr' || o_orderstatus as chrom, o_orderkey + 1 as pos, o_orderpriority,
