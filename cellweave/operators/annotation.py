@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.seq import genome_from_contig
-from cellweave.operators.intervals import bin_of, clip_to_bins, explode_bins, point_join, union_within_bins
+from cellweave.operators.intervals import bin_of, clip_to_bins, point_join, union_within_bins
 
 GENE_BIN = 10_000
 EXON_BIN = 1_000
