@@ -50,7 +50,7 @@ def preprocess(spark, a):
     # One row per library: a list of file names, not data.
     rows = tables.read_raw_list(spark, a.raw_list).orderBy("ordinal").collect()
     libraries = {r.lib_id: tables.read_fastq_pair(spark, r.fq1, r.fq2) for r in rows}
-    tagged = demultiplex.preprocess(libraries, whitelists, samples, cfg)
+    tagged = demultiplex.preprocess(libraries, whitelists, samples, cfg, work_dir=f"{a.out}/trimmed")
     tagged.write.mode("overwrite").partitionBy("sample", "tag").parquet(f"{a.out}/split_sample")
     if a.fastq:
         sinks.write_fastq(spark.read.parquet(f"{a.out}/split_sample"), f"{a.out}/fastq")

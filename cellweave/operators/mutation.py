@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -42,14 +43,33 @@ def split_pileup(text: str, n: int) -> list[str] | None:
     return tokens if len(tokens) == n else None
 
 
+def pileup_tokens(text: Column, n: Column) -> Column:
+    """Alleles of a pileup column; null when the row cannot be parsed to ``n`` reads."""
+    return _tokens(text, n)
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _tokens(text: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([split_pileup(t, int(k)) for t, k in zip(text, n)])
 
 
-def pileup_tokens(text: Column, n: Column) -> Column:
-    """Alleles of a pileup column; null when the row cannot be parsed to ``n`` reads."""
-    return _tokens(text, n)
+def supported(alleles: list[str], min_reads: int, min_alleles: int) -> list[str] | None:
+    """Alleles of one site with more than ``min_reads`` reads; None when the site shows too few.
+
+    Skips do not count towards the alleles with at least ``min_reads`` reads.
+    """
+    tally = Counter(alleles)
+    strong = sum(1 for a, c in tally.items() if a != "S" and c >= min_reads)
+    kept = [a for a, c in tally.items() if c > min_reads]
+    return kept if strong >= min_alleles and len(kept) >= min_alleles else None
+
+
+def _supported(alleles: Column, min_reads: int, min_alleles: int) -> Column:
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def kept(a: pd.Series) -> pd.Series:
+        return pd.Series([supported(list(x), min_reads, min_alleles) for x in a])
+
+    return kept(alleles)
 
 
 def normalise_allele(token: Column, ref: Column, strip_marks: bool = False) -> Column:
@@ -66,49 +86,57 @@ def normalise_allele(token: Column, ref: Column, strip_marks: bool = False) -> C
     )
 
 
-def pileup_alleles(pileup: DataFrame, min_depth: int, strip_marks: bool = False) -> DataFrame:
-    """(chrom, pos, cell, allele): one row per read over sites deep enough.
+def pileup_sites(pileup: DataFrame, min_depth: int, strip_marks: bool = False) -> DataFrame:
+    """(chrom, pos, alleles, names): per site deep enough two arrays with one entry per read.
 
     Strands are merged first. Rows that do not parse are dropped alone. A site holds at most as
     many reads as the pileup depth limit, so the arrays are bounded.
     """
     text = F.replace(F.upper("match"), F.lit(","), F.lit("."))
-    deep = pileup.where(F.col("depth") >= min_depth)
-    parsed = deep.select(
-        "chrom", "pos", "ref",
-        pileup_tokens(text, F.length("qual")).alias("tokens"),
-        F.split("names", ",").alias("names"),
+    parsed = pileup.where(F.col("depth") >= min_depth).withColumn(
+        "tokens", pileup_tokens(text, F.length("qual"))
     ).where("tokens is not null")
-    each = parsed.select("chrom", "pos", "ref", F.explode(F.arrays_zip("tokens", "names")).alias("r"))
-    return each.where("r.tokens is not null and r.names is not null").select(
+    return parsed.select(
         "chrom", "pos",
-        F.split_part("r.names", F.lit(":"), F.lit(1)).alias("cell"),
-        normalise_allele(F.col("r.tokens"), F.col("ref"), strip_marks).alias("allele"),
+        F.transform("tokens", lambda t: normalise_allele(t, F.col("ref"), strip_marks)).alias("alleles"),
+        F.split("names", ",").alias("names"),
     )
 
 
+def _per_read(sites: DataFrame, *keep: str) -> DataFrame:
+    each = sites.select("chrom", "pos", *keep, F.inline(F.arrays_zip("alleles", "names")))
+    return each.where("alleles is not null and names is not null").select(
+        "chrom", "pos", *keep,
+        F.split_part("names", F.lit(":"), F.lit(1)).alias("cell"),
+        F.col("alleles").alias("allele"),
+    )
+
+
+def pileup_alleles(pileup: DataFrame, min_depth: int, strip_marks: bool = False) -> DataFrame:
+    """(chrom, pos, cell, allele): one row per read."""
+    return _per_read(pileup_sites(pileup, min_depth, strip_marks))
+
+
 def unparsed_rows(pileup: DataFrame) -> DataFrame:
     text = F.replace(F.upper("match"), F.lit(","), F.lit("."))
     return pileup.where(pileup_tokens(text, F.length("qual")).isNull()).agg(F.count("*").alias("n"))
 
 
-def allele_counts(alleles: DataFrame, min_reads: int, min_alleles: int = 2) -> DataFrame:
+def allele_counts(sites: DataFrame, min_reads: int, min_alleles: int = 2) -> DataFrame:
     """(chrom, pos, cell, allele, n) at the sites that show enough well-supported alleles.
 
     A site needs ``min_alleles`` alleles, skips aside, with at least ``min_reads`` reads; of it
     the alleles with more than ``min_reads`` reads stay, and again ``min_alleles`` of them.
+    ``sites`` has one row per site, so all this is settled within the row; only the reads of kept
+    alleles at kept sites are shuffled.
     """
-    per_cell = alleles.groupBy("chrom", "pos", "cell", "allele").agg(F.count("*").alias("n"))
-    totals = per_cell.groupBy("chrom", "pos", "allele").agg(F.sum("n").alias("reads"))
-    strong = (F.col("allele") != "S") & (F.col("reads") >= min_reads)
-    sites = totals.groupBy("chrom", "pos").agg(
-        F.count_if(strong).alias("_strong"),
-        F.count_if(F.col("reads") > min_reads).alias("_kept"),
-    ).where((F.col("_strong") >= min_alleles) & (F.col("_kept") >= min_alleles))
-    kept = totals.where(F.col("reads") > min_reads).join(
-        sites.select("chrom", "pos"), ["chrom", "pos"], "left_semi"
+    chosen = sites.withColumn("kept", _supported(F.col("alleles"), min_reads, min_alleles))
+    each = _per_read(chosen.where("kept is not null"), "kept")
+    return (
+        each.where(F.array_contains("kept", F.col("allele")))
+        .groupBy("chrom", "pos", "cell", "allele")
+        .agg(F.count("*").alias("n"))
     )
-    return per_cell.join(kept.select("chrom", "pos", "allele"), ["chrom", "pos", "allele"], "left_semi")
 
 
 def site_bed(counts: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.config import AssayConfig
+from cellweave.lineage import cut
 from cellweave.operators import annotation, atac, dge, intervals, molecules, report
 from cellweave.plans import views as V
 
@@ -27,6 +28,11 @@ def _register(name: str, sql: str | None = None):
     return add
 
 
+def _stored(spark: SparkSession, sf: str, template: str) -> DataFrame:
+    """A view written once, for queries that read it in several branches."""
+    return cut(V.view(spark, sf, template))
+
+
 def _r(col, digits: int = 6):
     return F.round(col, digits)
 
@@ -223,7 +229,7 @@ def knee_curve(spark, sf):
         round(max(threshold), 4) as read_threshold from tot, knee where n > threshold""",
 )
 def knee_summary(spark, sf):
-    totals = dge.cell_totals(V.view(spark, sf, V.MOLECULE))
+    totals = dge.cell_totals(_stored(spark, sf, V.MOLECULE))
     out = dge.knee_summary(totals, dge.read_threshold(totals, cutoff=10, try_iter=20, window=100))
     return out.withColumn("read_threshold", _r("read_threshold", 4))
 
@@ -235,7 +241,7 @@ def knee_summary(spark, sf):
 )
 def called_cell_table(spark, sf):
     """The flagship: molecules to cell calls with species, depth and gene count."""
-    mols = V.view(spark, sf, V.MOLECULE)
+    mols = _stored(spark, sf, V.MOLECULE)
     knee = dge.read_threshold(dge.cell_totals(mols), cutoff=10, try_iter=20, window=100)
     return dge.called_cells(dge.cell_metadata(dge.count_matrix(mols, 10)), knee)
 
@@ -268,7 +274,7 @@ def genome_shares(spark, sf):
     join per on per.cell_barcode = a.cell_barcode and per.genome = a.genome group by a.genome""",
 )
 def species_summary(spark, sf):
-    mols = V.view(spark, sf, V.MOLECULE)
+    mols = _stored(spark, sf, V.MOLECULE)
     matrix = dge.count_matrix(mols, 10)
     out = report.species_summary(mols, matrix, dge.cell_metadata(matrix))
     return out.withColumns(
@@ -288,7 +294,7 @@ def species_summary(spark, sf):
       round((select sum(value) from x) / count(*), 9) as fraction_reads_in_cells from m""",
 )
 def run_summary(spark, sf):
-    mols = V.view(spark, sf, V.MOLECULE)
+    mols = _stored(spark, sf, V.MOLECULE)
     totals = molecules.molecule_totals(mols)
     n_reads = V.view(spark, sf, V.READ_HIT).agg(F.count("*").alias("n"))
     out = report.run_summary(
@@ -320,7 +326,7 @@ _UNIFORM = "((('0x' || substring(md5(concat_ws('|', cell_barcode, gene, umi, '0'
     union all select genome, 0, 0.0, 0.0 from d""",
 )
 def subsample_curves(spark, sf):
-    mols = V.view(spark, sf, V.MOLECULE)
+    mols = _stored(spark, sf, V.MOLECULE)
     n_reads = V.view(spark, sf, V.READ_HIT).agg(F.count("*").alias("n"))
     cells = dge.cell_metadata(dge.count_matrix(mols, 10))
     return report.subsample_curves(mols, cells, n_reads.scalar(), step=50)

@@ -8,6 +8,7 @@ from cellweave.functions import seq as S
 from cellweave.functions.distance import free_divergence
 from cellweave.lineage import cut
 from cellweave.operators import barcode, report
+from cellweave.plans import demultiplex
 from cellweave.plans import views as V
 from cellweave.plans.catalog import ALN, CFG, RDP, SBC, WL1, WL2, WL3, _r, _register
 from cellweave.plans.views import dna
@@ -99,7 +100,7 @@ def _whitelists(spark, sf):
 def _sliced(spark, sf, max_d=1):
     reads = V.view(spark, sf, V.READ_PAIR)
     wl1 = V.view(spark, sf, V.WHITELIST1)
-    return barcode.slice_shifted(reads, cut(barcode.prefix_map(wl1, 8, max_d)), CFG)
+    return barcode.slice_shifted(reads, barcode.prefix_map(wl1, 8, max_d), CFG)
 
 
 def _triples(spark, sf):
@@ -115,14 +116,19 @@ def _sample_size(sf):
     return pq.read_metadata(f"{sf}/orders.parquet").num_rows // 3
 
 
+def _parsed(spark, sf):
+    """(sliced, corrected, tagged) of the reads, stored once as a trimmed library would be."""
+    index = demultiplex.build_index(_whitelists(spark, sf), CFG)
+    reads = cut(V.view(spark, sf, V.READ_PAIR))
+    return demultiplex.parse_library(reads, index, CFG, "LIB1.", _sample_size(sf))
+
+
 def _corrected(spark, sf):
-    wls = _whitelists(spark, sf)
-    maps = [cut(barcode.neighbour_map(w, d)) for w, d in zip(wls, CFG.bc_edit_dist)]
-    return barcode.correct_barcodes(_sliced(spark, sf), wls, maps, _triples(spark, sf))
+    return _parsed(spark, sf)[1]
 
 
 def _tagged(spark, sf):
-    return barcode.tag_and_clip(_corrected(spark, sf), CFG, "LIB1.")
+    return _parsed(spark, sf)[2]
 
 
 _WLS = f"select substring({dna('cast(s_suppkey as string)')}, 1, 6) as barcode from supplier group by 1"
@@ -252,8 +258,8 @@ def packed_names(spark, sf):
       {{'key': '--ATAC_valid', 'value': a / n}}, {{'key': '--RNA_valid', 'value': r / n}}, {{'key': '--Undetermined_valid', 'value': w / n}}], recursive := true) from n, t)""",
 )
 def barcode_run_stats(spark, sf):
-    corrected = _corrected(spark, sf)
-    stats = barcode.run_stats(corrected, barcode.tag_and_clip(corrected, CFG, "LIB1."))
+    _, corrected, tagged = _parsed(spark, sf)
+    stats = barcode.run_stats(corrected, tagged)
     return stats.withColumn("value", _r("value", 9))
 
 

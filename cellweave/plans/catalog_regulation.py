@@ -265,6 +265,10 @@ def _alleles(spark, sf, salt):
     return mutation.pileup_alleles(V.view(spark, sf, V.pileup(salt)), 8)
 
 
+def _sites(spark, sf, salt):
+    return mutation.pileup_sites(V.view(spark, sf, V.pileup(salt)), 8)
+
+
 def _sites_sql(rows: str, k: int) -> str:
     return f"""select chrom, pos, cell, allele, cast(count(*) as bigint) as n from ({rows}) r
       where (chrom, pos, allele) in (select (chrom, pos, allele) from (
@@ -288,12 +292,12 @@ def unparsed_pileup_rows(spark, sf):
 
 @_register("allele_counts", _sites_sql(_TUM, 2))
 def allele_counts(spark, sf):
-    return mutation.allele_counts(_alleles(spark, sf, "tumor"), MIN_READS, 2)
+    return mutation.allele_counts(_sites(spark, sf, "tumor"), MIN_READS, 2)
 
 
 @_register("allele_counts_all", _sites_sql(_NOR, 1))
 def allele_counts_all(spark, sf):
-    return mutation.allele_counts(_alleles(spark, sf, "normal"), MIN_READS, 1)
+    return mutation.allele_counts(_sites(spark, sf, "normal"), MIN_READS, 1)
 
 
 @_register(
@@ -301,7 +305,7 @@ def allele_counts_all(spark, sf):
     f'select distinct chrom, pos - 1 as start, pos as "end" from ({_sites_sql(_TUM, 2)}) s',
 )
 def mutation_sites(spark, sf):
-    return mutation.site_bed(mutation.allele_counts(_alleles(spark, sf, "tumor"), MIN_READS, 2))
+    return mutation.site_bed(mutation.allele_counts(_sites(spark, sf, "tumor"), MIN_READS, 2))
 
 
 @_register(
@@ -311,8 +315,8 @@ def mutation_sites(spark, sf):
     select t.*, w.wild_type from ({_sites_sql(_TUM, 2)}) t join w using (chrom, pos) where t.allele <> w.wild_type""",
 )
 def mutated_alleles(spark, sf):
-    tumor = mutation.allele_counts(_alleles(spark, sf, "tumor"), MIN_READS, 2)
-    normal = mutation.allele_counts(_alleles(spark, sf, "normal"), MIN_READS, 1)
+    tumor = mutation.allele_counts(_sites(spark, sf, "tumor"), MIN_READS, 2)
+    normal = mutation.allele_counts(_sites(spark, sf, "normal"), MIN_READS, 1)
     return mutation.mutated_alleles(tumor, normal)
 
 

@@ -39,7 +39,10 @@ def _slice(reads: DataFrame, prefixes: DataFrame | None, cfg: AssayConfig) -> Da
 def parse_library(
     reads: DataFrame, index: BarcodeIndex, cfg: AssayConfig, lib_id: str, n_sample: int = 1_000_000
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sliced, corrected, tagged) reads of one library of trimmed pairs with an ordinal."""
+    """(sliced, corrected, tagged) reads of one library of trimmed pairs with an ordinal.
+
+    ``reads`` is scanned for the sample, the perfect reads and the others: pass a stored table.
+    """
     sample = barcode.systematic_sample(reads, n_sample)
     triples = barcode.perfect_triples(_slice(sample, index.exact_prefixes, cfg), index.whitelists)
     sliced = _slice(reads, index.prefixes, cfg)
@@ -47,15 +50,26 @@ def parse_library(
     return sliced, corrected, barcode.tag_and_clip(corrected, cfg, lib_id)
 
 
+def _store(reads: DataFrame, lib_id: str, work_dir: str | None) -> DataFrame:
+    if work_dir is None:
+        return cut(reads)
+    path = f"{work_dir}/{lib_id}"
+    reads.write.mode("overwrite").parquet(path)
+    return reads.sparkSession.read.parquet(path)
+
+
 def preprocess(
     libraries: dict[str, DataFrame], whitelists: Sequence[DataFrame], sample_bc: DataFrame,
-    cfg: AssayConfig, trimmed: bool = False,
+    cfg: AssayConfig, trimmed: bool = False, work_dir: str | None = None,
 ) -> DataFrame:
-    """Tagged reads of all libraries with their sample; key of ``libraries`` is the library id."""
+    """Tagged reads of all libraries with their sample; key of ``libraries`` is the library id.
+
+    Trimmed reads are written once, as parquet under ``work_dir`` or else as a checkpoint.
+    """
     index = build_index(whitelists, cfg)
     out = None
     for lib_id, reads in libraries.items():
-        kept = reads if trimmed else trim.trim_library(reads, cfg)
+        kept = reads if trimmed else _store(trim.trim_library(reads, cfg), lib_id, work_dir)
         tagged = parse_library(kept, index, cfg, lib_id)[2].withColumn("lib_id", F.lit(lib_id))
         out = tagged if out is None else out.unionByName(tagged)
     return barcode.split_modalities(barcode.with_sample(out, sample_bc), cfg)

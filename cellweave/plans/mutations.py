@@ -13,10 +13,10 @@ def call_mutations(
     normal_depth: int = 3, normal_reads: int = 3,
 ) -> dict[str, DataFrame]:
     """Tumor sites with two supported alleles, normal counts there, and alleles unlike the wild type."""
-    found = cut(mutation.allele_counts(mutation.pileup_alleles(tumor, tumor_depth), tumor_reads, 2))
+    found = cut(mutation.allele_counts(mutation.pileup_sites(tumor, tumor_depth), tumor_reads, 2))
     sites = found.select("chrom", "pos").distinct()
     at_sites = normal.join(sites, ["chrom", "pos"], "left_semi")
-    background = mutation.allele_counts(mutation.pileup_alleles(at_sites, normal_depth), normal_reads, 1)
+    background = mutation.allele_counts(mutation.pileup_sites(at_sites, normal_depth), normal_reads, 1)
     return {
         "tumor": found,
         "sites": mutation.site_bed(found),
