@@ -85,6 +85,15 @@ def postprocess_(spark, a):
     postprocess.region_matrix(qc["reads"], regions, f"{a.out}/{a.countby}", a.countby == "peak")
 
 
+def rereport(spark, a):
+    """Repeat the expression report on stored molecules with other knee settings."""
+    genes, _ = _reference(spark, a.genome_dir)
+    rep = postprocess.expression_report(
+        spark.read.parquet(a.molecules), genes, a.datatype == "RNA", a.frac_low, a.frac_high, a.cutoff, a.try_iter, a.window
+    )
+    postprocess.write_report(rep, a.out)
+
+
 def link(spark, a):
     genes = spark.read.parquet(f"{a.genome_dir}/genes")
     expr, acc = spark.read.parquet(a.expression), spark.read.parquet(a.accessibility)
@@ -149,6 +158,10 @@ def parser() -> argparse.ArgumentParser:
         cutoff=10.0, try_iter=20, window=100, tssref=None, refbed=None, genome_size=None, bin=2000, countby="bin",
     )
     m.add_argument("--datatype", choices=["RNA", "ATAC"], required=True)
+    m = mode(
+        "report", rereport, "molecules", "genome_dir", frac_low=0.3, frac_high=0.925, cutoff=10.0, try_iter=20, window=100
+    )
+    m.add_argument("--datatype", choices=["RNA", "ATAC"], required=True)
     mode("links", link, "expression", "accessibility", "genome_dir", "fasta", window_kb=500)
     mode("mutations", mutate, "tumor", "normal")
     mode("clusters", cluster, "alignments+", "clusters", suffix=False)

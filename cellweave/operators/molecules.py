@@ -91,15 +91,16 @@ def collapse_group(umis: list[str], counts: list[int]) -> list[int]:
     a UMI folded away ends with 0. Masking one position at a time finds neighbours without
     comparing pairs: the members of a masked bucket differ in that position only.
     """
-    buckets: dict[tuple[int, str], list[int]] = {}
-    for idx, umi in enumerate(umis):
-        for pos in range(len(umi)):
-            buckets.setdefault((pos, umi[:pos] + umi[pos + 1 :]), []).append(idx)
     near: dict[int, list[int]] = {}
-    for members in buckets.values():
-        if len(members) > 1:
-            for idx in members:
-                near.setdefault(idx, []).extend(m for m in members if m != idx)
+    for pos in range(max(map(len, umis))):
+        buckets: dict[str, list[int]] = {}  # one position at a time keeps large groups small
+        for idx, umi in enumerate(umis):
+            if pos < len(umi):
+                buckets.setdefault(umi[:pos] + "." + umi[pos + 1 :], []).append(idx)
+        for members in buckets.values():
+            if len(members) > 1:
+                for idx in members:
+                    near.setdefault(idx, []).extend(m for m in members if m != idx)
     left = list(counts)
     for idx in sorted(near):
         for other in sorted(near[idx]):

@@ -53,62 +53,56 @@ def quality_bounds(quals: list[str], cutoff5: int, cutoff3: int) -> tuple[np.nda
 def find_adapter3(seqs: list[str], adapter: str) -> tuple[np.ndarray, np.ndarray]:
     """Start of the best 3' adapter match per read (read length if none) and whether one was found.
 
-    Dynamic programming over the read, vectorised across reads. A column holds, for each adapter
-    prefix, the fewest errors, the score (+1 match, -1 mismatch, -2 gap) and the start of the best
-    alignment. The whole adapter may end anywhere; at the read's end a prefix may stick out.
+    Nothing beats the whole adapter without errors, so only reads lacking that are aligned.
+    """
+    at = np.array([s.find(adapter) for s in seqs], dtype=np.int64)
+    found = at >= 0
+    rest = np.flatnonzero(~found)
+    if len(rest):
+        at[rest], found[rest] = _align_adapter3([seqs[i] for i in rest], adapter)
+    return at, found
+
+
+def _align_adapter3(seqs: list[str], adapter: str) -> tuple[np.ndarray, np.ndarray]:
+    """The search for reads that hold the adapter with errors, in part or not at all.
+
+    An alignment is rated by score (+1 match, -1 mismatch, -2 gap), then fewer errors, then the
+    earlier start. The three are packed into one integer, so the best of several alignments is a
+    plain maximum; one table column is worked out at once for all reads and all adapter prefixes.
+    The whole adapter may end anywhere; at the end of the read a prefix of it may stick out.
     """
     codes, n = _matrix(seqs)
     rows, width = codes.shape
     m = len(adapter)
-    ref = np.frombuffer(adapter.encode(), dtype=np.uint8)
-    ids = np.arange(rows)
-    cost = np.repeat(np.arange(m + 1)[:, None], rows, axis=1).astype(np.int32)
-    score = (-2 * cost).astype(np.int32)
-    start = np.zeros((m + 1, rows), dtype=np.int32)
-    best_score = np.full(rows, -1_000_000, dtype=np.int32)
-    best_cost = np.full(rows, 1_000_000, dtype=np.int32)
-    best_start = n.copy()
-
-    def consider(i, mask, end):
-        allowed = cost[i] <= np.floor(i * ERROR_RATE)
-        ok = mask & allowed & (i >= MIN_OVERLAP)
-        better = ok & ((score[i] > best_score) | ((score[i] == best_score) & (cost[i] < best_cost)))
-        best_score[better] = score[i][better]
-        best_cost[better] = cost[i][better]
-        best_start[better] = start[i][better]
+    score_1, error_1 = 1 << 40, 1 << 20
+    gap = 2 * score_1 + error_1
+    step = np.full((m, 256), -score_1 - error_1, dtype=np.int64)
+    step[np.arange(m), np.frombuffer(adapter.encode(), dtype=np.uint8)] = score_1
+    slope = (gap * np.arange(m + 1, dtype=np.int64))[:, None]
+    column = np.repeat(error_1 - 1 - slope, rows, axis=1)
+    allowed = np.floor(np.arange(m + 1) * ERROR_RATE).astype(np.int64)
+    best = np.full(rows, np.iinfo(np.int64).min, dtype=np.int64)
+
+    def consider(i, mask):
+        rated = column[i]
+        errors = -(rated >> 20) & (error_1 - 1)
+        better = mask & (errors <= allowed[i]) & ((rated >> 20) > (best >> 20))
+        best[better] = rated[better]
 
     for j in range(1, width + 1):
         live = j <= n
-        prev_cost, prev_score, prev_start = cost, score, start
-        cost, score, start = prev_cost.copy(), prev_score.copy(), prev_start.copy()
-        cost[0], score[0], start[0] = 0, 0, j
-        ch = codes[ids, j - 1]
-        for i in range(1, m + 1):
-            same = ch == ref[i - 1]
-            c_diag = prev_cost[i - 1] + ~same
-            s_diag = prev_score[i - 1] + np.where(same, 1, -1)
-            c_left, s_left = prev_cost[i] + 1, prev_score[i] - 2
-            c_up, s_up = cost[i - 1] + 1, score[i - 1] - 2
-            take_left = s_left > s_diag
-            s_best = np.where(take_left, s_left, s_diag)
-            c_best = np.where(take_left, c_left, c_diag)
-            b_best = np.where(take_left, prev_start[i], prev_start[i - 1])
-            take_up = s_up > s_best
-            cost[i] = np.where(take_up, c_up, c_best)
-            score[i] = np.where(take_up, s_up, s_best)
-            start[i] = np.where(take_up, start[i - 1], b_best)
-        # Finished reads keep the column of their last base.
-        cost, score, start = (
-            np.where(live, new, old)
-            for new, old in ((cost, prev_cost), (score, prev_score), (start, prev_start))
-        )
-        consider(m, live, j)
-        at_end = live & (j == n)
+        reach = np.empty_like(column)
+        reach[0] = error_1 - 1 - j
+        np.maximum(column[:-1] + step[:, codes[:, j - 1]], column[1:] - gap, out=reach[1:])
+        column = np.maximum.accumulate(reach + slope, axis=0) - slope
+        if m >= MIN_OVERLAP:
+            consider(m, live)
+        at_end = j == n
         if at_end.any():
             for i in range(MIN_OVERLAP, m):
-                consider(i, at_end, j)
-    found = best_score > -1_000_000
-    return np.where(found, best_start, n), found
+                consider(i, at_end)
+    found = best > np.iinfo(np.int64).min
+    return np.where(found, error_1 - 1 - (best & (error_1 - 1)), n), found
 
 
 def find_adapter5(seqs: list[str], adapter: str) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cellweave.functions import seq as S
 from cellweave.functions.distance import free_divergence
 from cellweave.lineage import cut
-from cellweave.operators import barcode, report
+from cellweave.operators import barcode, report, trim
 from cellweave.plans import demultiplex
 from cellweave.plans import views as V
 from cellweave.plans.catalog import ALN, CFG, RDP, SBC, WL1, WL2, WL3, _r, _register
@@ -118,7 +118,7 @@ def _sample_size(sf):
 
 def _parsed(spark, sf):
     """(sliced, corrected, tagged) of the reads, stored once as a trimmed library would be."""
-    index = demultiplex.build_index(_whitelists(spark, sf), CFG)
+    index = demultiplex.build_index(_whitelists(spark, sf), CFG, store=False)
     reads = cut(V.view(spark, sf, V.READ_PAIR))
     return demultiplex.parse_library(reads, index, CFG, "LIB1.", _sample_size(sf))
 
@@ -407,3 +407,43 @@ def kmer_summary(spark, sf):
 @_register("read_lengths", f"select cast(length(seq) as int) as length, cast(count(*) as bigint) as n from ({RRD}) r group by 1")
 def read_lengths(spark, sf):
     return report.read_lengths(V.view(spark, sf, V.RNA_READ))
+
+
+# ---- trimming -------------------------------------------------------------------------------
+
+def _run_sql(scores: str, n: str) -> str:
+    """Length of the run to cut: where the running sum peaks before it first turns negative."""
+    sums = f"list_transform(range(1, {n} + 1), lambda i: list_sum(list_slice({scores}, 1, i)))"
+    before = f"list_slice({sums}, 1, coalesce(list_position(list_transform({sums}, lambda v: v < 0), true), {n} + 1) - 1)"
+    return f"(select case when m > 0 then list_position(b, m) else 0 end from (select b, list_max(b) as m from (select {before} as b)))"
+
+
+_PHRED = "list_transform(string_split(qual2, ''), lambda c: ord(c) - 33)"
+
+
+@_register(
+    "quality_trimmed",
+    f"""with p as (select ordinal, seq2, length(qual2) as n, {_PHRED} as f from ({RDP}) r),
+    b as (select ordinal, seq2, n, {_run_sql("list_transform(f, lambda v: 15 - v)", "n")} as lo,
+            n - {_run_sql("list_transform(list_reverse(f), lambda v: 10 - v)", "n")} as hi from p)
+    select ordinal, case when lo >= hi then '' else substring(seq2, (lo + 1)::int, (hi - lo)::int) end as seq from b""",
+)
+def quality_trimmed(spark, sf):
+    reads = V.view(spark, sf, V.READ_PAIR)
+    b = reads.withColumn("b", trim.trim_bounds(F.col("seq2"), F.col("qual2"), CFG.q5, CFG.q3, None))
+    return b.select("ordinal", F.substr("seq2", F.col("b.lo") + 1, F.col("b.hi") - F.col("b.lo")).alias("seq"))
+
+
+@_register("trimmed_pairs")
+def trimmed_pairs(spark, sf):
+    """Quality and adapter trimming of every pair; the alignment is checked by a plain loop in tests."""
+    reads = V.view(spark, sf, V.READ_PAIR)
+    with_adapter = reads.withColumns(
+        {
+            "seq1": F.concat("seq1", F.substring(F.lit(CFG.a1), 1, 25)),
+            "qual1": F.concat("qual1", F.lit("I" * 25)),
+        }
+    )
+    return trim.trim_pairs(with_adapter, CFG.q5, CFG.q3, (CFG.a1, CFG.a2), (10, 5)).select(
+        "ordinal", "seq1", "qual1", "seq2", "qual2"
+    )

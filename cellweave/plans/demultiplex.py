@@ -23,12 +23,15 @@ class BarcodeIndex:
     exact_prefixes: DataFrame | None
 
 
-def build_index(whitelists: Sequence[DataFrame], cfg: AssayConfig) -> BarcodeIndex:
-    maps = [cut(barcode.neighbour_map(w, d, cfg.method)) for w, d in zip(whitelists, cfg.bc_edit_dist)]
+def build_index(whitelists: Sequence[DataFrame], cfg: AssayConfig, store: bool = True) -> BarcodeIndex:
+    """``store`` checkpoints the maps, which pays when several libraries or large whitelists use them."""
+    keep = cut if store else (lambda df: df)
+    maps = [keep(barcode.neighbour_map(w, d, cfg.method)) for w, d in zip(whitelists, cfg.bc_edit_dist)]
     if not cfg.shifted:
         return BarcodeIndex(whitelists, maps, None, None)
     fixed = cfg.umi_bc_len[1][0]
-    near, exact = (cut(barcode.prefix_map(whitelists[0], fixed, d, cfg.method)) for d in (1, 0))
+    near = cut(barcode.prefix_map(whitelists[0], fixed, 1, cfg.method))  # joined in every branch
+    exact = barcode.prefix_map(whitelists[0], fixed, 0, cfg.method)
     return BarcodeIndex(whitelists, maps, near, exact)
 
 
@@ -46,7 +49,7 @@ def parse_library(
     sample = barcode.systematic_sample(reads, n_sample)
     triples = barcode.perfect_triples(_slice(sample, index.exact_prefixes, cfg), index.whitelists)
     sliced = _slice(reads, index.prefixes, cfg)
-    corrected = barcode.correct_barcodes(sliced, index.whitelists, index.maps, cut(triples))
+    corrected = barcode.correct_barcodes(sliced, index.whitelists, index.maps, triples)
     return sliced, corrected, barcode.tag_and_clip(corrected, cfg, lib_id)
 
 

@@ -207,3 +207,40 @@ def test_config_round_trip():
     assert AssayConfig.from_json(cfg.to_json()) == cfg and cfg.shifted
     with pytest.raises(ValueError):
         AssayConfig.from_json('{"nope": 1}')
+
+
+def plain_adapter(read, adapter):
+    """The same search as one scalar table per read: (score, -errors, -start)."""
+    m = len(adapter)
+    col = [(-2 * i, -i, 0) for i in range(m + 1)]
+    best = None
+    for j in range(1, len(read) + 1):
+        new = [(0, 0, -j)]
+        for i in range(1, m + 1):
+            same = read[j - 1] == adapter[i - 1]
+            s, e, b = col[i - 1]
+            diagonal = (s + 1, e, b) if same else (s - 1, e - 1, b)
+            new.append(max([diagonal] + [(s - 2, e - 1, b) for s, e, b in (col[i], new[i - 1])]))
+        col = new
+        for i in [m] + (list(range(3, m)) if j == len(read) else []):
+            s, e, b = col[i]
+            if -e <= int(i * 0.1) and (best is None or (s, e) > best[:2]):
+                best = (s, e, b)
+    return -best[2] if best else len(read)
+
+
+def test_adapter_search_matches_the_plain_table():
+    rng = random.Random(7)
+    adapter = "CTGTCTCTTATACACATCT"
+    reads = []
+    for _ in range(300):
+        core = "".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 25)))
+        piece = list(adapter[: rng.randrange(0, 20)])
+        for _ in range(rng.randrange(0, 3)):
+            if piece:
+                at = rng.randrange(len(piece))
+                piece[at : at + 1] = rng.choice([["A"], [], ["C", "G"]])
+        tail = "".join(rng.choice("ACGT") for _ in range(rng.choice([0, 0, 6])))
+        reads.append(core + "".join(piece) + tail)
+    at, _ = trim.find_adapter3(reads, adapter)
+    assert at.tolist() == [plain_adapter(r, adapter) for r in reads]
