@@ -16,6 +16,7 @@ from cellweave.functions.seq import (
     q30_fraction,
     reverse_complement,
 )
+from cellweave.lineage import cut
 
 OBS = ["obs1", "obs2", "obs3"]
 BCS = ["bc1", "bc2", "bc3"]
@@ -300,12 +301,15 @@ def quality_summary(sliced: DataFrame, cfg: AssayConfig) -> DataFrame:
 
 def run_stats(corrected: DataFrame, tagged: DataFrame) -> DataFrame:
     """(key, value) lines of a barcode run: read counts, valid share per tag, match classes."""
-    by_status = corrected.agg(
-        F.count("*").alias("fastq_reads"),
-        *[
-            F.count_if(F.col("status") == s).alias(s)
-            for s in ("perfect", "correct", "multi_match", "no_match")
-        ],
+    # One row, used below both for its own lines and as the total of the tag shares.
+    by_status = cut(
+        corrected.agg(
+            F.count("*").alias("fastq_reads"),
+            *[
+                F.count_if(F.col("status") == s).alias(s)
+                for s in ("perfect", "correct", "multi_match", "no_match")
+            ],
+        )
     )
     by_tag = tagged.agg(
         F.count("*").alias("fastq_valid_barcode_reads"),

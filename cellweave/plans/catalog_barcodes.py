@@ -104,23 +104,21 @@ def _sliced(spark, sf, max_d=1):
 
 
 def _triples(spark, sf):
-    reads = barcode.systematic_sample(V.view(spark, sf, V.READ_PAIR), _sample_size(sf))
+    reads = barcode.systematic_sample(V.view(spark, sf, V.READ_PAIR), _sample_size(spark, sf))
     exact = barcode.prefix_map(V.view(spark, sf, V.WHITELIST1), 8, 0)
     return barcode.perfect_triples(barcode.slice_shifted(reads, exact, CFG), _whitelists(spark, sf))
 
 
-def _sample_size(sf):
+def _sample_size(spark, sf):
     # A third of the reads: the rounding rule then gives a step of 3 at every scale.
-    import pyarrow.parquet as pq
-
-    return pq.read_metadata(f"{sf}/orders.parquet").num_rows // 3
+    return spark.read.parquet(f"{sf}/orders.parquet").count() // 3
 
 
 def _parsed(spark, sf):
     """(sliced, corrected, tagged) of the reads, stored once as a trimmed library would be."""
     index = demultiplex.build_index(_whitelists(spark, sf), CFG, store=False)
     reads = cut(V.view(spark, sf, V.READ_PAIR))
-    return demultiplex.parse_library(reads, index, CFG, "LIB1.", _sample_size(sf))
+    return demultiplex.parse_library(reads, index, CFG, "LIB1.", _sample_size(spark, sf))
 
 
 def _corrected(spark, sf):
@@ -195,7 +193,7 @@ def fixed_slices(spark, sf):
 
 @_register("systematic_sample", f"select ordinal from ({RDP}) r where ordinal % 3 = 0")
 def systematic_sample(spark, sf):
-    return barcode.systematic_sample(V.view(spark, sf, V.READ_PAIR), _sample_size(sf)).select("ordinal")
+    return barcode.systematic_sample(V.view(spark, sf, V.READ_PAIR), _sample_size(spark, sf)).select("ordinal")
 
 
 @_register(
