@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import decontaminate, line_dedup, packing, token_counts, url_filter
+from cellweave.llm import decontaminate, line_dedup, packing, quality, token_counts, toxicity, url_filter
 from cellweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +138,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@_register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_register("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
