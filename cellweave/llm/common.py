@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_RECORDS = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,6 +43,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, records: int = BATCH_RECORDS) -> None:
+    """Bound the texts that stand in one Arrow batch, on either side of the pipe to Python.
+
+    Documents run from some words to megabytes; the session's usual 10,000 rows a batch would hold hundreds of MB.
+    A session that has already set fewer keeps its number.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > records:
+        spark.conf.set(name, str(records))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

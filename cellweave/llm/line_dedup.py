@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from cellweave.llm.common import text_key, text_or_empty
+from cellweave.llm.common import small_batches, text_key, text_or_empty
 
 MIN_WORDS = 5
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
@@ -92,6 +92,7 @@ def dedup_lines(documents: DataFrame, unit: str = "line", min_words: int = MIN_W
 
     ``removed`` lists (place, start, end) of each removed unit, in code points of the original text.
     """
+    small_batches(documents.sparkSession)
     separator = SEPARATORS[unit]
     gone = repeated_units(documents, unit, min_words).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("places").alias("_places")

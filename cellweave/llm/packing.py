@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import stored, text_or_empty, tokenizer_path
+from cellweave.llm.common import small_batches, stored, text_or_empty, tokenizer_path
 from cellweave.llm.token_counts import special_strings
 
 WINDOW, OPEN, FAN_IN = 2048, 16, 64
@@ -96,11 +96,11 @@ class ChunkEncoder:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The texts' ids, in order."""
-        for k in range(0, len(texts), 500):
-            split = [None if self.odd_space(t) else t.split() for t in texts[k : k + 500]]
+        for k in range(0, len(texts), 256):
+            split = [None if self.odd_space(t) else t.split() for t in texts[k : k + 256]]
             self._learn({c for chunks in split if chunks for c in chunks})
             of = self.chunk_ids.__getitem__
-            for t, chunks in zip(texts[k : k + 500], split, strict=True):
+            for t, chunks in zip(texts[k : k + 256], split, strict=True):
                 yield self._whole(t) if chunks is None else b"".join(map(of, chunks))
 
 
@@ -189,6 +189,7 @@ def pack_documents(
     documents: DataFrame, tokenizer: str = "word_bpe_49k.json", window: int = WINDOW, open_windows: int = OPEN, fan_in: int = FAN_IN
 ) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    small_batches(documents.sparkSession)
     id_field = documents.schema["doc_id"]
     path = tokenizer_path(tokenizer)
     names = f"doc_id {id_field.dataType.simpleString()}, {_PIECE}, part long, seq long, offset long, used long"

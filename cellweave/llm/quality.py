@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import stored, text_or_empty
+from cellweave.llm.common import small_batches, stored, text_or_empty
 from cellweave.llm.toxicity import held_out
 
 FOLDS, HELD = 4, 2
@@ -141,6 +141,7 @@ def fit_quality(features: DataFrame, labels: DataFrame, pool: float = POOL, ridg
 
 def score_quality(documents: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """A row per document: doc_id, held_out, score, predicted."""
+    small_batches(documents.sparkSession)
     features = stored(document_statistics(documents))
     model = documents.sparkSession.sparkContext.broadcast(fit_quality(features, labels))
 

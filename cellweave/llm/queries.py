@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import decontaminate, line_dedup, packing, quality, token_counts, toxicity, url_filter
+from cellweave.llm import decontaminate, fingerprints, line_dedup, near_dedup, packing, quality, token_counts, toxicity, url_filter
 from cellweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +149,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@_register("op8_near_dedup")
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.near_classes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "keep")
+
+
+@_register("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))

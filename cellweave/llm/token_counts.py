@@ -25,12 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import repeat_rows, stored, text_key, text_or_empty, tokenizer_path
+from cellweave.llm.common import repeat_rows, small_batches, stored, text_key, text_or_empty, tokenizer_path
 
 #: The pre-token pattern of the byte-level vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 HEAD, HEAD_BYTES = 200_000, 64
-_FLUSH = 300_000
+_FLUSH = 200_000
 _LOADED: dict[str, object] = {}
 
 
@@ -122,6 +122,7 @@ def _head_threshold(vocabulary: DataFrame, most: int) -> float:
 def count_tokens(documents: DataFrame, tokenizer: str = "byte_bpe_50k.json", head: int = HEAD) -> DataFrame:
     """A row per document: doc_id, n_bytes, n_tokens."""
     spark = documents.sparkSession
+    small_batches(spark)
     path = tokenizer_path(tokenizer)
     special = special_strings(path)
     vocabulary = stored(piece_tokens(pre_token_counts(documents, special), path))

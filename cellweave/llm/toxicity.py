@@ -34,22 +34,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import text_or_empty
+from cellweave.llm.common import small_batches, text_key, text_or_empty
 
 TRAIN_ROWS, TERMS, ALPHABET = 20_000, 50_000, 60
 MIN_SUPPORT, MIN_WEIGHT = 3, 1.0
 FOLDS, HELD = 5, 0
-_FLUSH = 300_000
+_FLUSH = 200_000
 #: Signs read as letters.
 LOOK_ALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c"}
 MARKS = frozenset(" .,-_*~'`^:;/\\\"#%&=<>[]{})?")
-SIGN_COST, REPEAT_COST, DROP_COST, LOST_COST = 1.0, 0.5, 0.5, 4.0
+SIGN_COST, REPEAT_COST, LOST_COST = 1.0, 0.5, 8.0
+#: Of a mark or blank: left out of a word, ending one. Between single letters a word rather goes on.
+DROP_COST, END_COST = (0.5, 0.1), (0.0, 1.5)
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _PLAIN = re.compile(r"[^\W\d_]*").fullmatch
 _RUN = re.compile(r"([^\W\d_])\1\1").search
 _INNER = re.compile(r"[^\W_].*[^\W_]|[^\W_]", re.S)
-_SPACED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .*_-]){2,}[^\W\d_](?![^\W\d_])")
+_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .*_-]|[@$!|+][ .*_-]){2,}(?:[^\W_]|[@$!|+])(?![^\W_])")
 
 
 @dataclass
@@ -100,7 +102,8 @@ class Decoder:
         self.letters, self.index = "#" + model.letters, model.index
         self.cost = model.cost.tolist()
 
-    def __call__(self, text: str) -> list[str]:
+    def __call__(self, text: str, spaced: bool = False) -> list[str]:
+        drop, end = DROP_COST[1] if spaced else DROP_COST[0], END_COST[1] if spaced else END_COST[0]
         # A state is the two characters read last; each keeps its cost and a link back.
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for i, c in enumerate(text):
@@ -124,11 +127,11 @@ class Decoder:
                 if own is None and (not letter or not signs):
                     mark = c in MARKS
                     if mark or not letter:
-                        reach((a, b), total + (DROP_COST if mark else LOST_COST), link)
+                        reach((a, b), total + (drop if mark else LOST_COST), link)
                     if b == 0:
-                        reach((0, 0), total + (0 if mark else LOST_COST), link)
+                        reach((0, 0), total + (end if mark else LOST_COST), link)
                     else:
-                        reach((0, 0), total + row[0] + (0 if mark else LOST_COST), (0, link))
+                        reach((0, 0), total + row[0] + (end if mark else LOST_COST), (0, link))
             states = nexts
         _, link = min(((t + (self.cost[a][b][0] if b else 0.0), link) for (a, b), (t, link) in states.items()), key=lambda x: x[0])
         read = []
@@ -167,7 +170,7 @@ class Restorer:
         text = text.lower()
         out: set[str] = set()
         for match in _SPACED.finditer(text):
-            out.update(self.decode(match[0]))
+            out.update(self.decode(match[0], spaced=True))
         seen = self.seen
         for token in set(text.split()):
             words = seen.get(token)
@@ -279,6 +282,7 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, folds: in
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, terms: int = TERMS) -> ToxicityModel:
+    small_batches(documents.sparkSession)
     chars = fit_char_model(word_counts(documents))
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(chars)
@@ -333,8 +337,6 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, train_rows: int = TRAI
 def score_toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """A row per document: doc_id, text_key, held_out, score, predicted."""
     model = documents.sparkSession.sparkContext.broadcast(fit_toxicity(documents, labels))
-    from cellweave.llm.common import text_key
-
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model.value.chars)
         for batch in batches:
