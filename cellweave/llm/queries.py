@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import decontaminate, fingerprints, line_dedup, near_dedup, packing, quality, token_counts, toxicity, url_filter
+from cellweave.llm import decontaminate, fingerprints, html_extract, line_dedup, near_dedup, packing, quality, token_counts, toxicity, url_filter
 from cellweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,8 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op9_fingerprints")
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_register("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
