@@ -79,13 +79,14 @@ def _prints(df: DataFrame, keep: list[str], span: int, gram: int, short: list[in
         F.lit(size).alias("size"), place.cast("int").alias("place"), value.alias("hash")
     )
     lists = [F.transform("kept", lambda p: entry(gram, p, F.get(F.col("grams"), p.cast("int"))))]
-    if short:
-        df = df.withColumns({f"grams_{n}": _grams(n, "hashes", "n_words") for n in short})
-        for n in short:
-            every = F.transform(f"grams_{n}", lambda h, i, n=n: entry(n, i, h))
-            lists.append(F.when(F.col("n_words") == n, every).otherwise(F.filter(every, lambda _: F.lit(False))) if whole else every)
-    # A short window of GRAM words must not meet the kept hashes of long items: negative sizes keep them apart.
-    tagged = [lists[0], *[F.transform(x, lambda e: F.struct((-e["size"]).alias("size"), e["place"].alias("place"), e["hash"].alias("hash"))) for x in lists[1:]]]
+    df = df.withColumns({f"grams_{n}": _grams(n, "hashes", "n_words") for n in short})
+
+    def whole_grams(n: int) -> Column:
+        # Negative sizes keep short windows of GRAM words apart from the kept hashes of long items.
+        every = F.transform(f"grams_{n}", lambda h, i: entry(-n, i, h))
+        return F.when(F.col("n_words") == n, every).otherwise(F.slice(every, 1, 0)) if whole else every
+
+    tagged = lists + [whole_grams(n) for n in short]
     rows = df.select(*keep, "words", F.explode(F.concat(*tagged)).alias("print"))
     place, size = F.col("print.place"), F.col("print.size")
     return rows.select(

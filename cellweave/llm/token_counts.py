@@ -17,8 +17,10 @@ is one document; other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from unicodedata import category
 
 import pyarrow as pa
 import regex
@@ -29,8 +31,10 @@ from cellweave.llm.common import repeat_rows, small_batches, stored, text_key, t
 
 #: The pre-token pattern of the byte-level vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-HEAD, HEAD_BYTES = 200_000, 64
-_FLUSH = 200_000
+#: Every code point before U+0530 is assigned, or has been unassigned for long.
+_LATER = re.compile("[^\x00-\u052f]").search
+HEAD, HEAD_BYTES = 150_000, 64
+_FLUSH = 150_000
 _LOADED: dict[str, object] = {}
 
 
@@ -49,12 +53,21 @@ def special_strings(path: str) -> list[str]:
 
 
 class PreTokens:
-    """Pre-tokens of a text, each special string being one of them."""
+    """Pre-tokens of a text, each special string being one of them.
 
-    def __init__(self, special: Iterable[str]):
-        self.find = regex.compile(PRE_TOKEN).findall
+    Character classes of code points that are younger than this Python's Unicode tables are left to the tokenizer's own
+    pre-tokenizer, as libraries differ there.
+    """
+
+    def __init__(self, special: Iterable[str], path: str):
+        self.pattern, self.path = regex.compile(PRE_TOKEN).findall, path
         self.special = sorted(special, key=len, reverse=True)
-        self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
+        self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
+
+    def find(self, text: str) -> list[str]:
+        if _LATER(text) and any(category(c) == "Cn" for c in set(text)):
+            return [text[a:b] for _, (a, b) in _tokenizer(self.path).pre_tokenizer.pre_tokenize_str(text)]
+        return self.pattern(text)
 
     def __call__(self, text: str) -> list[str]:
         if not any(s in text for s in self.special):
@@ -70,11 +83,11 @@ def _texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
         yield value.as_py()
 
 
-def pre_token_counts(documents: DataFrame, special: list[str]) -> DataFrame:
+def pre_token_counts(documents: DataFrame, special: list[str], path: str) -> DataFrame:
     """piece, n: every distinct pre-token of the corpus with its number of occurrences."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, seen = PreTokens(special), Counter()
+        cut, seen = PreTokens(special, path), Counter()
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_pydict({"piece": list(seen), "n": pa.array(seen.values(), pa.int64())})
@@ -125,7 +138,7 @@ def count_tokens(documents: DataFrame, tokenizer: str = "byte_bpe_50k.json", hea
     small_batches(spark)
     path = tokenizer_path(tokenizer)
     special = special_strings(path)
-    vocabulary = stored(piece_tokens(pre_token_counts(documents, special), path))
+    vocabulary = stored(piece_tokens(pre_token_counts(documents, special, path), path))
     least = _head_threshold(vocabulary, head)
     frequent = (F.floor(F.log2(F.col("n").cast("double")) * 16) >= F.lit(float(least))) & (F.octet_length("piece") <= HEAD_BYTES)
     rows = vocabulary.where(frequent).select("piece", "tokens").toArrow()  # ``head`` rows at most
@@ -133,7 +146,7 @@ def count_tokens(documents: DataFrame, tokenizer: str = "byte_bpe_50k.json", hea
     rest = pa.list_(pa.struct([("piece", pa.string()), ("times", pa.int64())]))
 
     def join_head(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, tokens_of = PreTokens(special), known.value.get
+        cut, tokens_of = PreTokens(special, path), known.value.get
         for batch in batches:
             sums, rare, times, ends = [], [], [], [0]
             for text in _texts(batch):
