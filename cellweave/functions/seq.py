@@ -143,9 +143,15 @@ def reference_kmers(seq, k: int = 30) -> Column:
     )
 
 
-def probe_kmers(seq, k: int = 30, offsets=(0, 10, 20, 30, 40)) -> Column:
-    """The fixed-offset k-mers of a read that are looked up in a k-mer set."""
-    return F.array(*[py_slice(seq, o, k) for o in offsets])
+def probe_kmers(seq, k: int = 30, offsets=None, step: int = 10) -> Column:
+    """The k-mers of a read that are looked up in a k-mer set: every ``step`` bases, or at ``offsets``."""
+    if offsets is not None:
+        return F.array(*[py_slice(seq, o, k) for o in offsets])
+    seq = _col(seq)
+    starts = F.sequence(F.lit(1), F.length(seq) - k + 1, F.lit(step))
+    return F.when(F.length(seq) < k, F.array().cast("array<string>")).otherwise(
+        F.transform(starts, lambda i: F.substr(seq, i, F.lit(k)))
+    )
 
 
 def cell_from_qname(qname) -> Column:

@@ -4,20 +4,31 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+SERIES_TERMS, FRACTION_TERMS, SERIES_BELOW = 60, 60, 2.5
 
-@F.pandas_udf(T.DoubleType())
-def _normal_sf(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: None if pd.isna(v) else 0.5 * math.erfc(v / math.sqrt(2.0)))
+
+def _erfc(x: Column) -> Column:
+    """Complementary error function of a value of at least 0."""
+    # Near 0 the power series of erf, by Horner's rule; beyond, Laplace's continued fraction from its end.
+    square = x * x
+    series = F.lit(0.0)
+    for n in reversed(range(SERIES_TERMS)):
+        series = series * square + F.lit((-1) ** n / (math.factorial(n) * (2 * n + 1)))
+    near = 1 - F.lit(2 / math.sqrt(math.pi)) * x * series
+    fraction = x
+    for n in reversed(range(1, FRACTION_TERMS + 1)):
+        fraction = x + F.lit(n / 2) / fraction
+    far = F.exp(-square) / (F.lit(math.sqrt(math.pi)) * fraction)
+    return F.when(x < SERIES_BELOW, near).otherwise(far)
 
 
 def normal_sf(z: Column) -> Column:
-    """Upper tail of the standard normal. Spark SQL has no erfc, so this is an Arrow UDF."""
-    return _normal_sf(z)
+    """Upper tail of the standard normal distribution; null and NaN give null."""
+    tail = _erfc(F.abs(z) / math.sqrt(2.0)) / 2
+    return F.when(~F.isnan(z), F.when(z >= 0, tail).otherwise(1 - tail))
 
 
 def stable_uniform(*cols, seed: int = 0) -> Column:

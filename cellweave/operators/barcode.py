@@ -17,6 +17,7 @@ from cellweave.functions.seq import (
     reverse_complement,
 )
 from cellweave.lineage import cut
+from cellweave.operators.ordering import global_index
 
 OBS = ["obs1", "obs2", "obs3"]
 BCS = ["bc1", "bc2", "bc3"]
@@ -122,12 +123,17 @@ def slice_fixed(reads: DataFrame, cfg: AssayConfig) -> DataFrame:
 # ---- perfect triples and correction ---------------------------------------------------------
 
 def systematic_sample(reads: DataFrame, n_reads: int = 1_000_000) -> DataFrame:
-    """Every (skip+1)-th read by ordinal, at most ``n_reads``; skip is rounded half to even."""
+    """Every (skip+1)-th of the given reads in ordinal order, at most ``n_reads``; skip is rounded half to even.
+
+    The reads are numbered first, as ordinals have gaps once reads were trimmed away.
+    """
     total = reads.agg(F.count("*").cast("double").alias("total"))
     step = F.bround(total.scalar() / n_reads - 0.5).cast("bigint") + 1
-    return reads.withColumn("_step", step).where(
-        (F.col("ordinal") % F.col("_step") == 0) & (F.col("ordinal") < F.col("_step") * n_reads)
-    ).drop("_step")
+    at = F.col("index") - 1
+    chosen = global_index(reads, "ordinal").withColumn("_step", step).where(
+        (at % F.col("_step") == 0) & (at < F.col("_step") * n_reads)
+    )
+    return reads.join(chosen.select("ordinal"), "ordinal", "left_semi")
 
 
 def _exact_hits(sliced: DataFrame, whitelists: Sequence[DataFrame]) -> DataFrame:
@@ -145,7 +151,7 @@ def perfect_triples(sliced: DataFrame, whitelists: Sequence[DataFrame]) -> DataF
 
 
 def perfect_rates(sliced: DataFrame, whitelists: Sequence[DataFrame]) -> DataFrame:
-    """Share of sampled reads with a perfect triple, each perfect barcode, and a known prefix."""
+    """Share of reads with a perfect triple, each perfect barcode, and a known prefix."""
     hits = _exact_hits(sliced, whitelists)
 
     def rate(cond):
@@ -165,57 +171,57 @@ def correct_barcodes(
     sliced: DataFrame,
     whitelists: Sequence[DataFrame],
     maps: Sequence[DataFrame],
-    triples: DataFrame,
+    triples: DataFrame | None = None,
 ) -> DataFrame:
     """Add status (perfect, correct, multi_match, no_match) and the corrected bc1..bc3.
 
-    Perfect reads, normally the bulk, are settled by whitelist lookups alone. The others are
-    reduced to their distinct triples, whose candidates are checked against the perfect triples,
-    and only those reads are joined back. Reads without slices take no part in that join, so no
-    null key gathers them in one partition.
+    The reads are read twice: once for their distinct triples, which are stored, once for the result.
+    Imperfect triples get their candidates, which must be among ``triples`` or else the perfect triples of
+    all reads. The few settled triples are joined to all reads; perfect reads and reads without slices, which need
+    no entry, carry keys spread by ordinal so that none gathers in one partition.
     """
     hits = _exact_hits(sliced, whitelists)
-    flags = [f"hit_{o}" for o in OBS]
-    all_hit = F.col("hit_obs1") & F.col("hit_obs2") & F.col("hit_obs3")
-    cols = sliced.columns
-    none = {b: F.lit(None).cast("string") for b in BCS}
+    perfect = F.col("hit_obs1") & F.col("hit_obs2") & F.col("hit_obs3")
+    hits = hits.withColumn("_perfect", perfect).drop(*[f"hit_{o}" for o in OBS])
+    distinct = cut(hits.where("slice_status is null").select(*OBS, "_perfect").distinct())
+    if triples is None:
+        triples = distinct.where("_perfect").select(*[F.col(o).alias(b) for o, b in zip(OBS, BCS)])
 
-    perfect = hits.where(all_hit).drop(*flags).withColumns(
-        {"status": F.lit("perfect"), **{b: F.col(o) for o, b in zip(OBS, BCS)}}
-    )
-    lost = sliced.where(F.col("slice_status").isNotNull()).withColumns(
-        {"status": F.col("slice_status"), **none}
-    )
-    rest = hits.where(~all_hit & F.col("slice_status").isNull()).drop(*flags)
-
-    candidates = rest.select(*OBS).distinct()
+    candidates = distinct.where("not _perfect").select(*OBS)
     for obs, bc, m in zip(OBS, BCS, maps):
         candidates = candidates.join(m.select(F.col("obs").alias(obs), F.col("barcode").alias(bc)), obs)
+    keys = [f"_key_{o}" for o in OBS]
     fixed = (
         candidates.join(triples.select(*BCS), BCS, "left_semi")
-        .groupBy(*OBS)
-        .agg(F.count("*").alias("_n"), *[F.min(b).alias(b) for b in BCS])
+        .groupBy(*[F.col(o).alias(k) for o, k in zip(OBS, keys)])
+        .agg(F.count("*").alias("_n"), *[F.min(b).alias(f"_{b}") for b in BCS])
+    )
+    sought = ~F.col("_perfect") & F.col("slice_status").isNull()
+    spread = F.concat(F.lit("-"), F.xxhash64("ordinal").cast("string"))
+    joined = hits.withColumns({k: F.when(sought, F.col(o)).otherwise(spread) for o, k in zip(OBS, keys)}).join(
+        fixed, keys, "left"
     )
     one = F.col("_n") == 1
-    rest = (
-        rest.join(fixed, OBS, "left")
-        .withColumns(
-            {
-                "status": F.when(one, "correct").when(F.col("_n") > 1, "multi_match").otherwise("no_match"),
-                **{b: F.when(one, F.col(b)) for b in BCS},
-            }
-        )
+    status = (
+        F.when(F.col("_perfect"), "perfect")
+        .when(F.col("slice_status").isNotNull(), F.col("slice_status"))
+        .when(one, "correct")
+        .when(F.col("_n") > 1, "multi_match")
+        .otherwise("no_match")
+    )
+    return joined.select(
+        *sliced.columns,
+        status.alias("status"),
+        *[F.when(F.col("_perfect"), F.col(o)).when(one, F.col(f"_{b}")).alias(b) for o, b in zip(OBS, BCS)],
     )
-    out = [*cols, "status", *BCS]
-    return perfect.select(*out).unionByName(rest.select(*out)).unionByName(lost.select(*out))
 
 
 # ---- modality tag and clipping --------------------------------------------------------------
 
 def tag_of(cut: Column, cfg: AssayConfig) -> Column:
     """A (chromatin), R (RNA) or W (undetermined) by distance to the transposase tag."""
-    d = free_divergence(F.rpad(cut, cfg.tag_length, "N"), F.lit(cfg.tag_seq))
     near, far = cfg.tag_edit_dist
+    d = free_divergence(F.rpad(cut, cfg.tag_length, "N"), F.lit(cfg.tag_seq))
     return F.when(d <= near, "A").when(d >= far, "R").otherwise("W")
 
 
@@ -244,11 +250,10 @@ def tag_and_clip(corrected: DataFrame, cfg: AssayConfig, lib_id: str = "") -> Da
         )
     tagged = valid.withColumn("tag", tag_of(py_slice(seq, F.col("tag_at"), cfg.tag_length), cfg))
     cut_at = F.col("tag_at") + F.when(F.col("tag") == "R", 0).otherwise(cfg.tag_length)
-    rest = F.lit(1_000_000)
     return tagged.withColumns(
         {
-            seq: py_slice(seq, cut_at, rest),
-            qual: py_slice(qual, cut_at, rest),
+            seq: py_slice(seq, cut_at, F.length(seq)),
+            qual: py_slice(qual, cut_at, F.length(qual)),
             "cell_barcode": F.concat(F.lit(lib_id), "bc1", "bc2", "bc3"),
         }
     )
@@ -284,7 +289,7 @@ def quality_summary(sliced: DataFrame, cfg: AssayConfig) -> DataFrame:
             mean(py_slice("qual1", starts[1], F.col("bc1_len"))).alias("bc1_q30"),
             mean(py_slice("qual1", F.col("bc2_start"), lens[2])).alias("bc2_q30"),
             F.lit(None).cast("double").alias("bc3_q30"),
-            mean(py_slice("qual1", bc2_end, F.lit(1_000_000))).alias("r1_cdna_q30"),
+            mean(py_slice("qual1", bc2_end, F.length("qual1"))).alias("r1_cdna_q30"),
             mean(F.col("qual2")).alias("r2_cdna_q30"),
         )
     fields = {
@@ -294,7 +299,7 @@ def quality_summary(sliced: DataFrame, cfg: AssayConfig) -> DataFrame:
     tail = starts[3] + lens[3]
     return sliced.agg(
         *[c.alias(n) for n, c in fields.items()],
-        mean(py_slice("qual2", tail, 1_000_000)).alias("r2_cdna_q30"),
+        mean(py_slice("qual2", tail, F.length("qual2"))).alias("r2_cdna_q30"),
         mean(F.col("qual1")).alias("r1_cdna_q30"),
     )
 

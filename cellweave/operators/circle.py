@@ -10,15 +10,14 @@ _FIELDS = {"chrom": 0, "start": 1, "end": 2, "name": 3, "strand": 6, "cigar": 7,
 
 def circle_columns(lines: DataFrame, column: str = "value") -> DataFrame:
     """Wide split-read rows to named columns {field}{1,2,3}: three alignments of ten fields each."""
-    items = F.split(F.col(column), "\t")
-    cols = []
-    for rec in range(3):
-        for field, at in _FIELDS.items():
-            value = F.get(items, rec * 10 + at)
-            if field in ("start", "end"):
-                value = value.cast("bigint")
-            cols.append(value.alias(f"{field}{rec + 1}"))
-    return lines.select(*cols)
+    names = [f"f{k}" for k in range(30)]
+    kinds = {rec * 10 + at: "bigint" for rec in range(3) for f, at in _FIELDS.items() if f in ("start", "end")}
+    schema = ", ".join(f"{n} {kinds.get(k, 'string')}" for k, n in enumerate(names))
+    # One parser call per line; quotes are ordinary characters of these fields.
+    parsed = lines.select(F.from_csv(F.col(column), schema, {"sep": "\t", "quote": ""}).alias("r"))
+    return parsed.select(
+        *[F.col(f"r.f{rec * 10 + at}").alias(f"{field}{rec + 1}") for rec in range(3) for field, at in _FIELDS.items()]
+    )
 
 
 def select_circles(rows: DataFrame) -> DataFrame:

@@ -103,22 +103,20 @@ def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 30, id_col: str = "or
     return probes.join(kmers, "kmer").groupBy(id_col).agg(F.max("strand").alias("strand"))
 
 
-def kmer_summary(reads: DataFrame, kmers: DataFrame, k: int = 30, limit: int | None = 1_000_000) -> DataFrame:
-    """Reads seen, sense and antisense hits, and the hit share, over the first ``limit`` reads."""
-    seen = reads if limit is None else reads.where(F.col("ordinal") < limit)
-    hits = kmer_hits(seen, kmers, k).agg(
+def kmer_summary(reads: DataFrame, kmers: DataFrame, k: int = 30) -> DataFrame:
+    """Reads seen, sense and antisense hits, and the hit share, over all reads."""
+    hits = kmer_hits(reads, kmers, k).agg(
         F.count_if(F.col("strand") == "sense").alias("sense"),
         F.count_if(F.col("strand") == "antisense").alias("antisense"),
     )
-    total = seen.agg(F.count("*").alias("n"))
+    total = reads.agg(F.count("*").alias("n"))
     return hits.withColumn("total_counts", total.scalar()).withColumn(
         "fraction", F.try_divide((F.col("sense") + F.col("antisense")).cast("double"), "total_counts")
     )
 
 
-def read_lengths(reads: DataFrame, limit: int | None = 1_000_000) -> DataFrame:
-    seen = reads if limit is None else reads.where(F.col("ordinal") < limit)
-    return seen.groupBy(F.length("seq").alias("length")).agg(F.count("*").alias("n"))
+def read_lengths(reads: DataFrame) -> DataFrame:
+    return reads.groupBy(F.length("seq").alias("length")).agg(F.count("*").alias("n"))
 
 
 def subsample_curves(

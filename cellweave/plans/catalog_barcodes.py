@@ -67,7 +67,7 @@ _EXACT = f"""xs as (select rd.*, pf.shift from ({RDP}) rd left join ({_PFX}) pf
              translate(reverse(substring(split_part(split_part(name1, ':', -1), '+', 2), 1, 16)), 'ACGT', 'TGCA') in (select barcode from ({WL3}) a) and shift is not null as h3,
              substring(seq1, 11, (8 + shift)::int) as bc1, substring(seq1, (36 + shift)::int, 6) as bc2,
              translate(reverse(substring(split_part(split_part(name1, ':', -1), '+', 2), 1, 16)), 'ACGT', 'TGCA') as bc3 from xs)"""
-_TRIPLES = "tp as (select bc1, bc2, bc3, count(*) as n from x2 where h1 and h2 and h3 and ordinal % 3 = 0 group by 1, 2, 3)"
+_TRIPLES = "tp as (select bc1, bc2, bc3, count(*) as n from x2 where h1 and h2 and h3 group by 1, 2, 3)"
 _STATUS = f"""{_READS}, {_EXACT}, {_TRIPLES},
     m1 as ({_nearest_sql("select distinct obs1 as obs from s2 where obs1 is not null", WL1)}),
     m2 as ({_nearest_sql("select distinct obs2 as obs from s2 where obs2 is not null", WL2)}),
@@ -104,7 +104,7 @@ def _sliced(spark, sf, max_d=1):
 
 
 def _triples(spark, sf):
-    reads = barcode.systematic_sample(V.view(spark, sf, V.READ_PAIR), _sample_size(spark, sf))
+    reads = V.view(spark, sf, V.READ_PAIR)
     exact = barcode.prefix_map(V.view(spark, sf, V.WHITELIST1), 8, 0)
     return barcode.perfect_triples(barcode.slice_shifted(reads, exact, CFG), _whitelists(spark, sf))
 
@@ -116,9 +116,9 @@ def _sample_size(spark, sf):
 
 def _parsed(spark, sf):
     """(sliced, corrected, tagged) of the reads, stored once as a trimmed library would be."""
-    index = demultiplex.build_index(_whitelists(spark, sf), CFG, store=False)
+    index = demultiplex.build_index(_whitelists(spark, sf), CFG)
     reads = cut(V.view(spark, sf, V.READ_PAIR))
-    return demultiplex.parse_library(reads, index, CFG, "LIB1.", _sample_size(spark, sf))
+    return demultiplex.parse_library(reads, index, CFG, "LIB1.")
 
 
 def _corrected(spark, sf):
@@ -382,8 +382,8 @@ _KREF = f"""km as (select distinct strand, substring(s, i::int, 30) as kmer from
       select strand, s, unnest(range(1, length(s) - 30 + 1)) as i from (
         select 'sense' as strand, seq as s from ({FAS}) f union all
         select 'antisense', translate(reverse(seq), 'ACGT', 'TGCA') from ({FAS}) f) b) k)"""
-_KHIT = f"""{_KREF}, pr as (select ordinal, unnest([substring(seq, 1, 30), substring(seq, 11, 30), substring(seq, 21, 30), substring(seq, 31, 30), substring(seq, 41, 30)]) as kmer
-      from ({RRD}) r where ordinal < 1000000),
+_KHIT = f"""{_KREF}, pr as (select ordinal, unnest(list_transform(range(1, length(seq) - 28, 10), lambda i: substring(seq, i::int, 30))) as kmer
+      from ({RRD}) r),
     ht as (select ordinal, max(strand) as strand from pr join km using (kmer) group by 1)"""
 
 

@@ -40,14 +40,17 @@ def _slice(reads: DataFrame, prefixes: DataFrame | None, cfg: AssayConfig) -> Da
 
 
 def parse_library(
-    reads: DataFrame, index: BarcodeIndex, cfg: AssayConfig, lib_id: str, n_sample: int = 1_000_000
+    reads: DataFrame, index: BarcodeIndex, cfg: AssayConfig, lib_id: str, n_sample: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sliced, corrected, tagged) reads of one library of trimmed pairs with an ordinal.
 
-    ``reads`` is scanned for the sample, the perfect reads and the others: pass a stored table.
+    Perfect triples come from all reads, or from a systematic sample of ``n_sample``. ``reads`` is scanned more than
+    once: pass a stored table.
     """
-    sample = barcode.systematic_sample(reads, n_sample)
-    triples = barcode.perfect_triples(_slice(sample, index.exact_prefixes, cfg), index.whitelists)
+    triples = None
+    if n_sample is not None:
+        sample = barcode.systematic_sample(reads, n_sample)
+        triples = barcode.perfect_triples(_slice(sample, index.exact_prefixes, cfg), index.whitelists)
     sliced = _slice(reads, index.prefixes, cfg)
     corrected = barcode.correct_barcodes(sliced, index.whitelists, index.maps, triples)
     return sliced, corrected, barcode.tag_and_clip(corrected, cfg, lib_id)

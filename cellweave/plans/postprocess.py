@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellweave.config import AssayConfig
 from cellweave.lineage import cut
@@ -13,8 +14,10 @@ from cellweave.sources import sinks
 
 
 def _molecules(spans: DataFrame, genes: DataFrame, exons: DataFrame, stranded: bool) -> DataFrame:
-    hits = annotation.assign_genes(spans, genes, stranded=stranded)
-    exonic = annotation.mark_exonic(hits, exons, "qname", ["cell_barcode", "genome", "umi"])
+    # Every alignment counts: mates and further alignments share their read's name, so it is no key.
+    numbered = spans.withColumn("alignment", F.monotonically_increasing_id())
+    hits = annotation.assign_genes(numbered, genes, stranded=stranded)
+    exonic = annotation.mark_exonic(hits, exons, "alignment", ["cell_barcode", "genome", "umi"])
     counts = cut(molecules.count_umis(exonic))
     return molecules.with_gene_names(molecules.collapse_umis(counts), genes)
 
@@ -68,9 +71,11 @@ def write_report(rep: ExpressionReport, path: str) -> None:
     for name, matrix, cells in (
         ("DGE_unfiltered", rep.matrix, rep.cells), ("DGE_filtered", rep.called_matrix, rep.called)
     ):
-        sinks.write_matrix_market(matrix, f"{path}/{name}", "gene")
+        # Both matrices keep all genes of the unfiltered one, and line i of genes.csv is row i.
+        rows = sinks.write_matrix_market(matrix, f"{path}/{name}", "gene", features=rep.matrix)
         sinks.write_csv(cells, f"{path}/{name}/cell_metadata.csv")
-        sinks.write_csv(rep.genes, f"{path}/{name}/genes.csv")
+        numbered = rep.genes.join(rows.withColumnRenamed("gene", "gene_id"), "gene_id").orderBy("index")
+        sinks.write_csv(numbered.select(*rep.genes.columns), f"{path}/{name}/genes.csv")
     sinks.write_csv(rep.species, f"{path}/analysis/species_summary.csv")
 
 

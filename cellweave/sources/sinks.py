@@ -2,41 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.lineage import cut
-
-_LOW = (1 << 33) - 1  # row part of monotonically_increasing_id
-
-
-def global_index(df: DataFrame, column: str) -> DataFrame:
-    """(column, index): 1-based position of each distinct value in sort order.
-
-    A range-partitioned sort is checkpointed so that its partitions hold still; an offset per
-    partition then completes the numbering without one task seeing all values.
-    """
-    ordered = cut(df.select(column).distinct().orderBy(column)).withColumn(
-        "_id", F.monotonically_increasing_id()
-    )
-    part = F.shiftright("_id", 33)
-    sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return ordered.withColumn("_part", part).join(offsets, "_part").select(
-        column, (F.col("_id").bitwiseAND(_LOW) + F.col("_offset") + 1).alias("index")
-    )
+from cellweave.operators.ordering import global_index
 
 
 def write_matrix_market(
     matrix: DataFrame, path: str, feature: str, cell: str = "cell_barcode",
-    kind: str = "real", feature_file: str = "genes",
-) -> None:
+    kind: str = "real", feature_file: str = "genes", features: DataFrame | None = None,
+) -> DataFrame:
     """count.mtx (feature by cell), the feature list and barcodes, each a directory of parts.
 
-    Joining the parts of count.mtx in name order gives a valid Matrix Market file.
+    Joining the parts of count.mtx in name order gives a valid Matrix Market file. ``features`` are the rows to
+    number, those of the matrix itself if not given. Returns them with their row number (``feature``, index).
     """
-    rows = cut(global_index(matrix, feature))
+    rows = cut(global_index(matrix if features is None else features, feature))
     cols = cut(global_index(matrix, cell))
     body = matrix.join(rows.withColumnRenamed("index", "_r"), feature).join(
         cols.withColumnRenamed("index", "_c"), cell
@@ -58,6 +40,7 @@ def write_matrix_market(
     _ordered_text(head.unionByName(lines), ["_r", "_c"], f"{path}/count.mtx")
     _ordered_text(rows.withColumnRenamed(feature, "value"), ["index"], f"{path}/{feature_file}.txt")
     _ordered_text(cols.withColumnRenamed(cell, "value"), ["index"], f"{path}/barcodes.txt")
+    return rows
 
 
 def _ordered_text(df: DataFrame, order: list[str], path: str) -> None:
@@ -71,11 +54,13 @@ def fastq_lines(name: Column, seq: Column, qual: Column) -> Column:
 def write_fastq(tagged: DataFrame, path: str, by: tuple[str, ...] = ("sample", "tag")) -> None:
     """R1 and R2 under {path}/R1 and /R2, partitioned by sample and tag; mates stay in step.
 
-    Both mates are sorted by (partition columns, ordinal), so line numbers agree per directory.
+    Both mates are sorted by (partition columns, library, ordinal), which is unique, so line numbers agree per
+    directory. A single library needs no ``lib_id``.
     """
     from cellweave.operators.barcode import packed_name
 
-    ranged = tagged.repartitionByRange(*by, "ordinal").sortWithinPartitions(*by, "ordinal")
+    order = [*by, *[c for c in ("lib_id", "ordinal") if c in tagged.columns]]
+    ranged = tagged.repartitionByRange(*order).sortWithinPartitions(*order)
     for k in (1, 2):
         record = fastq_lines(packed_name(f"name{k}"), F.col(f"seq{k}"), F.col(f"qual{k}"))
         ranged.select(*by, record.alias("value")).write.mode("overwrite").partitionBy(*by).text(f"{path}/R{k}")
