@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.classes import linked_classes
+from cellweave.llm.classes import linked_classes, shared_weights
 from cellweave.llm.common import small_batches, stored, text_key, text_or_empty
 from cellweave.llm.near_dedup import BROADCAST_IDS, digest
 from cellweave.llm.shingles import mixed, shingle_hashes
@@ -185,11 +185,10 @@ def similar_classes(documents: DataFrame, threshold: float = THRESHOLD, bands: i
             for batch in batches:
                 for node, blob in zip(batch.column("node"), batch.column("shingles"), strict=True):
                     found = np.frombuffer(blob.as_buffer(), np.int64)
-                    yield pa.RecordBatch.from_pydict({"node": pa.array([node.as_py()] * len(found), pa.binary()), "shingle": pa.array(found)})
+                    columns = {"node": pa.array([node.as_py()] * len(found), pa.binary()), "shingle": pa.array(found), "w": pa.array(np.ones(len(found)))}
+                    yield pa.RecordBatch.from_pydict(columns)
 
-        rows = stored(sets.join(chosen, "node").mapInArrow(spread, "node binary, shingle long"))
-        held = rows.groupBy("shingle").count().where("count > 1")
-        return rows.join(held, "shingle", "left").groupBy("node").agg(F.count(F.lit(1)).cast("double").alias("weight"), F.count("count").cast("double").alias("shared"))
+        return shared_weights(stored(sets.join(chosen, "node").mapInArrow(spread, "node binary, shingle long, w double")))
 
     roots = linked_classes(keys, verify, shares, threshold)
     rooted = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.classes import linked_classes
+from cellweave.llm.classes import linked_classes, shared_weights
 from cellweave.llm.common import small_batches, stored, text_or_empty
 from cellweave.llm.shingles import mixed, shingle_hashes
 
@@ -154,8 +154,7 @@ def near_classes(
 
     docs = documents.select("doc_id", digest().alias("node"), text_or_empty().alias("text"))
     signed = stored(docs.mapInArrow(sample, f"doc_id {id_type}, node binary, keys array<bigint>"))
-    nodes = signed.groupBy("node").agg(F.first("keys").alias("keys"))
-    keys = nodes.select("node", F.explode("keys").alias("key"))
+    keys = signed.select("node", F.explode("keys").alias("key")).distinct()
     several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     keys = stored(keys.join(several, "key").select("key", "node"))
     lists = stored(_shingle_lists(documents, keys.select("node").distinct()))
@@ -182,11 +181,7 @@ def near_classes(
                             {"node": pa.array([node.as_py()] * len(part), pa.binary()), "shingle": pa.array(part.astype(np.int64)), "w": pa.array(weights[at : at + _FLUSH].astype(float))}
                         )
 
-        rows = stored(lists.join(chosen, "node").mapInArrow(spread, "node binary, shingle long, w double"))
-        # What others hold of a shingle is at most the largest weight there, or the second largest for who holds that.
-        held = rows.groupBy("shingle").agg(F.max("w").alias("most"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        shared = rows.join(held, "shingle", "left").groupBy("node")
-        return shared.agg(F.sum("w").alias("weight"), F.sum(F.when(F.col("n") > 1, F.least("w", "most")).otherwise(0.0)).alias("shared"))
+        return shared_weights(stored(lists.join(chosen, "node").mapInArrow(spread, "node binary, shingle long, w double")))
 
     roots = linked_classes(keys, verify, shares, threshold)
     rooted = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
