@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.config import AssayConfig
-from cellweave.operators import annotation, barcode, circle, intervals, links, molecules, mutation
+from cellweave.operators import annotation, barcode, circle, intervals, links, molecules, mutation, trim
 from cellweave.plans import demultiplex, mutations, postprocess, regulatory
 from cellweave.sources import alignments, fasta, sinks, tables
 
@@ -50,10 +50,15 @@ def preprocess(spark, a):
     # One row per library: a list of file names, not data.
     rows = tables.read_raw_list(spark, a.raw_list).orderBy("ordinal").collect()
     libraries = {r.lib_id: tables.read_fastq_pair(spark, r.fq1, r.fq2) for r in rows}
-    tagged = demultiplex.preprocess(libraries, whitelists, samples, cfg, work_dir=f"{a.out}/trimmed")
+    tagged, stats = demultiplex.preprocess(libraries, whitelists, samples, cfg, work_dir=f"{a.out}/trimmed", stats=True)
     tagged.write.mode("overwrite").partitionBy("sample", "tag").parquet(f"{a.out}/split_sample")
+    sinks.write_csv(stats, f"{a.out}/stats.csv")
+    split = spark.read.parquet(f"{a.out}/split_sample")
+    sinks.write_csv(barcode.sample_shares(split), f"{a.out}/sample_shares.csv")
     if a.fastq:
-        sinks.write_fastq(spark.read.parquet(f"{a.out}/split_sample"), f"{a.out}/fastq")
+        # RNA reads lose their spacer and poly-A first.
+        rna = trim.trim_rna(split.where("tag = 'R'"), cfg)
+        sinks.write_fastq(split.where("tag <> 'R'").unionByName(rna.select(*split.columns)), f"{a.out}/fastq")
 
 
 def postprocess_(spark, a):
@@ -68,6 +73,7 @@ def postprocess_(spark, a):
         mols, genes, rna, a.frac_low, a.frac_high, a.cutoff, a.try_iter, a.window
     )
     postprocess.write_report(rep, a.out)
+    postprocess.write_run_report(mols, rep, a.out, reads, cfg, a.n_reads or None, rna)
     if rna:
         return
     kept = molecules.filter_atac_bam(reads, mols, rep.called, cfg.min_mapq, cfg.max_flen)
@@ -82,16 +88,18 @@ def postprocess_(spark, a):
         regions = tables.read_bed(spark, a.refbed)
     if a.countby == "peak":
         regions = regions.withColumnRenamed("score", "val")
-    postprocess.region_matrix(qc["reads"], regions, f"{a.out}/{a.countby}", a.countby == "peak")
+    postprocess.region_matrix(qc["reads"], regions, f"{a.out}/{a.countby}", a.countby == "peak", a.binary)
 
 
 def rereport(spark, a):
     """Repeat the expression report on stored molecules with other knee settings."""
     genes, _ = _reference(spark, a.genome_dir)
+    mols = spark.read.parquet(a.molecules)
     rep = postprocess.expression_report(
-        spark.read.parquet(a.molecules), genes, a.datatype == "RNA", a.frac_low, a.frac_high, a.cutoff, a.try_iter, a.window
+        mols, genes, a.datatype == "RNA", a.frac_low, a.frac_high, a.cutoff, a.try_iter, a.window
     )
     postprocess.write_report(rep, a.out)
+    postprocess.write_run_report(mols, rep, a.out, n_reads=a.n_reads or None, rna=a.datatype == "RNA")
 
 
 def link(spark, a):
@@ -155,11 +163,13 @@ def parser() -> argparse.ArgumentParser:
     mode("preproc", preprocess, "raw_list", "sample_bc_list", "whitelist+", config=None, fastq=False)
     m = mode(
         "postproc", postprocess_, "alignments", "genome_dir", config=None, frac_low=0.3, frac_high=0.925,
-        cutoff=10.0, try_iter=20, window=100, tssref=None, refbed=None, genome_size=None, bin=2000, countby="bin",
+        cutoff=10.0, try_iter=20, window=100, tssref=None, refbed=None, genome_size=None, bin=2000, countby="bin", n_reads=0,
+        binary=False,
     )
     m.add_argument("--datatype", choices=["RNA", "ATAC"], required=True)
     m = mode(
-        "report", rereport, "molecules", "genome_dir", frac_low=0.3, frac_high=0.925, cutoff=10.0, try_iter=20, window=100
+        "report", rereport, "molecules", "genome_dir", frac_low=0.3, frac_high=0.925, cutoff=10.0, try_iter=20, window=100,
+        n_reads=0,
     )
     m.add_argument("--datatype", choices=["RNA", "ATAC"], required=True)
     mode("links", link, "expression", "accessibility", "genome_dir", "fasta", window_kb=500)

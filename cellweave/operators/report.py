@@ -77,6 +77,12 @@ def run_summary(
     )
 
 
+def as_lines(row: DataFrame, stage: str) -> DataFrame:
+    """(stage, key, value) of a frame of one row of numbers."""
+    pairs = [F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in row.columns]
+    return row.select(F.lit(stage).alias("stage"), F.inline(F.array(*pairs)))
+
+
 def kmer_reference(fasta: DataFrame, k: int = 30) -> DataFrame:
     """(kmer, strand) of both strands of the reference lines; 'sense' where a k-mer is on both."""
     both = fasta.select(

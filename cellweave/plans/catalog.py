@@ -407,17 +407,21 @@ _ATAC = f"""select *, pos as first_pos, pos + abs(tlen) as last_pos from ({ALN})
       and not is_unmapped and not mate_is_unmapped and is_proper_pair and not is_reverse and abs(tlen) <= 1000 and mapq >= 30"""
 
 
-def _rna_reads(spark, sf):
+def _rna_blocks(alignments):
     pos = F.col("pos")
 
     def block(start, end):
         return F.struct((pos + start).alias("start"), (pos + end).alias("end"))
 
-    reads = molecules.rna_alignments(V.view(spark, sf, V.ALIGNMENT))
+    reads = molecules.rna_alignments(alignments)
     blocks = F.when(F.abs("tlen") > 150, F.array(block(0, 20), block(120, 130))).otherwise(F.array(block(0, 30)))
     return molecules.block_span(reads.withColumn("blocks", blocks))
 
 
+def _rna_reads(spark, sf):
+    return _rna_blocks(V.view(spark, sf, V.ALIGNMENT))
+
+
 @_register("rna_gene_assignment", _assign_sql(_RNA, "r.first_pos", "r.last_pos"))
 def rna_gene_assignment(spark, sf):
     out = annotation.assign_genes(_rna_reads(spark, sf), V.view(spark, sf, V.GENE))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cellweave.config import AssayConfig
 from cellweave.lineage import cut
-from cellweave.operators import barcode, trim
+from cellweave.operators import barcode, report, trim
 
 
 @dataclass(frozen=True)
@@ -66,16 +66,26 @@ def _store(reads: DataFrame, lib_id: str, work_dir: str | None) -> DataFrame:
 
 def preprocess(
     libraries: dict[str, DataFrame], whitelists: Sequence[DataFrame], sample_bc: DataFrame,
-    cfg: AssayConfig, trimmed: bool = False, work_dir: str | None = None,
-) -> DataFrame:
+    cfg: AssayConfig, trimmed: bool = False, work_dir: str | None = None, stats: bool = False,
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Tagged reads of all libraries with their sample; key of ``libraries`` is the library id.
 
-    Trimmed reads are written once, as parquet under ``work_dir`` or else as a checkpoint.
+    Trimmed reads are written once, as parquet under ``work_dir`` or else as a checkpoint. With ``stats`` also
+    (lib_id, stage, key, value) of the barcodes: match classes, tags, perfect shares and base qualities.
     """
     index = build_index(whitelists, cfg)
-    out = None
+    out = numbers = None
     for lib_id, reads in libraries.items():
         kept = reads if trimmed else _store(trim.trim_library(reads, cfg), lib_id, work_dir)
-        tagged = parse_library(kept, index, cfg, lib_id)[2].withColumn("lib_id", F.lit(lib_id))
+        sliced, corrected, tagged = parse_library(kept, index, cfg, lib_id)
+        if stats:
+            lines = barcode.run_stats(corrected, tagged).select(F.lit("barcodes").alias("stage"), "key", "value")
+            exact = _slice(kept, index.exact_prefixes, cfg)
+            lines = lines.unionByName(report.as_lines(barcode.perfect_rates(exact, index.whitelists), "perfect"))
+            lines = lines.unionByName(report.as_lines(barcode.quality_summary(sliced, cfg), "quality"))
+            lines = lines.withColumn("lib_id", F.lit(lib_id)).select("lib_id", "stage", "key", "value")
+            numbers = lines if numbers is None else numbers.unionByName(lines)
+        tagged = tagged.withColumn("lib_id", F.lit(lib_id))
         out = tagged if out is None else out.unionByName(tagged)
-    return barcode.split_modalities(barcode.with_sample(out, sample_bc), cfg)
+    split = barcode.split_modalities(barcode.with_sample(out, sample_bc), cfg)
+    return (split, numbers) if stats else split

@@ -101,3 +101,55 @@ def test_other_commands(spark, tmp_path):
     (tmp_path / "cl").write_text("C1-0 T\nC1-1 N\n")
     main(["clusters", "--out", str(tmp_path / "cl_out"), "--alignments", str(tmp_path / "x.sam"), str(tmp_path / "x.sam"), "--clusters", str(tmp_path / "cl"), "--suffix"])
     assert {(r.barcode, r.label) for r in spark.read.parquet(str(tmp_path / "cl_out")).collect()} == {("C1-0", "T"), ("C1-1", "N")}
+
+
+def test_preprocess_command_writes_reports(spark, tmp_path):
+    reads = V.view(spark, SF, V.READ_PAIR).orderBy("ordinal").limit(400).collect()
+    for lib in (0, 1):
+        for k in (1, 2):
+            own = reads[lib::2]
+            (tmp_path / f"l{lib}_{k}.fq").write_text("".join(f"{r[f'name{k}']}\n{r[f'seq{k}']}\n+\n{r[f'qual{k}']}\n" for r in own))
+    (tmp_path / "raw.list").write_text("".join(f"lib\tLIB{lib}aaa.\t{tmp_path}/l{lib}_1.fq\t{tmp_path}/l{lib}_2.fq\n" for lib in (0, 1)))
+    for i, w in enumerate((V.WHITELIST1, V.WHITELIST2, V.WHITELIST3)):
+        (tmp_path / f"w{i}").write_text("".join(f"{n}\t{r.barcode}\n" for n, r in enumerate(V.view(spark, SF, w).collect())))
+    (tmp_path / "samples").write_text("".join(f"{r.sample}\t{r.bc}\n" for r in V.view(spark, SF, V.SAMPLE_BC).collect()))
+    out = tmp_path / "run"
+    main([
+        "preproc", "--out", str(out), "--raw_list", str(tmp_path / "raw.list"), "--sample_bc_list", str(tmp_path / "samples"),
+        "--whitelist", *[str(tmp_path / f"w{i}") for i in range(3)], "--fastq",
+    ])
+    stats = spark.read.option("header", True).csv(str(out / "stats.csv")).collect()
+    assert {r.lib_id for r in stats} == {"LIB0aaa.", "LIB1aaa."} and {r.stage for r in stats} == {"barcodes", "perfect", "quality"}
+    names = []
+    for k in (1, 2):
+        lines = "".join(open(p).read() for p in sorted(glob.glob(f"{out}/fastq/R{k}/*/*/part-*"))).splitlines()
+        names.append([line.split(":")[:2] for line in lines[::4]])
+    assert names[0] == names[1] and names[0]  # mates of both libraries stay in step
+
+
+def test_filtered_matrix_matches_its_gene_table(spark, tmp_path):
+    mols = V.view(spark, SF, V.MOLECULE)
+    rep = postprocess.expression_report(mols, V.view(spark, SF, V.GENE), cutoff=10, try_iter=20, window=100)
+    postprocess.write_report(rep, str(tmp_path))
+    postprocess.write_run_report(mols, rep, str(tmp_path))
+    text = lambda name: "".join(open(p).read() for p in sorted(glob.glob(f"{tmp_path}/{name}/part-*"))).splitlines()
+    genes = [line.split(",")[0] for line in text("DGE_filtered/genes.csv") if not line.startswith("gene_id")]
+    assert genes == text("DGE_filtered/genes.txt") == text("DGE_unfiltered/genes.txt")
+    body, cells = text("DGE_filtered/count.mtx")[3:], text("DGE_filtered/barcodes.txt")
+    got, want = {}, {}
+    for g, c, v in map(str.split, body):
+        key = genes[int(g) - 1], cells[int(c) - 1]
+        got[key] = got.get(key, 0) + float(v)
+    for r in rep.called_matrix.collect():
+        want[r.gene, r.cell_barcode] = want.get((r.gene, r.cell_barcode), 0) + r.value
+    assert got == want
+    keys = {line.split(",")[1] for line in text("analysis/summary.csv")}
+    assert {"saturation", "estimated_cells", "total_read_count"} <= keys
+
+
+def test_sample_numbers_the_reads_it_is_given(spark):
+    from cellweave.operators import barcode
+
+    reads = spark.range(3000).select((F.col("id") * 2 + 1).alias("ordinal"))
+    got = sorted(r.ordinal for r in barcode.systematic_sample(reads, 300).collect())
+    assert len(got) == 300 and got[-1] > 5900
