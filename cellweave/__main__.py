@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.config import AssayConfig
+from cellweave.lineage import cut
 from cellweave.operators import annotation, barcode, circle, intervals, links, molecules, mutation, trim
 from cellweave.plans import demultiplex, mutations, postprocess, regulatory
 from cellweave.sources import alignments, fasta, sinks, tables
@@ -104,9 +105,13 @@ def rereport(spark, a):
 
 def link(spark, a):
     genes = spark.read.parquet(f"{a.genome_dir}/genes")
-    expr, acc = spark.read.parquet(a.expression), spark.read.parquet(a.accessibility)
+    expr, acc = links.by_gene_id(spark.read.parquet(a.expression), genes), spark.read.parquet(a.accessibility)
     peaks = links.peak_table(acc.select("peak").distinct())
-    gc = links.gc_content(peaks, fasta.read_genome(spark, a.fasta))
+    genome = fasta.read_genome(spark, a.fasta)
+    gc = cut(links.gc_content(peaks, genome.withColumn("chrom", links.bare_contig(F.col("chrom")))))
+    lost = peaks.join(gc, "peak", "left_anti").first()
+    if lost is not None:
+        raise ValueError(f"the genome has no sequence for peak {lost.peak}")
     found = regulatory.associate(expr, acc, genes, gc, a.window_kb)["links"]
     sinks.write_links(regulatory.finish(found, genes), a.out)
 

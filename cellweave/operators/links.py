@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.functions.stats import normal_sf
 from cellweave.lineage import cut
 from cellweave.operators.intervals import bin_of, clip_to_bins, overlap_join
+from cellweave.operators.ordering import global_index
 
 MI_BINS = 8
 
@@ -99,11 +100,23 @@ def resolve_genes(queries: DataFrame, genes: DataFrame) -> DataFrame:
     )
 
 
+def by_gene_id(expression: DataFrame, genes: DataFrame) -> DataFrame:
+    """(cell, gene_id, value) of a matrix whose genes are ids or names; entries of names of one gene are summed."""
+    asked = expression.withColumnRenamed("gene_id", "gene")
+    named = asked.join(resolve_genes(asked, genes), "gene")
+    return named.groupBy("cell", "gene_id").agg(F.sum("value").alias("value"))
+
+
+def bare_contig(chrom: Column) -> Column:
+    """The contig without the species in front of it, as in peak names and gene starts."""
+    return F.element_at(F.split(chrom, "_"), -1)
+
+
 def gene_tss(genes: DataFrame) -> DataFrame:
     """TSS of each gene on the bare contig: start on the plus strand, end on the minus strand."""
     return genes.select(
         "gene_id", "gene_name",
-        F.element_at(F.split("chrom", "_"), -1).alias("chrom"),
+        bare_contig(F.col("chrom")).alias("chrom"),
         F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start")).alias("tss"),
     )
 
@@ -282,8 +295,9 @@ def mutual_information(
     """(gene_id, peak, mi) in nats, from an equal-width histogram per axis.
 
     ``expr`` is (cell, gene_id, value) and ``acc`` (cell, peak) of open peaks; a missing entry is
-    0. Only stored entries are joined: the counts for absent ones follow from the margins. Both are
-    read several times, so pass stored or checkpointed tables.
+    0. Cells are numbered and packed 64 to a word: a peak's open cells and a gene's cells of one bin meet as words, and the
+    set bits of their conjunction are the joint count, so no row stands for a single cell. The counts for absent entries
+    follow from the margins. Both tables are read several times, so pass stored or checkpointed ones.
     """
     spread = expr.groupBy("gene_id").agg(
         F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("*").alias("_stored")
@@ -315,9 +329,19 @@ def mutual_information(
 
     open_cells = acc.groupBy("peak").agg(F.count("*").alias("n1"))
     wanted = pairs.select("gene_id", "peak").distinct()
+    numbers = global_index(expr, "cell")
+
+    def words(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+        bit = F.expr("shiftleft(1L, cast(index % 64 as int))")
+        word = F.floor(F.col("index") / 64).alias("word")
+        return rows.join(numbers, "cell").groupBy(*keys, word).agg(F.bit_or(bit).alias(name))
+
     met = (
-        wanted.join(acc, "peak").join(binned, ["gene_id", "cell"])
-        .groupBy("gene_id", "peak", "y").agg(F.count("*").alias("n11"))
+        wanted.join(words(acc, ["peak"], "_open"), "peak")
+        .join(words(binned, ["gene_id", "y"], "_in"), ["gene_id", "word"])
+        .groupBy("gene_id", "peak", "y")
+        .agg(F.sum(F.bit_count(F.col("_open").bitwiseAND(F.col("_in")))).alias("n11"))
+        .where("n11 > 0")
     )
     met_total = met.groupBy("gene_id", "peak").agg(F.sum("n11").alias("_met"))
     base = (
