@@ -26,7 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,6 +52,8 @@ _PLAIN = re.compile(r"[^\W\d_]*").fullmatch
 _RUN = re.compile(r"([^\W\d_])\1\1").search
 _INNER = re.compile(r"[^\W_].*[^\W_]|[^\W_]", re.S)
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .*_-]|[@$!|+][ .*_-]){2,}(?:[^\W_]|[@$!|+])(?![^\W_])")
+#: Two blanks or marks with a single character after each: needed for the above, and quickly looked for.
+_MAYBE_SPACED = re.compile(r"[ .*_-][^\s.*_-][ .*_-][^\s.*_-]").search
 
 
 @dataclass
@@ -142,14 +144,14 @@ class Decoder:
 
 
 class Restorer:
-    """Distinct restored words of a text; readings of tokens are kept in a bounded cache."""
+    """What ``of`` makes of the restored words of a text's tokens, as a set; kept by token in a bounded cache."""
 
-    def __init__(self, model: CharModel, most: int = 400_000):
-        self.decode, self.most, self.seen = Decoder(model), most, {}
+    def __init__(self, model: CharModel, of: Callable[[Iterable[str]], Iterable[str]] = tuple, most: int = 700_000):
+        self.decode, self.of, self.most, self.seen = Decoder(model), of, most, {}
 
     def token(self, token: str) -> list[str]:
-        if _PLAIN(token) and not _RUN(token):
-            return [token] if token else []
+        if token.isalpha() and not _RUN(token):
+            return [token]
         inner = _INNER.search(token)
         core = inner[0] if inner else ""
         if _PLAIN(core) and not _RUN(core):
@@ -166,30 +168,33 @@ class Restorer:
             read = [core, *read]
         return read
 
-    def words(self, text: str) -> set[str]:
+    def __call__(self, text: str) -> set[str]:
         text = text.lower()
         out: set[str] = set()
-        for match in _SPACED.finditer(text):
-            out.update(self.decode(match[0], spaced=True))
-        seen = self.seen
-        for token in set(text.split()):
-            words = seen.get(token)
-            if words is None:
-                if len(seen) >= self.most:
-                    seen.clear()
-                words = seen[token] = self.token(token)
-            out.update(words)
+        if _MAYBE_SPACED(text):
+            for match in _SPACED.finditer(text):
+                out.update(self.of(self.decode(match[0], spaced=True)))
+        if len(self.seen) >= self.most:
+            self.seen.clear()
+        seen, tokens = self.seen, set(text.split())
+        for token in tokens.difference(seen):
+            seen[token] = tuple(self.of(self.token(token)))
+        out.update(*filter(None, map(seen.__getitem__, tokens)))
         return out
 
 
 def terms_of(words: Iterable[str]) -> set[str]:
     out = set()
     for w in words:
-        if len(w) >= 3:
+        n = len(w)
+        if n >= 3:
             out.add(w)
-            for k in (4, 5, 6):
-                if len(w) > k:
-                    out.add("^" + w[:k])
+            if n > 4:
+                out.add("^" + w[:4])
+                if n > 5:
+                    out.add("^" + w[:5])
+                    if n > 6:
+                        out.add("^" + w[:6])
     return out
 
 
@@ -210,14 +215,16 @@ class ToxicityModel:
     counts: dict[str, tuple[int, int]]
     coefficients: np.ndarray
 
-    def evidence(self, words: Iterable[str], label: int | None = None) -> list[float]:
+    def restorer(self) -> Restorer:
+        """From texts to those of their terms that the model knows."""
+        return Restorer(self.chars, lambda words: self.counts.keys() & terms_of(words))
+
+    def evidence(self, terms: Iterable[str], label: int | None = None) -> list[float]:
         """The three strongest weights and how much the others add; ``label`` leaves the document's own count out."""
         found = []
-        for t in terms_of(words):
-            pair = self.counts.get(t)
-            if pair:
-                toxic, clean = pair
-                found.append(_weight(toxic - (label == 1), clean - (label == 0), self.n_toxic, self.n_clean))
+        for t in terms:
+            toxic, clean = self.counts[t]
+            found.append(_weight(toxic - (label == 1), clean - (label == 0), self.n_toxic, self.n_clean))
         found = sorted((w for w in found if w), reverse=True)
         top = [*found[:3], 0.0, 0.0, 0.0][:3]
         return [*top, math.log1p(sum(found[3:]))]
@@ -257,7 +264,8 @@ def word_counts(documents: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             words: Counter = Counter()
             for token, n in tokens.items():
-                for w in _WORDS(token.lower()):
+                token = token.lower()
+                for w in (token,) if token.isalpha() else _WORDS(token):
                     words[w] += n
             tokens.clear()
             return pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "n": pa.array(words.values(), pa.int64())})
@@ -289,7 +297,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, train_rows: int = TRAI
     rows = training_rows(documents, labels, "toxic", FOLDS, HELD, train_rows)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore, seen = Restorer(shared.value), ({}, {})
+        restore, seen = Restorer(shared.value, terms_of), ({}, {})
 
         def flush() -> pa.RecordBatch:
             keys = list(dict.fromkeys([*seen[1], *seen[0]]))
@@ -302,7 +310,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, train_rows: int = TRAI
         for batch in batches:
             for text, label in zip(batch.column("text"), batch.column("_label").to_pylist(), strict=True):
                 into = seen[1 if label else 0]
-                for t in terms_of(restore.words(text.as_py())):
+                for t in restore(text.as_py()):
                     into[t] = into.get(t, 0) + 1
                 if len(seen[0]) + len(seen[1]) > _FLUSH:
                     yield flush()
@@ -321,10 +329,10 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, train_rows: int = TRAI
 
     def evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unfitted.value
-        restore = Restorer(model.chars)
+        restore = model.restorer()
         for batch in batches:
             ys = [int(y > 0) for y in batch.column("_label").to_pylist()]
-            xs = [model.evidence(restore.words(t.as_py()), y) for t, y in zip(batch.column("text"), ys, strict=True)]
+            xs = [model.evidence(restore(t.as_py()), y) for t, y in zip(batch.column("text"), ys, strict=True)]
             yield pa.RecordBatch.from_pydict({"x": pa.array(xs, pa.list_(pa.float64())), "y": pa.array(ys, pa.int32())})
 
     seen = rows.mapInArrow(evidence, "x array<double>, y int").toArrow()  # train_rows rows of five numbers
@@ -338,9 +346,9 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0
     """A row per document: doc_id, text_key, held_out, score, predicted."""
     model = documents.sparkSession.sparkContext.broadcast(fit_toxicity(documents, labels))
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore = Restorer(model.value.chars)
+        restore = model.value.restorer()
         for batch in batches:
-            rows = [model.value.evidence(restore.words(t.as_py())) for t in batch.column("text")]
+            rows = [model.value.evidence(restore(t.as_py())) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(model.value.score(rows), pa.float64())], ["doc_id", "text_key", "score"]
             )

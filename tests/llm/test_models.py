@@ -59,7 +59,7 @@ def restorer(spark):
     [("l0ser", "loser"), ("m0r0n!", "moron"), ("tr@sh,", "trash"), ("i d i o t", "idiot"), ("an i.d.i.o.t", "idiot"), ("idiooot", "idiot"), ("$tupid", "stupid"), ("c l 0 w n", "clown"), ("Plain", "plain")],
 )
 def test_disguises_are_undone(restorer, text, word):
-    assert word in restorer.words(text)
+    assert word in restorer(text)
 
 
 def test_extraction_from_pages(spark):
