@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import small_batches, text_key, text_or_empty
 
-TRAIN_ROWS, TERMS, ALPHABET = 20_000, 50_000, 60
+TRAIN_ROWS, TERMS, ALPHABET = 12_000, 50_000, 60
 MIN_SUPPORT, MIN_WEIGHT = 3, 1.0
 FOLDS, HELD = 5, 0
 _FLUSH = 200_000
