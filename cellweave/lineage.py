@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` and return it with its lineage cut; survives the loss of executors.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where none is set, as in local
-    tests, is a temporary one used.
+    The folder is the session's ``spark.checkpoint.dir``; there is no default, as a folder of the driver's machine
+    would be lost on executors. Only a ``local`` master may leave it out: driver and executor are one process there.
+    Files go with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:

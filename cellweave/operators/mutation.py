@@ -2,74 +2,94 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cellweave.functions.seq import cell_from_qname
 
-_BASES = frozenset("ACGTNacgtn.,*#><")
-_INDEL = re.compile(r"[+-](\d+)")
-_SPECIAL = re.compile(r"[^ACGTNacgtn.,*#><]")
-
-
-def split_pileup(text: str, n: int) -> list[str] | None:
-    """One token per read; marks and indels stay attached. None unless exactly ``n`` tokens."""
-    if not _SPECIAL.search(text):
-        return list(text) if len(text) == n else None
-    tokens: list[str] = []
-    at = 0
-    while at < len(text):
-        ch = text[at]
-        if ch in _BASES:
-            tokens.append(ch)
-            at += 1
-        elif ch == "^" and at + 2 < len(text):
-            tokens.append("^" + text[at + 2])
-            at += 3
-        elif ch == "$" and tokens:
-            tokens[-1] += "$"
-            at += 1
-        elif ch in "+-" and tokens and (size := _INDEL.match(text, at)):
-            stop = size.end() + int(size.group(1))
-            tokens[-1] += ch + text[size.end() : stop]
-            at = stop
-        else:
-            break
-    return tokens if len(tokens) == n else None
+# The characters that stand for one read in the pileup format.
+BASES = "ACGTNacgtn.,*#><"
+_MARKED = r"[^ACGTNacgtn.,*#><]"
+_STATE = "struct<out:string,mode:int,sign:string,num:string,left:int,n:int>"
+# What the next character is to the fold below.
+_READ, _QUALITY, _FIRST, _NUMBER, _INDEL, _BROKEN = range(6)
 
 
-def pileup_tokens(text: Column, n: Column) -> Column:
-    """Alleles of a pileup column; null when the row cannot be parsed to ``n`` reads."""
-    return _tokens(text, n)
+def _marked_tokens(text: Column) -> Column:
+    """(out, n): tokens of a text with read marks or indels, each behind a line feed, and their number.
 
+    A fold over the characters. Of a read start the quality is left out, of an indel the length; what cannot be
+    read ends the tokens.
+    """
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _tokens(text: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([split_pileup(t, int(k)) for t, k in zip(text, n)])
+    def step(s: Column, c: Column) -> Column:
+        def state(out=s["out"], mode=None, sign=s["sign"], num=s["num"], left=s["left"], n=s["n"]) -> Column:
+            fields = {"out": out, "mode": mode, "sign": sign, "num": num, "left": left, "n": n}
+            plain = {k: F.lit(v) if isinstance(v, (int, str)) else v for k, v in fields.items()}
+            return F.struct(*[v.alias(k) for k, v in plain.items()]).cast(_STATE)
+
+        def read(out: Column) -> Column:
+            return (
+                F.when(F.lit(BASES).contains(c), state(F.concat(out, F.lit("\n"), c), _READ, n=s["n"] + 1))
+                .when(c == "^", state(out, _QUALITY))
+                .when((c == "$") & (s["n"] > 0), state(F.concat(out, c), _READ))
+                .when(c.isin("+", "-") & (s["n"] > 0), state(out, _NUMBER, sign=c, num=""))
+                .otherwise(state(out, _BROKEN))
+            )
+
+        size = s["num"].try_cast("int")
+        signed = F.concat(s["out"], s["sign"])
+        after = lambda left: F.when(left > 0, _INDEL).otherwise(_READ)
+        number = (
+            F.when(c.between("0", "9"), state(mode=_NUMBER, num=F.concat(s["num"], c)))
+            .when(size.isNull(), state(mode=_BROKEN))
+            .when(size == 0, read(signed))
+            .otherwise(state(F.concat(signed, c), after(size - 1), left=size - 1))
+        )
+        return (
+            F.when(s["mode"] == _READ, read(s["out"]))
+            .when(s["mode"] == _QUALITY, state(mode=_FIRST))
+            .when(s["mode"] == _FIRST, state(F.concat(s["out"], F.lit("\n^"), c), _READ, n=s["n"] + 1))
+            .when(s["mode"] == _NUMBER, number)
+            .when(s["mode"] == _INDEL, state(F.concat(s["out"], c), after(s["left"] - 1), left=s["left"] - 1))
+            .otherwise(s)
+        )
+
+    start = F.struct(
+        F.lit("").alias("out"), F.lit(_READ).alias("mode"), F.lit("").alias("sign"), F.lit("").alias("num"),
+        F.lit(0).alias("left"), F.lit(0).alias("n"),
+    ).cast(_STATE)
+    # A length with nothing behind it still marks its read.
+    open_end = lambda s: (s["mode"] == _NUMBER) & (s["num"] != "")
+    finish = lambda s: F.struct(
+        F.when(open_end(s), F.concat(s["out"], s["sign"])).otherwise(s["out"]).alias("out"), s["n"].alias("n")
+    )
+    return F.aggregate(F.split(text, ""), start, step, finish)
 
 
-def supported(alleles: list[str], min_reads: int, min_alleles: int) -> list[str] | None:
-    """Alleles of one site with more than ``min_reads`` reads; None when the site shows too few.
+def pileup_tokens(text: Column, n: Column) -> Column:
+    """One token per read, marks and indels attached; null when the row cannot be parsed to ``n`` reads.
 
-    Skips do not count towards the alleles with at least ``min_reads`` reads.
+    Rows of plain characters are split as they are.
     """
-    tally = Counter(alleles)
-    strong = sum(1 for a, c in tally.items() if a != "S" and c >= min_reads)
-    kept = [a for a, c in tally.items() if c > min_reads]
-    return kept if strong >= min_alleles and len(kept) >= min_alleles else None
+    marked = _marked_tokens(text)
+    plain = F.when(F.length(text) == n, F.when(n == 0, F.array().cast("array<string>")).otherwise(F.split(text, "")))
+    folded = F.transform(F.array(marked), lambda m: F.when(m["n"] == n, F.split(F.substring(m["out"], 2, 2_147_483_647), "\n")))
+    return F.when(text.rlike(_MARKED), F.get(folded, 0)).otherwise(plain)
 
 
 def _supported(alleles: Column, min_reads: int, min_alleles: int) -> Column:
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def kept(a: pd.Series) -> pd.Series:
-        return pd.Series([supported(list(x), min_reads, min_alleles) for x in a])
+    """Alleles of one site with more than ``min_reads`` reads; null when the site shows too few.
 
-    return kept(alleles)
+    Skips do not count towards the alleles with at least ``min_reads`` reads.
+    """
+    tally = F.transform(
+        F.array_distinct(alleles),
+        lambda a: F.struct(a.alias("allele"), F.size(F.filter(alleles, lambda x: x.eqNullSafe(a))).alias("reads")),
+    )
+    strong = F.size(F.filter(tally, lambda t: (t["allele"] != "S") & (t["reads"] >= min_reads)))
+    kept = F.transform(F.filter(tally, lambda t: t["reads"] > min_reads), lambda t: t["allele"])
+    return F.when((strong >= min_alleles) & (F.size(kept) >= min_alleles), kept)
 
 
 def normalise_allele(token: Column, ref: Column, strip_marks: bool = False) -> Column:

@@ -86,8 +86,9 @@ def test_flat_background_gives_an_infinite_score(spark):
         ("AC!", 2, ["A", "C"]),
     ],
 )
-def test_pileup_tokens(text, n, want):
-    assert mutation.split_pileup(text, n) == want
+def test_pileup_tokens(spark, text, n, want):
+    row = spark.createDataFrame([(text, n)], "text string, n int").select(mutation.pileup_tokens(F.col("text"), F.col("n")).alias("t"))
+    assert row.first().t == want
 
 
 def test_marked_alleles_stay_apart_unless_stripped(spark):
