@@ -1,10 +1,13 @@
-"""Substring deduplication by line hashing.
+"""Substring deduplication by hashing lines (or paragraphs) and the sentences in them.
 
-Each text is cut into units (lines, or paragraphs divided by blank lines). A unit is normalised (lower case,
-every run of characters other than letters and digits one space, trimmed) and hashed to 128 bits. Over the whole
-corpus the earliest occurrence of each digest stays, ranked by (doc_id, text hash, place in the text), nulls
-first; every later one is removed, with its offset in the original text kept. Units of fewer than
-``MIN_WORDS`` normalised words say too little to be called copies and stay.
+Each text is cut into units: lines, or paragraphs divided by blank lines. A unit is cut into sentences, after ``.``, ``!`` or ``?``
+and blanks. Units and sentences are normalised (lower case, every run of characters other than letters and digits one
+space, trimmed) and hashed to 128 bits, each kind by itself. Over the whole corpus the earliest occurrence of each digest
+stays, ranked by (doc_id, text hash, place in the text), nulls first; every later one is a repeat.
+
+Removed are repeated units of at least ``MIN_WORDS`` normalised words, and runs of consecutive repeated sentences of at least
+``RUN_WORDS`` words together, which is how a passage pasted into a line of its own words is found. A shorter repeat says too
+little to be called a copy and stays. Every removed span keeps its offsets in the original text.
 
 The earliest occurrence is an aggregate minimum that combines before the shuffle, so a line in a third of all
 documents costs one row per task. Occurrences are then marked by a join of the digests that occur more than
@@ -12,12 +15,13 @@ once; a digest held by many rows is split by the adaptive skew join.
 
 Defined cases: null and empty texts have no units and stay as they are; a text is cut whole whatever its length;
 rows of equal doc_id and text are one document and each keep what it keeps; ties are broken by the place;
-other columns pass through untouched. A kept text is the kept units joined by their own
-separators.
+other columns pass through untouched. A kept text is the kept units joined by their own separators; in a unit that loses
+sentences the others are joined by one space, and a unit that loses all of them goes.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -28,8 +32,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from cellweave.llm.common import small_batches, text_key, text_or_empty
 
-MIN_WORDS = 5
+MIN_WORDS, RUN_WORDS = 5, 30
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
+SENTENCE_END = r"(?<=[.!?])[ \t]+"
+_WORD = re.compile(r"[^\W_]+")
 
 
 def normalised(unit: Column) -> Column:
@@ -37,48 +43,91 @@ def normalised(unit: Column) -> Column:
 
 
 def _units(documents: DataFrame, separator: str, min_words: int) -> DataFrame:
-    """One row per long enough unit: digest, document and place."""
+    """A row per long enough unit (even kind, place of the unit) and per sentence (place among all of the text's)."""
     rows = documents.select("doc_id", text_key().alias("text_key"), F.split(text_or_empty(), separator).alias("units"))
-    rows = rows.select("doc_id", "text_key", F.posexplode("units").alias("place", "unit"))
-    rows = rows.withColumn("plain", normalised(F.col("unit")))
-    words = F.size(F.split("plain", " "))
-    return rows.where((F.col("plain") != "") & (words >= min_words)).select(
-        "doc_id", "text_key", "place", F.unhex(F.md5(F.col("plain").cast("binary"))).alias("digest")
+    sentences = F.flatten(F.transform("units", lambda u: F.split(u, SENTENCE_END)))
+    kinds = F.array(
+        F.struct(F.lit("u").alias("kind"), F.col("units").alias("parts")), F.struct(F.lit("s").alias("kind"), sentences.alias("parts"))
     )
+    rows = rows.select("doc_id", "text_key", F.explode(kinds).alias("of"))
+    rows = rows.select("doc_id", "text_key", "of.kind", F.posexplode("of.parts").alias("place", "part"))
+    rows = rows.withColumn("plain", normalised(F.col("part")))
+    enough = (F.col("kind") == "s") | (F.size(F.split("plain", " ")) >= min_words)
+    digest = F.unhex(F.md5(F.concat("kind", "plain").cast("binary")))
+    return rows.where((F.col("plain") != "") & enough).select("doc_id", "text_key", "kind", "place", digest.alias("digest"))
 
 
 def repeated_units(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text_key, places: the places of a text's units that stand earlier in the corpus."""
+    """doc_id, text_key, units, sentences: the places of a text's units and sentences that stand earlier in the corpus."""
     units = _units(documents, SEPARATORS[unit], min_words)
     rank = F.struct("doc_id", "text_key", "place")
     firsts = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("times"))
     found = units.join(firsts.where("times > 1"), "digest")
-    later = ~rank.eqNullSafe(F.col("first"))
-    found = found.where(later).groupBy("doc_id", "text_key")
-    return found.agg(F.array_sort(F.collect_set("place")).alias("places"))
+    found = found.where(~rank.eqNullSafe(F.col("first"))).groupBy("doc_id", "text_key")
+    own = lambda kind: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.col("place"))))
+    return found.agg(own("u").alias("units"), own("s").alias("sentences"))
+
+
+def cut(text: str, separator: str, units: set[int], sentences: set[int], run_words: int = RUN_WORDS) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text without repeated units and long runs of repeated sentences, and (place, start, end) of what went."""
+    rows, at, nth, run = [], 0, 0, []  # a row per sentence: unit, start, end, removed
+
+    def close() -> None:
+        if sum(len(_WORD.findall(text[rows[k][1] : rows[k][2]])) for k in run) >= run_words:
+            for k in run:
+                rows[k][3] = True
+        run.clear()
+
+    for place, unit in enumerate(text.split(separator)):
+        start = at
+        for piece in re.split(f"({SENTENCE_END})", unit):
+            if nth % 2 == 0:
+                k = len(rows)
+                rows.append([place, start, start + len(piece), place in units])
+                if k in sentences:
+                    run.append(k)
+                elif _WORD.search(piece):  # a sentence without words neither ends nor lengthens a run
+                    close()
+            start += len(piece)
+            nth += 1
+        nth = 0
+        at += len(unit) + len(separator)
+    close()
+    kept, spans, k = [], [], 0
+    while k < len(rows):
+        place = rows[k][0]
+        own = []
+        while k < len(rows) and rows[k][0] == place:
+            own.append(rows[k])
+            k += 1
+        gone = [r[3] for r in own]
+        if not any(gone):
+            kept.append(text[own[0][1] : own[-1][2]])
+        elif not all(gone):
+            kept.append(" ".join(text[r[1] : r[2]] for r in own if not r[3]))
+        for i, r in enumerate(own):
+            if r[3]:
+                if i and gone[i - 1]:
+                    spans[-1] = (place, spans[-1][1], r[2])
+                else:
+                    spans.append((place, r[1], r[2]))
+    return separator.join(kept), spans
 
 
 def _cut_out(separator: str, schema: pa.Schema):
-    """Arrow batches with ``places`` to batches of ``schema``: texts rewritten, spans of what went."""
+    """Arrow batches with ``_units`` and ``_sentences`` to batches of ``schema``: texts rewritten, spans of what went."""
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
-            places = batch.column("_places")
-            for text, gone in zip(batch.column("text"), places, strict=True):
-                text, gone = text.as_py(), gone.as_py()
+            for text, units, sentences in zip(*(batch.column(c) for c in ("text", "_units", "_sentences")), strict=True):
+                text, units, sentences = text.as_py(), units.as_py(), sentences.as_py()
                 spans = []
-                if gone:
-                    lost, kept, at = set(gone), [], 0
-                    for place, unit in enumerate(text.split(separator)):
-                        if place in lost:
-                            spans.append({"place": place, "start": at, "end": at + len(unit)})
-                        else:
-                            kept.append(unit)
-                        at += len(unit) + len(separator)
-                    text = separator.join(kept)
+                if units or sentences:
+                    now, spans = cut(text, separator, set(units or ()), set(sentences or ()))
+                    text = now if spans else text
                 texts.append(text)
-                removed.append(spans)
+                removed.append([dict(zip(("place", "start", "end"), s, strict=True)) for s in spans])
             made = {"text": texts, "n_removed": [len(r) for r in removed], "removed": removed}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made[f.name], f.type) if f.name in made else batch.column(f.name).cast(f.type) for f in schema], schema=schema
@@ -95,16 +144,16 @@ def dedup_lines(documents: DataFrame, unit: str = "line", min_words: int = MIN_W
     small_batches(documents.sparkSession)
     separator = SEPARATORS[unit]
     gone = repeated_units(documents, unit, min_words).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("places").alias("_places")
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("units").alias("_units"), F.col("sentences").alias("_sentences")
     )
     kept = [c for c in documents.columns if c not in ("n_units", "n_removed", "removed")]
     docs = documents.select(
         *kept, F.when(text_or_empty() != "", F.size(F.split("text", separator))).otherwise(0).alias("n_units"), text_key().alias("_text_key")
     )
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
-    joined = joined.select(*kept, "n_units", "_places")
+    joined = joined.select(*kept, "n_units", "_units", "_sentences")
     span = T.StructType([T.StructField(c, T.IntegerType()) for c in ("place", "start", "end")])
     schema = T.StructType(
-        [*joined.drop("_places").schema.fields, T.StructField("n_removed", T.IntegerType()), T.StructField("removed", T.ArrayType(span))]
+        [*joined.drop("_units", "_sentences").schema.fields, T.StructField("n_removed", T.IntegerType()), T.StructField("removed", T.ArrayType(span))]
     )
     return joined.mapInArrow(_cut_out(separator, to_arrow_schema(schema)), schema)

@@ -45,24 +45,50 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op3_line_dedup",
     r"""
     with units as (
-        select doc_id, generate_subscripts(u, 1) - 1 as place, unnest(u) as unit
+        select doc_id, generate_subscripts(u, 1) - 1 as unit, unnest(u) as body
         from (select doc_id, string_split(text, chr(10)) as u from documents)),
-    spans as (
-        select *, cast(sum(length(unit) + 1) over (partition by doc_id order by place) - 1 as bigint) as ends,
-            trim(regexp_replace(lower(unit), '[^\p{L}\p{M}\p{N}]+', ' ', 'g')) as plain
-        from units),
+    placed as (
+        select *, cast(sum(length(body) + 1) over (partition by doc_id order by unit) - 1 - length(body) as bigint) as unit_at,
+            trim(regexp_replace(lower(body), '[^\p{L}\p{M}\p{N}]+', ' ', 'g')) as plain from units),
     long as (
-        select *, row_number() over (partition by plain order by doc_id, place) as nth
-        from spans where len(string_split(plain, ' ')) >= 5),
-    gone as (select doc_id, place, unit, ends from long where nth > 1),
+        select *, row_number() over (partition by plain order by doc_id, unit) > 1 as again
+        from placed where plain <> '' and len(string_split(plain, ' ')) >= 5),
+    cut as (
+        select doc_id, unit, unit_at, generate_subscripts(p, 1) as nth, unnest(p) as piece
+        from (select *, string_split(regexp_replace(body, '([.!?])([ \t]+)', '\1' || chr(1) || '\2', 'g'), chr(1)) as p from placed)),
+    pieces as (
+        select *, ltrim(piece, ' ' || chr(9)) as kept_piece,
+            cast(unit_at + sum(length(piece)) over (partition by doc_id, unit order by nth) as bigint) as ends from cut),
+    sentences as (
+        select doc_id, unit, nth, ends, case when nth = 1 then piece else kept_piece end as sentence from pieces),
+    normal as (
+        select *, trim(regexp_replace(lower(sentence), '[^\p{L}\p{M}\p{N}]+', ' ', 'g')) as plain from sentences),
+    ranked as (
+        select *, row_number() over (partition by plain order by doc_id, unit, nth) > 1 as again,
+            len(regexp_extract_all(sentence, '[\p{L}\p{N}]+')) as words from normal where plain <> ''),
+    islands as (select *, count_if(not again) over (partition by doc_id order by unit, nth) as island from ranked),
+    runs as (select *, sum(words) filter (again) over (partition by doc_id, island) as run from islands),
+    judged as (
+        select s.doc_id, s.unit, s.nth, s.ends, s.sentence,
+            coalesce(l.again, false) or coalesce(r.again and r.run >= 30, false) as gone
+        from sentences s left join long l on s.doc_id = l.doc_id and s.unit = l.unit
+            left join runs r on s.doc_id = r.doc_id and s.unit = r.unit and s.nth = r.nth),
+    by_unit as (
+        select doc_id, unit, bool_or(gone) as partly, bool_and(gone) as wholly,
+            coalesce(string_agg(sentence, ' ' order by nth) filter (not gone), '') as rest from judged group by 1, 2),
     kept as (
-        select u.doc_id, coalesce(string_agg(u.unit, chr(10) order by u.place) filter (where g.place is null), '') as text
-        from units u left join gone g on u.doc_id = g.doc_id and u.place = g.place group by 1),
+        select b.doc_id, coalesce(string_agg(case when partly then rest else body end, chr(10) order by b.unit) filter (not wholly), '') as text
+        from by_unit b join placed p on b.doc_id = p.doc_id and b.unit = p.unit group by 1),
+    edges as (
+        select *, count_if(not gone) over (partition by doc_id, unit order by nth) as block from judged),
+    spans as (
+        select doc_id, unit, min(ends - length(sentence)) as span_start, max(ends) as span_end
+        from edges where gone group by doc_id, unit, block),
     listed as (
         select doc_id, cast(count(*) as integer) as n_removed,
-            string_agg((ends - length(unit)) || '-' || ends, ',' order by place) as removed_spans
-        from gone group by 1)
-    select d.doc_id, coalesce(k.text, d.text) as text,
+            string_agg(span_start || '-' || span_end, ',' order by span_start, span_end) as removed_spans
+        from spans group by 1)
+    select d.doc_id, case when l.doc_id is null then d.text else k.text end as text,
         cast(case when coalesce(d.text, '') = '' then 0 else len(string_split(d.text, chr(10))) end as integer) as n_units,
         coalesce(l.n_removed, 0) as n_removed, coalesce(l.removed_spans, '') as removed_spans
     from documents d left join kept k on d.doc_id = k.doc_id left join listed l on d.doc_id = l.doc_id

@@ -230,3 +230,22 @@ def test_edited_fingerprints_of_few(spark, docs):
     assert len(rows) == len(docs)
     if len(docs) == 1:
         assert rows[0].near_next == 1.0
+
+
+def test_passages_inside_lines_go(spark):
+    passage = "A passage of many words. It was pasted by several writers into lines of theirs! " * 2 + "Why. They do not say, but it is fifty words long or so, and that is long enough to be found."
+    docs = [
+        (1, f"First line here.\nOwn words of the first writer. {passage}"),
+        (2, f"Own words of the second writer stand here. {passage} And then some more of them.\nLast line."),
+        (3, f"{passage}"),
+        (4, "Why. It was not pasted. Why. A passage of many words. Own."),
+    ]
+    rows = {r.doc_id: r for r in line_dedup.dedup_lines(frame(spark, docs)).collect()}
+    assert rows[1].text == docs[0][1] or rows[1].n_removed == 1  # its own repeats inside the passage are short
+    assert rows[2].text == "Own words of the second writer stand here. And then some more of them.\nLast line."
+    (span,) = rows[2].removed
+    assert docs[1][1][span.start : span.end] == passage
+    assert rows[3].text == "" and rows[4].text == docs[3][1]
+    assert line_dedup.cut("a b. c d! e", "\n", set(), {1}, 2) == ("a b. e", [(0, 5, 9)])
+    assert line_dedup.cut("a b. c d! e", "\n", set(), {1}, 3) == ("a b. c d! e", [])
+    assert line_dedup.cut("x\ny z. q\nw", "\n", {0}, {1, 2}, 3) == ("w", [(0, 0, 1), (1, 2, 8)])
