@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from cellweave.llm.common import ascii_lower, repeat_rows, text_key, text_or_empty
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are lower-cased: enough to count them.
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPAN, GRAM = 10, 5
 #: A row holds at most 2 * SPAN words of context: some hundred bytes.
 BROADCAST_ROWS = 400_000
@@ -144,7 +146,8 @@ def benchmark_spans(documents: DataFrame, benchmark: DataFrame, span: int = SPAN
 def decontaminate(documents: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """A row per document: n_words, the hit word spans (merged), n_hit, sorted item_ids, contaminated."""
     key = ["doc_id", "text_key"]
-    base = documents.select("doc_id", text_key().alias("text_key"), F.size(words_of(text_or_empty())).alias("n_words"))
+    n_words = F.size(F.regexp_extract_all(text_or_empty(), F.lit(RAW_WORD), F.lit(0)))
+    base = documents.select("doc_id", text_key().alias("text_key"), n_words.alias("n_words"))
     met = benchmark_spans(documents, benchmark, span, gram).select(*key, F.struct("start", "end").alias("span"), F.col("item_id").cast("string").alias("item"), F.lit(None).cast("int").alias("n_words"), F.lit(0).alias("rows"))
     own = base.select(*key, F.lit(None).cast("struct<start:int,end:int>").alias("span"), F.lit(None).cast("string").alias("item"), "n_words", F.lit(1).alias("rows"))
     met = met.withColumn("span", F.col("span").cast("struct<start:int,end:int>"))
