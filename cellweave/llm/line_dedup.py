@@ -3,18 +3,18 @@
 Each text is cut into units: lines, or paragraphs divided by blank lines. A unit is cut into sentences, after ``.``, ``!`` or ``?``
 and blanks. Units and sentences are normalised (lower case, every run of characters other than letters and digits one
 space, trimmed) and hashed to 128 bits, each kind by itself. Over the whole corpus the earliest occurrence of each digest
-stays, ranked by (doc_id, text hash, place in the text), nulls first; every later one is a repeat.
+stays, ranked by doc_id, nulls first, and place in the text; every later one is a repeat.
 
 Removed are repeated units of at least ``MIN_WORDS`` normalised words, and runs of consecutive repeated sentences of at least
 ``RUN_WORDS`` words together, which is how a passage pasted into a line of its own words is found. A shorter repeat says too
 little to be called a copy and stays. Every removed span keeps its offsets in the original text.
 
-The earliest occurrence is an aggregate minimum that combines before the shuffle, so a line in a third of all
-documents costs one row per task. Occurrences are then marked by a join of the digests that occur more than
+Digests are written once as a table. Repeats inside a text are settled where it is read. Across texts the earliest occurrence
+is an aggregate minimum that combines before the shuffle, so a line in a third of all documents costs one row per task. Occurrences are then marked by a join of the digests that occur more than
 once; a digest held by many rows is split by the adaptive skew join.
 
 Defined cases: null and empty texts have no units and stay as they are; a text is cut whole whatever its length;
-rows of equal doc_id and text are one document and each keep what it keeps; ties are broken by the place;
+rows of one doc_id take nothing from each other (as rows without one), so repeated rows give repeated rows;
 other columns pass through untouched. A kept text is the kept units joined by their own separators; in a unit that loses
 sentences the others are joined by one space, and a unit that loses all of them goes.
 """
@@ -24,13 +24,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from xxhash import xxh3_128_digest
 
-from cellweave.llm.common import small_batches, text_key, text_or_empty
+from cellweave.llm.common import small_batches, stored, text_key, text_or_empty
 
 MIN_WORDS, RUN_WORDS = 5, 30
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
@@ -38,34 +40,60 @@ SENTENCE_END = r"(?<=[.!?])[ \t]+"
 _WORD = re.compile(r"[^\W_]+")
 
 
-def normalised(unit: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{M}\p{N}]+", " "))
+def _key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
 
 
-def _units(documents: DataFrame, separator: str, min_words: int) -> DataFrame:
-    """A row per long enough unit (even kind, place of the unit) and per sentence (place among all of the text's)."""
-    rows = documents.select("doc_id", text_key().alias("text_key"), F.split(text_or_empty(), separator).alias("units"))
-    sentences = F.flatten(F.transform("units", lambda u: F.split(u, SENTENCE_END)))
-    kinds = F.array(
-        F.struct(F.lit("u").alias("kind"), F.col("units").alias("parts")), F.struct(F.lit("s").alias("kind"), sentences.alias("parts"))
-    )
-    rows = rows.select("doc_id", "text_key", F.explode(kinds).alias("of"))
-    rows = rows.select("doc_id", "text_key", "of.kind", F.posexplode("of.parts").alias("place", "part"))
-    rows = rows.withColumn("plain", normalised(F.col("part")))
-    enough = (F.col("kind") == "s") | (F.size(F.split("plain", " ")) >= min_words)
-    digest = F.unhex(F.md5(F.concat("kind", "plain").cast("binary")))
-    return rows.where((F.col("plain") != "") & enough).select("doc_id", "text_key", "kind", "place", digest.alias("digest"))
+def _spread(separator: str, min_words: int):
+    """Arrow batches of texts to a row per unit (place -1, -2, ...) and per sentence (place 0, 1, ...) with its digest."""
+    schema = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("place", pa.int32()), ("high", pa.int64()), ("low", pa.int64()), ("again", pa.bool_())])
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, words_of = re.compile(SENTENCE_END).split, _WORD.findall
+        for batch in batches:
+            docs, keys, places, digests, again = [], [], [], [], []
+            for doc, key, text in zip(batch.column("doc").to_pylist(), batch.column("text_key").to_pylist(), batch.column("text"), strict=True):
+                seen, before, nth = set(), len(places), 0
+                for k, unit in enumerate(text.as_py().lower().split(separator)):
+                    own = []
+                    for sentence in split(unit):
+                        words = words_of(sentence)
+                        if words:
+                            digest = xxh3_128_digest(" ".join(words).encode("utf-8", "replace"))
+                            places.append(nth)
+                            digests.append(digest)
+                            again.append(digest in seen)
+                            seen.add(digest)
+                            own += words
+                        nth += 1
+                    if len(own) >= min_words:
+                        digest = xxh3_128_digest(" ".join(own).encode("utf-8", "replace"), 1)
+                        places.append(-1 - k)
+                        digests.append(digest)
+                        again.append(digest in seen)
+                        seen.add(digest)
+                docs += [doc] * (len(places) - before)
+                keys += [key] * (len(places) - before)
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            columns = [docs, keys, places, halves[:, 0].copy(), halves[:, 1].copy(), again]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return spread
 
 
 def repeated_units(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text_key, units, sentences: the places of a text's units and sentences that stand earlier in the corpus."""
-    units = _units(documents, SEPARATORS[unit], min_words)
-    rank = F.struct("doc_id", "text_key", "place")
-    firsts = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("times"))
-    found = units.join(firsts.where("times > 1"), "digest")
-    found = found.where(~rank.eqNullSafe(F.col("first"))).groupBy("doc_id", "text_key")
-    own = lambda kind: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.col("place"))))
-    return found.agg(own("u").alias("units"), own("s").alias("sentences"))
+    """doc, text_key, units, sentences: the places of a text's units and sentences that stand earlier in the corpus."""
+    docs = documents.select(_key().alias("doc"), text_key().alias("text_key"), text_or_empty().alias("text"))
+    rows = stored(
+        docs.mapInArrow(_spread(SEPARATORS[unit], min_words), "doc long, text_key long, place int, high long, low long, again boolean")
+    )
+    once = rows.where("not again")
+    firsts = once.groupBy("high", "low").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    later = once.join(firsts, ["high", "low"]).where("doc > first")
+    found = later.select("doc", "text_key", "place").unionByName(rows.where("again").select("doc", "text_key", "place"))
+    own = lambda condition, place: F.array_sort(F.collect_set(F.when(condition, place)))
+    place = F.col("place")
+    return found.groupBy("doc", "text_key").agg(own(place < 0, -1 - place).alias("units"), own(place >= 0, place).alias("sentences"))
 
 
 def cut(text: str, separator: str, units: set[int], sentences: set[int], run_words: int = RUN_WORDS) -> tuple[str, list[tuple[int, int, int]]]:
@@ -144,13 +172,13 @@ def dedup_lines(documents: DataFrame, unit: str = "line", min_words: int = MIN_W
     small_batches(documents.sparkSession)
     separator = SEPARATORS[unit]
     gone = repeated_units(documents, unit, min_words).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("units").alias("_units"), F.col("sentences").alias("_sentences")
+        F.col("doc").alias("_id"), F.col("text_key").alias("_key"), F.col("units").alias("_units"), F.col("sentences").alias("_sentences")
     )
     kept = [c for c in documents.columns if c not in ("n_units", "n_removed", "removed")]
     docs = documents.select(
         *kept, F.when(text_or_empty() != "", F.size(F.split("text", separator))).otherwise(0).alias("n_units"), text_key().alias("_text_key")
     )
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    joined = docs.join(gone, (_key() == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
     joined = joined.select(*kept, "n_units", "_units", "_sentences")
     span = T.StructType([T.StructField(c, T.IntegerType()) for c in ("place", "start", "end")])
     schema = T.StructType(
