@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from tokenizers import Tokenizer
 
-from cellweave.llm import decontaminate, fingerprints, line_dedup, packing, token_counts, url_filter
+from cellweave.llm import decontaminate, fingerprints, line_dedup, packing, stages, token_counts, url_filter
 from cellweave.llm.common import tokenizer_path
 from cellweave.llm.queries import URL_RULES
 
@@ -249,3 +249,9 @@ def test_passages_inside_lines_go(spark):
     assert line_dedup.cut("a b. c d! e", "\n", set(), {1}, 2) == ("a b. e", [(0, 5, 9)])
     assert line_dedup.cut("a b. c d! e", "\n", set(), {1}, 3) == ("a b. c d! e", [])
     assert line_dedup.cut("x\ny z. q\nw", "\n", {0}, {1, 2}, 3) == ("w", [(0, 0, 1), (1, 2, 8)])
+
+
+def test_short_lines_go_in_the_pipeline(spark):
+    docs = [(1, "Short one\nown words of the first"), (2, "own words of the second\nshort  ONE.\n---"), (3, "Short one"), (4, "end\n\nend")]
+    out = stages.cut_repeated_lines(spark, frame(spark, docs), "").collect()
+    assert {r.doc_id: r.text for r in out} == {1: docs[0][1], 2: "own words of the second\n---", 4: "end\n"}
