@@ -9,6 +9,9 @@ Removed are repeated units of at least ``MIN_WORDS`` normalised words, and runs
 ``RUN_WORDS`` words together, which is how a passage pasted into a line of its own words is found. A shorter repeat says too
 little to be called a copy and stays. Every removed span keeps its offsets in the original text.
 
+With ``span_words`` also goes every window of that many consecutive words that stands earlier, wherever sentences and lines end
+(``repeated_spans``). Within a text it does so only if it does not overlap its first occurrence.
+
 Digests are written once as a table. Repeats inside a text are settled where it is read. Across texts the earliest occurrence
 is an aggregate minimum that combines before the shuffle, so a line in a third of all documents costs one row per task. Occurrences are then marked by a join of the digests that occur more than
 once; a digest held by many rows is split by the adaptive skew join.
@@ -16,7 +19,7 @@ once; a digest held by many rows is split by the adaptive skew join.
 Defined cases: null and empty texts have no units and stay as they are; a text is cut whole whatever its length;
 rows of one doc_id take nothing from each other (as rows without one), so repeated rows give repeated rows;
 other columns pass through untouched. A kept text is the kept units joined by their own separators; in a unit that loses
-sentences the others are joined by one space, and a unit that loses all of them goes.
+sentences or words the others are joined by one space, and a unit that loses all of them goes.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ from xxhash import xxh3_128_digest
 from cellweave.llm.common import small_batches, stored, text_key, text_or_empty
 
 MIN_WORDS, RUN_WORDS = 5, 30
+SPAN_WORDS, ANCHOR_WORDS = 50, 15
+#: Anchors that occur twice are told by 2^ANCHOR_BITS bits at most (128 MB). More anchors cost time there, no repeats.
+ANCHOR_BITS, _CHUNK_BITS = 30, 15
+_FLUSH = 200_000
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 SENTENCE_END = r"(?<=[.!?])[ \t]+"
 _WORD = re.compile(r"[^\W_]+")
@@ -81,23 +88,158 @@ def _spread(separator: str, min_words: int):
     return spread
 
 
-def repeated_units(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc, text_key, units, sentences: the places of a text's units and sentences that stand earlier in the corpus."""
+def _later(rows: DataFrame) -> DataFrame:
+    """doc, text_key, place of the ``rows`` whose digest stands earlier."""
+    once = rows.where("not again")
+    firsts = once.groupBy("high", "low").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    later = once.join(firsts, ["high", "low"]).where("doc > first")
+    return later.select("doc", "text_key", "place").unionByName(rows.where("again").select("doc", "text_key", "place"))
+
+
+def _word_hashes(text: str) -> np.ndarray:
+    """A row of two 64-bit values per word."""
+    return np.frombuffer(b"".join([xxh3_128_digest(w.lower().encode("utf-8", "replace")) for w in _WORD.findall(text)]), np.uint64).reshape(-1, 2)
+
+
+def _windows(values: np.ndarray, n: int) -> np.ndarray:
+    """A polynomial hash, modulo 2^64, of every ``n`` consecutive values."""
+
+    def powers(base: int, k: int) -> np.ndarray:
+        out = np.full(k, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    base = 0x9E3779B97F4A7C15
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(base, len(values)), out=sums[1:])
+    return (sums[n:] - sums[:-n]) * powers(pow(base, -1, 1 << 64), len(values) - n + 1)
+
+
+def _anchors(values: np.ndarray, span: int) -> np.ndarray:
+    """For every window of ``span`` values the place of its anchor, the least hash of ``ANCHOR_WORDS`` in it; and all such hashes."""
+    n = min(ANCHOR_WORDS, span)
+    grams = _windows(values, n)
+    least = np.lib.stride_tricks.sliding_window_view(grams, span - n + 1).argmin(1)
+    return least + np.arange(len(least)), grams
+
+
+def _table_of_bits(anchors: DataFrame) -> np.ndarray:
+    """Bit (anchor modulo their number) is set for each of ``anchors``; eight to a byte."""
+    bits = min(max((16 * anchors.count()).bit_length(), _CHUNK_BITS), ANCHOR_BITS)
+
+    def pack(own: pa.Table) -> pa.Table:
+        chunk = np.zeros(1 << _CHUNK_BITS, bool)
+        chunk[own.column("bit").to_numpy() & ((1 << _CHUNK_BITS) - 1)] = True
+        packed = np.packbits(chunk, bitorder="little").tobytes()
+        return pa.table({"chunk": pa.array([own.column("chunk")[0].as_py()], pa.int64()), "packed": pa.array([packed], pa.binary())})
+
+    bit = F.col("anchor").bitwiseAND(F.lit((1 << bits) - 1))
+    chunks = anchors.select(bit.alias("bit"), F.shiftright(bit, _CHUNK_BITS).alias("chunk")).groupBy("chunk").applyInArrow(pack, "chunk long, packed binary")
+    table = np.zeros((1 << (bits - _CHUNK_BITS), 1 << (_CHUNK_BITS - 3)), np.uint8)
+    for chunk, packed in zip(*chunks.toArrow().to_pydict().values(), strict=True):
+        table[chunk] = np.frombuffer(packed, np.uint8)
+    return table.reshape(-1)
+
+
+def repeated_spans(documents: DataFrame, span: int = SPAN_WORDS) -> DataFrame:
+    """doc, text_key, place of each window of ``span`` words that stands earlier in the corpus; place counts words.
+
+    Equal windows have equal anchors, so only windows whose anchor occurs twice are written and compared, by 128 bits.
+    """
+    docs = documents.select(_key().alias("doc"), text_key().alias("text_key"), text_or_empty().alias("text"))
+
+    def anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, np.uint64)]
+            for text in batch.column("text"):
+                hashes = _word_hashes(text.as_py())
+                if len(hashes) >= span:
+                    places, grams = _anchors(hashes[:, 0], span)
+                    found.append(grams[np.unique(places)])
+            yield pa.RecordBatch.from_pydict({"anchor": pa.array(np.concatenate(found).view(np.int64))})
+
+    twice = docs.select("text").mapInArrow(anchors, "anchor long").groupBy("anchor").count().where("count > 1")
+    table = documents.sparkSession.sparkContext.broadcast(_table_of_bits(stored(twice.select("anchor"))))
+    schema = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("place", pa.int32()), ("high", pa.int64()), ("low", pa.int64()), ("again", pa.bool_())])
+
+    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        mask, found, held = np.uint64(8 * len(bits) - 1), [], 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [[]] * len(schema)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            for doc, key, text in zip(batch.column("doc").to_pylist(), batch.column("text_key").to_pylist(), batch.column("text"), strict=True):
+                hashes = _word_hashes(text.as_py())
+                if len(hashes) < span:
+                    continue
+                at, grams = _anchors(hashes[:, 0], span)
+                bit = grams & mask
+                places = np.flatnonzero((bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)[at])
+                if not len(places):
+                    continue
+                high, low = (_windows(hashes[:, k], span)[places].view(np.int64) for k in (0, 1))
+                _, first, which = np.unique(np.stack([high, low], 1), axis=0, return_index=True, return_inverse=True)
+                again = places >= places[first][which.reshape(-1)] + span
+                found.append([np.full(len(places), doc), np.full(len(places), key), places, high, low, again])
+                held += len(places)
+                if held > _FLUSH:
+                    yield flush()
+                    held = 0
+        yield flush()
+
+    return _later(stored(docs.mapInArrow(windows, "doc long, text_key long, place int, high long, low long, again boolean")))
+
+
+def repeated_units(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, span_words: int | None = None) -> DataFrame:
+    """doc, text_key, units, sentences, windows: the places of a text's units, sentences and windows that stand earlier in the corpus."""
     docs = documents.select(_key().alias("doc"), text_key().alias("text_key"), text_or_empty().alias("text"))
     rows = stored(
         docs.mapInArrow(_spread(SEPARATORS[unit], min_words), "doc long, text_key long, place int, high long, low long, again boolean")
     )
-    once = rows.where("not again")
-    firsts = once.groupBy("high", "low").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    later = once.join(firsts, ["high", "low"]).where("doc > first")
-    found = later.select("doc", "text_key", "place").unionByName(rows.where("again").select("doc", "text_key", "place"))
+    found = _later(rows).withColumn("window", F.lit(None).cast("int"))
+    if span_words:
+        found = found.unionByName(repeated_spans(documents, span_words).withColumnRenamed("place", "window"), allowMissingColumns=True)
     own = lambda condition, place: F.array_sort(F.collect_set(F.when(condition, place)))
-    place = F.col("place")
-    return found.groupBy("doc", "text_key").agg(own(place < 0, -1 - place).alias("units"), own(place >= 0, place).alias("sentences"))
+    place, window = F.col("place"), F.col("window")
+    return found.groupBy("doc", "text_key").agg(
+        own(place < 0, -1 - place).alias("units"), own(place >= 0, place).alias("sentences"), own(window >= 0, window).alias("windows")
+    )
+
+
+def _without_windows(text: str, rows: list[list], windows: list[int], span_words: int) -> list[list]:
+    """``rows`` of ``cut``, divided where the words of ``windows`` begin and end."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    ends = np.zeros(len(words) + 1, int)
+    np.add.at(ends, windows, 1)
+    np.add.at(ends, np.array(windows) + span_words, -1)
+    gone = (np.cumsum(ends) > 0).tolist()
+    out, w = [], 0
+    for place, start, end, removed in rows:
+        first = w
+        while w < len(words) and words[w][0] < end:
+            w += 1
+        if removed or True not in gone[first:w]:
+            out.append([place, start, end, removed or (first == w > 0 and gone[w - 1] and gone[w])])
+            continue
+        at = start
+        while first < w:
+            last = first
+            while last < w and gone[last] == gone[first]:
+                last += 1
+            to = words[last][0] if last < w else end
+            out.append([place, at, at + len(text[at:to].rstrip()) if last < w else end, gone[first]])
+            first, at = last, to
+    return out
 
 
-def cut(text: str, separator: str, units: set[int], sentences: set[int], run_words: int = RUN_WORDS) -> tuple[str, list[tuple[int, int, int]]]:
-    """The text without repeated units and long runs of repeated sentences, and (place, start, end) of what went."""
+def cut(
+    text: str, separator: str, units: set[int], sentences: set[int], run_words: int = RUN_WORDS, windows: list[int] = (), span_words: int = SPAN_WORDS
+) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text without repeated units, long runs of repeated sentences and ``windows``, and (place, start, end) of what went."""
     rows, at, nth, run = [], 0, 0, []  # a row per sentence: unit, start, end, removed
 
     def close() -> None:
@@ -121,6 +263,8 @@ def cut(text: str, separator: str, units: set[int], sentences: set[int], run_wor
         nth = 0
         at += len(unit) + len(separator)
     close()
+    if windows:
+        rows = _without_windows(text, rows, windows, span_words)
     kept, spans, k = [], [], 0
     while k < len(rows):
         place = rows[k][0]
@@ -142,17 +286,17 @@ def cut(text: str, separator: str, units: set[int], sentences: set[int], run_wor
     return separator.join(kept), spans
 
 
-def _cut_out(separator: str, schema: pa.Schema):
-    """Arrow batches with ``_units`` and ``_sentences`` to batches of ``schema``: texts rewritten, spans of what went."""
+def _cut_out(separator: str, span_words: int | None, schema: pa.Schema):
+    """Arrow batches with ``_units``, ``_sentences`` and ``_windows`` to batches of ``schema``: texts rewritten, spans of what went."""
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
-            for text, units, sentences in zip(*(batch.column(c) for c in ("text", "_units", "_sentences")), strict=True):
-                text, units, sentences = text.as_py(), units.as_py(), sentences.as_py()
+            for row in zip(*(batch.column(c) for c in ("text", "_units", "_sentences", "_windows")), strict=True):
+                text, units, sentences, windows = (v.as_py() for v in row)
                 spans = []
-                if units or sentences:
-                    now, spans = cut(text, separator, set(units or ()), set(sentences or ()))
+                if units or sentences or windows:
+                    now, spans = cut(text, separator, set(units or ()), set(sentences or ()), RUN_WORDS, windows or (), span_words or 0)
                     text = now if spans else text
                 texts.append(text)
                 removed.append([dict(zip(("place", "start", "end"), s, strict=True)) for s in spans])
@@ -164,24 +308,24 @@ def _cut_out(separator: str, schema: pa.Schema):
     return rewrite
 
 
-def dedup_lines(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """``documents`` with ``text`` freed of repeated units, and n_units, n_removed and ``removed``.
+def dedup_lines(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, span_words: int | None = None) -> DataFrame:
+    """``documents`` with ``text`` freed of repeated units and, if asked for, spans; and n_units, n_removed and ``removed``.
 
     ``removed`` lists (place, start, end) of each removed unit, in code points of the original text.
     """
     small_batches(documents.sparkSession)
     separator = SEPARATORS[unit]
-    gone = repeated_units(documents, unit, min_words).select(
-        F.col("doc").alias("_id"), F.col("text_key").alias("_key"), F.col("units").alias("_units"), F.col("sentences").alias("_sentences")
+    gone = repeated_units(documents, unit, min_words, span_words).select(
+        F.col("doc").alias("_id"), F.col("text_key").alias("_key"), *(F.col(c).alias(f"_{c}") for c in ("units", "sentences", "windows"))
     )
     kept = [c for c in documents.columns if c not in ("n_units", "n_removed", "removed")]
     docs = documents.select(
         *kept, F.when(text_or_empty() != "", F.size(F.split("text", separator))).otherwise(0).alias("n_units"), text_key().alias("_text_key")
     )
     joined = docs.join(gone, (_key() == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
-    joined = joined.select(*kept, "n_units", "_units", "_sentences")
+    joined = joined.select(*kept, "n_units", "_units", "_sentences", "_windows")
     span = T.StructType([T.StructField(c, T.IntegerType()) for c in ("place", "start", "end")])
     schema = T.StructType(
-        [*joined.drop("_units", "_sentences").schema.fields, T.StructField("n_removed", T.IntegerType()), T.StructField("removed", T.ArrayType(span))]
+        [*joined.drop("_units", "_sentences", "_windows").schema.fields, T.StructField("n_removed", T.IntegerType()), T.StructField("removed", T.ArrayType(span))]
     )
-    return joined.mapInArrow(_cut_out(separator, to_arrow_schema(schema)), schema)
+    return joined.mapInArrow(_cut_out(separator, span_words, to_arrow_schema(schema)), schema)

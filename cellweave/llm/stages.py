@@ -47,8 +47,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines of any length that stand earlier in the corpus; a text of nothing else goes."""
-    out = line_dedup.dedup_lines(docs, min_words=1).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    """Texts without lines of any length and spans of words that stand earlier in the corpus; a text of nothing else goes."""
+    out = line_dedup.dedup_lines(docs, min_words=1, span_words=line_dedup.SPAN_WORDS).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
     return out.select(*docs.columns)
 
 

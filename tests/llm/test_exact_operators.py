@@ -255,3 +255,43 @@ def test_short_lines_go_in_the_pipeline(spark):
     docs = [(1, "Short one\nown words of the first"), (2, "own words of the second\nshort  ONE.\n---"), (3, "Short one"), (4, "end\n\nend")]
     out = stages.cut_repeated_lines(spark, frame(spark, docs), "").collect()
     assert {r.doc_id: r.text for r in out} == {1: docs[0][1], 2: "own words of the second\n---", 4: "end\n"}
+
+
+def brute_windows(docs, span):
+    """Places of windows of ``span`` words met in a document of lower id, or before in the same without overlap."""
+    seen, want = {}, {}
+    for i, t in sorted(docs):
+        w, own = [x.lower() for x in re.findall(r"[^\W_]+", t)], {}
+        for at in range(len(w) - span + 1):
+            g = tuple(w[at : at + span])
+            if g in seen or at >= own.setdefault(g, at) + span:
+                want.setdefault(i, []).append(at)
+        seen |= own
+    return want
+
+
+@pytest.mark.parametrize("bits", [line_dedup.ANCHOR_BITS, line_dedup._CHUNK_BITS])
+def test_repeated_spans_against_brute_force(spark, sample, monkeypatch, bits):
+    import random
+
+    monkeypatch.setattr(line_dedup, "ANCHOR_BITS", bits)
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice(["alpha", "Beta.", "gamma,", "DELTA\n", "épée!", "z"]) for _ in range(n))
+    passages = [text(n) for n in (49, 50, 51, 120)]
+    docs = [(i, f"{text(rng.randrange(20))} {rng.choice(passages)} {text(rng.randrange(20))}") for i in range(30)]
+    docs += [(40, "same " * 49), (41, "same " * 180), (42, ""), (43, "a b " * 60), *((i + 1000, t or "") for i, t in sample)]
+    got = defaultdict(set)
+    for r in line_dedup.repeated_spans(frame(spark, docs)).collect():
+        got[r.doc].add(r.place)
+    assert got == {i: set(w) for i, w in brute_windows(docs, 50).items()}
+    assert line_dedup.repeated_spans(frame(spark, [])).count() == 0
+
+
+def test_spans_with_other_sentence_ends_go_in_the_pipeline(spark):
+    words = [f"word{i}" for i in range(51)]
+    one, other = " ".join(words), ", ".join(words[:20]) + "! " + " ".join(words[20:40]).upper() + ".\n\n" + "; ".join(words[40:])
+    docs = [(1, f"Own beginning here {one} and then an end."), (2, f"Another start. Glued{other} third words!\nLast line."), (3, f"Begin: {other}. Stop"), (4, one + "."), (5, " ".join(words[:49]))]
+    rows = {r.doc_id: r.text for r in stages.cut_repeated_lines(spark, frame(spark, docs), "").collect()}
+    assert rows == {1: docs[0][1], 2: "Another start. Gluedword0,\nthird words!\nLast line.", 3: "Begin:\nStop", 5: docs[4][1]}
+    assert line_dedup.cut("a b, c d e. f", "\n", set(), set(), 30, [1, 2], 2) == ("a e. f", [(0, 2, 8)])
+    assert line_dedup.cut("a b\n\nc d. e", "\n", set(), set(), 30, [1], 2) == ("a\nd. e", [(0, 2, 3), (1, 4, 4), (2, 5, 6)])
