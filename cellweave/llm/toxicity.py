@@ -4,10 +4,12 @@ Language model. Every word of the corpus is counted (per task, then over all), a
 by log2(1 + count), give character trigram counts over the ``ALPHABET`` most frequent letters: a dense table
 of bounded size. What is counted grows with the corpus; what is broadcast does not.
 
-Channel. A token of letters without a run of three equal ones has one reading. Any other becomes a lattice: look-alike
+Channel. A token of letters without two equal ones in a row has one reading. Any other becomes a lattice: look-alike
 signs may stand for letters, repeated letters may be dropped, marks or blanks between letters may be dropped
-or end a word, each at a cost. Viterbi decoding takes the reading of least channel plus language-model cost.
-Letters spaced or dotted one by one are decoded together. Tokens are decoded once each (bounded cache).
+or end a word, each at a cost. Viterbi decoding takes the reading of least channel plus language-model cost. A token of
+letters with doubled ones only counts as written, too; a number is no word.
+Letters set apart one by one, by any blanks or marks, are decoded together. Two neighbouring words that make a term of the
+model are read as one if the channel prefers it. Tokens are decoded once each (bounded cache).
 
 Score. Terms are the restored words and their first 4 to 6 letters. A term's weight is the lower bound of its log
 odds between toxic and other training documents. A logistic model over a document's strongest evidence
@@ -50,10 +52,16 @@ DROP_COST, END_COST = (0.5, 0.1), (0.0, 1.5)
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _PLAIN = re.compile(r"[^\W\d_]*").fullmatch
 _RUN = re.compile(r"([^\W\d_])\1\1").search
+_TWICE = re.compile(r"([^\W\d_])\1").search
+_RUNS = re.compile(r"(.)\1*", re.S).finditer
+_NUMBER = re.compile(r"[^\w@!|]*\d+(?:[.,:/-]+\d+)*[^\w@$|+€£(]*").fullmatch
 _INNER = re.compile(r"[^\W_].*[^\W_]|[^\W_]", re.S)
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .*_-]|[@$!|+][ .*_-]){2,}(?:[^\W_]|[@$!|+])(?![^\W_])")
-#: Two blanks or marks with a single character after each: needed for the above, and quickly looked for.
-_MAYBE_SPACED = re.compile(r"[ .*_-][^\s.*_-][ .*_-][^\s.*_-]").search
+_APART = rf"[\s{re.escape(''.join(sorted(MARKS)))}]"
+_SINGLE = r"(?:[^\W_]|[@$!|+€£(])"
+_SPACED = re.compile(rf"(?<![^\W_])(?:{_SINGLE}{_APART}+){{2,}}{_SINGLE}(?![^\W_])")
+#: Two single characters with blanks or marks around: needed for the above, and quickly looked for.
+_MAYBE_SPACED = re.compile(rf"{_APART}{_SINGLE}{_APART}+{_SINGLE}(?![^\W_])").search
+_BLANKS = re.compile(rf"{_APART}+").sub
 
 
 @dataclass
@@ -104,6 +112,21 @@ class Decoder:
         self.letters, self.index = "#" + model.letters, model.index
         self.cost = model.cost.tolist()
 
+    def letters_only(self, token: str) -> list[str]:
+        """As ``__call__``, for a token of letters: it only leaves open how many of equal letters in a row to keep."""
+        runs = [(self.index.get(m[1]), m.end() - m.start()) for m in _RUNS(token)]
+        if math.prod(n for _, n in runs) > 16 or any(c is None for c, _ in runs):
+            return self(token)
+        best = [(0.0, 0, 0, "")]
+        for c, n in runs:
+            nexts = []
+            for total, a, b, read in best:
+                for kept in range(1, n + 1):
+                    total, a, b, read = total + self.cost[a][b][c], b, c, read + self.letters[c]
+                    nexts.append((total + REPEAT_COST * (n - kept), a, b, read))
+            best = nexts
+        return [min(best, key=lambda x: x[0] + self.cost[x[1]][x[2]][0])[3]]
+
     def __call__(self, text: str, spaced: bool = False) -> list[str]:
         drop, end = DROP_COST[1] if spaced else DROP_COST[0], END_COST[1] if spaced else END_COST[0]
         # A state is the two characters read last; each keeps its cost and a link back.
@@ -144,36 +167,49 @@ class Decoder:
 
 
 class Restorer:
-    """What ``of`` makes of the restored words of a text's tokens, as a set; kept by token in a bounded cache."""
+    """What ``of`` makes of the restored words of a text's tokens, as a set; kept by token in a bounded cache.
+
+    ``known``: words that are also looked for in two pieces.
+    """
 
-    def __init__(self, model: CharModel, of: Callable[[Iterable[str]], Iterable[str]] = tuple, most: int = 700_000):
-        self.decode, self.of, self.most, self.seen = Decoder(model), of, most, {}
+    def __init__(self, model: CharModel, of: Callable[[Iterable[str]], Iterable[str]] = tuple, most: int = 700_000, known: Iterable[str] = ()):
+        self.decode, self.of, self.most, self.seen, self.known = Decoder(model), of, most, {}, frozenset(known)
+
+    def word(self, word: str) -> list[str]:
+        """Readings of letters."""
+        if not _TWICE(word):
+            return [word]
+        read = self.decode.letters_only(word)
+        return read if _RUN(word) else [word, *read]
 
     def token(self, token: str) -> list[str]:
-        if token.isalpha() and not _RUN(token):
-            return [token]
+        if token.isalpha():
+            return self.word(token)
         inner = _INNER.search(token)
         core = inner[0] if inner else ""
-        if _PLAIN(core) and not _RUN(core):
-            # Signs around a plain word: the word, unless they too can be letters.
-            return [core] if core and (core == token or not set(token) & set("@$!|+€£(")) else self._mixed(token, core)
-        return self._mixed(token, core)
-
-    def _mixed(self, token: str, core: str) -> list[str]:
-        plain = _WORDS(token)
-        if not plain:
+        own = self.word(core) if core and _PLAIN(core) else []
+        # Signs around a plain word: the word, unless they too can be letters.
+        if own and not set(token) & set("@$!|+€£("):
+            return own
+        if _NUMBER(token):
             return []
-        read = self.decode(token.strip("".join(MARKS)))
-        if core != token and _PLAIN(core) and not _RUN(core):
-            read = [core, *read]
-        return read
+        return [*own, *self.decode(token.strip("".join(MARKS)))]
+
+    def pieces(self, text: str) -> Iterator[str]:
+        """Known words that stand in two pieces."""
+        words = _WORDS(text)
+        for word in self.known.intersection(map(str.__add__, words, words[1:])):
+            if any(a + b == word and word in self.decode(f"{a} {b}") for a, b in zip(words, words[1:])):  # noqa: B905
+                yield word
 
     def __call__(self, text: str) -> set[str]:
         text = text.lower()
         out: set[str] = set()
         if _MAYBE_SPACED(text):
             for match in _SPACED.finditer(text):
-                out.update(self.of(self.decode(match[0], spaced=True)))
+                out.update(self.of(self.decode(_BLANKS(" ", match[0]), spaced=True)))
+        if self.known:
+            out.update(self.of(self.pieces(text)))
         if len(self.seen) >= self.most:
             self.seen.clear()
         seen, tokens = self.seen, set(text.split())
@@ -217,14 +253,15 @@ class ToxicityModel:
 
     def restorer(self) -> Restorer:
         """From texts to those of their terms that the model knows."""
-        return Restorer(self.chars, lambda words: self.counts.keys() & terms_of(words))
+        return Restorer(self.chars, lambda words: self.counts.keys() & terms_of(words), known=(t for t in self.counts if t[0] != "^"))
 
     def evidence(self, terms: Iterable[str], label: int | None = None) -> list[float]:
         """The three strongest weights and how much the others add; ``label`` leaves the document's own count out."""
         found = []
         for t in terms:
             toxic, clean = self.counts[t]
-            found.append(_weight(toxic - (label == 1), clean - (label == 0), self.n_toxic, self.n_clean))
+            # A word in two pieces was not counted where it stands.
+            found.append(_weight(toxic - (label == 1), max(clean - (label == 0), 0), self.n_toxic, self.n_clean))
         found = sorted((w for w in found if w), reverse=True)
         top = [*found[:3], 0.0, 0.0, 0.0][:3]
         return [*top, math.log1p(sum(found[3:]))]

@@ -1,5 +1,6 @@
 """Models by held-out accuracy; classes of near copies against brute force; the pipeline."""
 
+import copy
 import random
 
 import numpy as np
@@ -62,6 +63,31 @@ def test_disguises_are_undone(restorer, text, word):
     assert word in restorer(text)
 
 
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [("iddiot", "idiot"), ("mmoron", "moron"), ("idioot", "idiot"), ("iidiiot", "idiot"), ("Stuupid!", "stupid"), ("i  d  i  o  t", "idiot"), ("an i - d - i - o - t.", "idiot"), ("m/o/r/o/n", "moron"),
+     ("m / o / r / o / n", "moron"), ("i\td\ti\to\tt", "idiot"), ("i\nd\ni\no\nt", "idiot"), ("m\xa00\xa0r\xa00\xa0n", "moron"), ("4$$", "ass"), ("iddiot", "iddiot")],
+)
+def test_doubled_letters_and_any_spacing_are_undone(restorer, text, word):
+    assert any(w.startswith(word) for w in restorer(text))
+
+
+def test_words_in_two_pieces(restorer):
+    known = copy.copy(restorer)
+    known.known = frozenset(["idiot", "moron"])
+    assert {"idiot", "moron"} <= known("an id iot, and a mo-ron")
+    assert not {"idiot", "moron"} & known("id riot, mo iron")
+
+
+def test_numbers_are_no_words(restorer):
+    assert all(not restorer(t) for t in ("1999", "$455", "10:30,", "2024-01-02", "(12)", "..."))
+
+
+def test_letters_only_is_the_lattice(restorer):
+    for token in ("iddiot", "aabbccdd", "mmmoron", "letter", "bookkeeper", "xxxxyyyyzzzz"):
+        assert restorer.decode.letters_only(token) == restorer.decode(token)
+
+
 def test_extraction_from_pages(spark):
     import html
     import re
