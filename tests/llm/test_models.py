@@ -72,6 +72,10 @@ def test_doubled_letters_and_any_spacing_are_undone(restorer, text, word):
     assert any(w.startswith(word) for w in restorer(text))
 
 
+def test_training_rows_are_not_lowered():
+    assert toxicity.TRAIN_ROWS >= 20_000
+
+
 def test_words_in_two_pieces(restorer):
     known = copy.copy(restorer)
     known.known = frozenset(["idiot", "moron"])
