@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import decontaminate, fingerprints, html_extract, line_dedup, near_dedup, packing, quality, token_counts, toxicity, url_filter
+from cellweave.llm import (
+    decontaminate,
+    exact_topk,
+    fingerprints,
+    hard_negatives,
+    html_extract,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    token_alignment,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from cellweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +205,55 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op5_html_extraction")
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
+def _floors(factor: int) -> str:
+    """SQL of the integer vectors, as doubles: their products and sums are whole numbers."""
+    return f"""
+        select *, list_transform(embedding, lambda x: floor({factor} * cast(x as double))) as v from embeddings
+        where vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+
+@_register(
+    "op11_hard_negatives",
+    f"""
+    with rows as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, v
+        from ({_floors(256)}) where label is not null),
+    pairs as (
+        select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+        from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+    positives as (
+        select anchor_id, vec_id as positive_id, score as positive_score from pairs where same
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+    select p.anchor_id, p.positive_id, cast(row_number() over (w) as integer) as rank, n.vec_id as negative_id, p.positive_score, n.score as negative_score
+    from positives p join pairs n
+        on p.anchor_id = n.anchor_id and not n.same and 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+    window w as (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id)
+    qualify row_number() over (w) <= 5
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@_register(
+    "op12_exact_topk",
+    f"""
+    with rows as (select vec_id, v from ({_floors(1024)})),
+    pairs as (
+        select a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.v, b.v) as bigint) as score
+        from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id)
+    select query_id, cast(row_number() over (w) as integer) as rank, vec_id, score from pairs
+    window w as (partition by query_id order by score desc, vec_id)
+    qualify row_number() over (w) <= 10
+    """,
+)
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@_register("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"))
