@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellweave.lineage import cut
 from cellweave.operators.intervals import overlap_join, point_join
+from cellweave.operators.quantiles import exact_quantiles
 
 FLANK = 2000  # bases kept on each side of a TSS
 SMOOTH = 50
@@ -126,14 +128,16 @@ def qc_medians(scores: DataFrame, cut_umi: float = 100, cut_tss: float = 4) -> D
     """Cells and exact medians before and after the cell filter."""
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(
-            F.count("*").alias("cells"),
-            F.median("umi").alias("median_umi"),
-            F.median("tss_score").alias("median_tss"),
-        ).withColumn("stage", F.lit(name))
+        return df.select(F.lit(name).alias("stage"), "umi", "tss_score")
 
     kept = filter_cells(scores, cut_umi, cut_tss)
-    return side(scores, "total").unionByName(side(kept, "filtered"))
+    both = cut(side(scores, "total").unionByName(side(kept, "filtered")))
+    stages = scores.sparkSession.createDataFrame([("total",), ("filtered",)], "stage string")
+    medians = exact_quantiles(both, {"median_umi": ("umi", 0.5), "median_tss": ("tss_score", 0.5)}, ["stage"])
+    sizes = both.groupBy("stage").agg(F.count("*").alias("cells"))
+    # A stage without cells has a row too.
+    out = stages.join(sizes, "stage", "left").join(medians, "stage", "left")
+    return out.select(F.coalesce("cells", F.lit(0)).alias("cells"), "median_umi", "median_tss", "stage")
 
 
 # ---- regions --------------------------------------------------------------------------------

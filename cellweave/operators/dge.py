@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.operators.quantiles import exact_quantiles
+
 GRID = 500  # points on the log-log rank curve
 
 
@@ -180,8 +182,9 @@ def called_cells(totals: DataFrame, threshold: DataFrame) -> DataFrame:
 
 def knee_summary(totals: DataFrame, threshold: DataFrame) -> DataFrame:
     cells = called_cells(totals, threshold)
+    median = exact_quantiles(cells, {"median_umis": ("umi_count", 0.5)}, [])
     return cells.agg(
         F.count("*").alias("n_cells"),
-        F.median("umi_count").alias("median_umis"),
+        F.max(median.scalar()).alias("median_umis"),
         F.max(threshold.select("threshold").scalar()).alias("read_threshold"),
     )

@@ -145,12 +145,14 @@ def peaks_near_genes(tss: DataFrame, peaks: DataFrame, window_kb: int = 500) ->
 def gc_content(peaks: DataFrame, genome: DataFrame, chunk: int = 65_536) -> DataFrame:
     """(peak, gc_content): percent G or C of [start, end).
 
-    ``genome`` holds pieces (chrom, offset, seq) whose offsets are multiples of ``chunk`` and
-    whose length is ``chunk`` except for the last, so no contig has to fit in one row.
+    ``genome`` holds pieces (chrom, offset, seq), none of which goes over a multiple of ``chunk``, so no contig has to
+    fit in one row.
     """
     pieces = clip_to_bins(peaks.select("peak", "chrom", "start", "end"), "start", "end", chunk)
     text = genome.select("chrom", bin_of(F.col("offset"), chunk).alias("bin"), "offset", "seq")
-    part = F.substr("seq", (F.col("start") - F.col("offset") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
+    low = F.greatest(F.lit(0), F.col("start") - F.col("offset"))
+    high = F.least(F.length("seq"), F.col("end") - F.col("offset"))
+    part = F.substr("seq", (low + 1).cast("int"), F.greatest(F.lit(0), high - low).cast("int"))
     n_gc = F.length(F.regexp_replace(F.upper(part), "[^GC]", ""))
     return (
         pieces.join(text, ["chrom", "bin"])
@@ -406,14 +408,14 @@ def links_per_gene(links: DataFrame, pval: float = 0.05) -> DataFrame:
 def correct_fdr(links: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Benjamini-Hochberg over all links with positive z: adds pval_adj and accept.
 
-    Works on distinct p-values with their counts. Ranks and the running minimum are taken in
-    blocks of p on a log scale plus a carry per block, so no window sees all links. ``links`` is
-    read twice.
+    Works on distinct p-values with their counts, sorted over range partitions whose bounds follow the data. Ranks and
+    the running minimum are taken inside each partition, with one row of carry per partition: the sum of those before it,
+    the minimum of those behind it. ``links`` is read twice.
     """
     tested = links.where(F.col("zscore") > 0)
     levels = tested.groupBy("pval").agg(F.count("*").alias("_c"))
-    fine = F.floor(-F.log2(F.greatest(F.col("pval"), F.lit(1e-300))) * 64).cast("bigint")
-    levels = levels.withColumn("_block", -fine)
+    # Checkpointed, so that the partitions hold still.
+    levels = cut(levels.orderBy("pval")).withColumn("_block", F.shiftright(F.monotonically_increasing_id(), 33))
     blocks = levels.groupBy("_block").agg(F.sum("_c").alias("_bc"))
     order = Window.orderBy("_block")
     blocks = blocks.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.seq import probe_kmers, reference_kmers, reverse_complement
 from cellweave.functions.stats import stable_uniform
+from cellweave.operators.quantiles import exact_quantiles
 
 
 def saturation(molecules: DataFrame) -> DataFrame:
@@ -28,10 +29,9 @@ def species_summary(molecules: DataFrame, matrix: DataFrame, cells: DataFrame) -
         F.sum("value").cast("bigint").alias("umis"), F.count("*").alias("genes")
     )
     called = cells.where("species <> 'multiplet'").select("cell_barcode", F.col("species").alias("genome"))
-    medians = called.join(per, ["cell_barcode", "genome"]).groupBy("genome").agg(
-        F.count("*").alias("n_cells"),
-        F.median("umis").alias("median_umis"),
-        F.median("genes").alias("median_genes"),
+    own = called.join(per, ["cell_barcode", "genome"])
+    medians = exact_quantiles(own, {"median_umis": ("umis", 0.5), "median_genes": ("genes", 0.5)}, ["genome"]).join(
+        own.groupBy("genome").agg(F.count("*").alias("n_cells")), "genome"
     )
     in_cells = per.groupBy("genome").agg(F.sum("umis").alias("_in"))
     total = molecules.groupBy("genome").agg(F.count("*").alias("_all"))
@@ -170,9 +170,7 @@ def subsample_curves(
         F.coalesce(F.lead("at").over(order) - 1, F.col("last")).alias("until"),
     )
     per_depth = grown.select("genome", "last", "full", "umis", "genes", F.explode(F.sequence("at", "until")).alias("i"))
-    curve = per_depth.groupBy("genome", "i", "last", "full").agg(
-        F.median("genes").alias("median_genes"), F.median("umis").alias("median_umis")
-    )
+    curve = exact_quantiles(per_depth, {"median_genes": ("genes", 0.5), "median_umis": ("umis", 0.5)}, ["genome", "i", "last", "full"])
     at_depth = F.when(F.col("i") == F.col("last"), F.floor("full")).otherwise(F.col("i") * step).cast("bigint")
     start = depth.select(
         "genome", F.lit(0).cast("bigint").alias("depth"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.lineage import cut
 from cellweave.operators.ordering import global_index
+from cellweave.sources import bgzf
 
 
 def write_matrix_market(
@@ -87,15 +90,39 @@ def write_links(links: DataFrame, path: str, pval: float = 0.05) -> None:
     write_csv(links.where("accept"), f"{path}.accepted", "\t")
 
 
+def _tags(reads: DataFrame) -> Column:
+    """The tags of a record, with its barcodes as CB and UB where it has none."""
+    own = F.col("tags") if "tags" in reads.columns else F.lit(None).cast("string")
+    bare = F.concat(F.lit("\t"), F.coalesce(own, F.lit("")))
+    added = [
+        F.when(~bare.contains(f"\t{tag}:"), F.concat(F.lit(f"{tag}:Z:"), c)) for tag, c in (("CB", "cell_barcode"), ("UB", "umi")) if c in reads.columns
+    ]
+    return F.concat_ws("\t", F.nullif(own, F.lit("")), *added)
+
+
+def alignment_fields(reads: DataFrame) -> DataFrame:
+    """The fields of an alignment record; mate fields that ``reads`` lacks say that there is none."""
+    have = lambda c, default: F.col(c) if c in reads.columns else F.lit(default)
+    return reads.withColumns(
+        {
+            "mate_reference_name": F.coalesce(have("mate_reference_name", "*"), F.lit("*")),
+            "mate_pos": F.coalesce(have("mate_pos", -1).cast("bigint"), F.lit(-1)),
+            "tags": _tags(reads),
+        }
+    )
+
+
 def write_sam(reads: DataFrame, contigs: DataFrame, path: str, by: str | None = None) -> None:
-    """SAM lines with CB and UB tags, in position order, under an @SQ header.
+    """SAM lines with mate fields and tags (CB and UB among them), in position order, under an @SQ header.
 
     With ``by`` (such as a cluster label) the rows go to one directory per value, without header.
     """
+    reads = alignment_fields(reads)
+    mate = F.when((F.col("mate_reference_name") == F.col("reference_name")) & (F.col("mate_reference_name") != "*"), "=").otherwise(F.col("mate_reference_name"))
     fields = [
         "qname", F.col("flag").cast("string"), "reference_name", (F.col("pos") + 1).cast("string"),
-        F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.col("tlen").cast("string"),
-        "seq", "qual", F.concat(F.lit("CB:Z:"), "cell_barcode"), F.concat(F.lit("UB:Z:"), "umi"),
+        F.col("mapq").cast("string"), "cigar", mate, (F.col("mate_pos") + 1).cast("string"), F.col("tlen").cast("string"),
+        "seq", "qual", F.nullif("tags", F.lit("")),
     ]
     line = F.concat_ws("\t", *fields).alias("value")
     if by is not None:
@@ -109,6 +136,27 @@ def write_sam(reads: DataFrame, contigs: DataFrame, path: str, by: str | None =
     _ordered_text(head.unionByName(body), ["_chrom", "_pos"], path)
 
 
+def write_bam(reads: DataFrame, contigs: DataFrame, path: str, by: str | None = None) -> None:
+    """BAM files with mate fields and tags (CB and UB among them), sorted by position; contigs keep the order given.
+
+    The rows are dealt by range of (``by``, contig, position), so a large label or contig is shared by several tasks; every
+    part file is a BAM file of its own, and in name order they are one sorted whole. With ``by`` each value has a
+    directory ``by=value``. Files appear when all tasks have ended; a failed write leaves none.
+    """
+    from cellweave.sources.bam_sink import BamSink
+
+    sizes = [(r.chrom, r["size"]) for r in contigs.select("chrom", "size").collect()]  # a header's contigs
+    place = F.create_map(*[F.lit(x) for i, (n, _) in enumerate(sizes) for x in (n, i)]) if sizes else F.lit(None).cast("map<string,int>")
+    rows = alignment_fields(reads).withColumn("_contig", F.coalesce(F.try_element_at(place, F.col("reference_name")), F.lit(len(sizes))))
+    order = [*([by] if by else []), "_contig", "pos", "qname", "flag"]
+    label = F.col(by).cast("string") if by else F.lit(None).cast("string")
+    ready = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(label.alias("label"), *bgzf.RECORDS.names)
+    spark = reads.sparkSession
+    spark.dataSource.register(BamSink)
+    text = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in sizes)
+    ready.write.format("bam_files").mode("overwrite").options(path=path, by=by or "", contigs=json.dumps(sizes), header=text).save()
+
+
 def write_combined_genome(lines: DataFrame, path: str) -> None:
     _ordered_text(lines, ["file", "line_no"], path)
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellweave.sources.splits import map_splits, notes_of, split_rows
+
 GTF_SCHEMA = (
     "Chromosome string, Source string, Feature string, Start bigint, End bigint, "
     "Score string, Strand string, Frame string, Attributes string"
@@ -146,13 +153,80 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+class _LineCount:
+    """Notes a split's number of lines and its first three, which may end the record begun before it."""
+
+    def __init__(self, key: tuple[int, int]):
+        self.key, self.n, self.head = key, 0, []
+
+    def feed(self, values: pa.Array) -> Iterator[pa.RecordBatch]:
+        if len(self.head) < 3:
+            self.head += values.slice(0, 3 - len(self.head)).to_pylist()
+        self.n += len(values)
+        return iter(())
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        head = pa.array([self.head], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array([self.key[0]]), pa.array([self.key[1]]), pa.array([self.n]), head], ["file", "start", "n", "head"])
+
+
+class _FastqRecords:
+    """The records that begin in a split, numbered through the file; the last one ends with lines of later splits."""
+
+    def __init__(self, key: tuple[int, int], plan: tuple[int, int, list[str]]):
+        self.file = key[0]
+        self.ordinal, self.skip, self.more = plan
+        self.held = pa.array([], pa.string())
+
+    def feed(self, values: pa.Array) -> Iterator[pa.RecordBatch]:
+        skipped = min(self.skip, len(values))
+        self.skip -= skipped
+        lines = pa.concat_arrays([self.held, values.slice(skipped)])
+        n = len(lines) // 4
+        self.held = lines.slice(4 * n)
+        if n:
+            at = np.arange(n) * 4
+            name, seq, plus, qual = (lines.take(pa.array(at + k)) for k in range(4))
+            good = pc.and_(pc.and_(pc.starts_with(name, "@"), pc.starts_with(plus, "+")), pc.equal(pc.utf8_length(seq), pc.utf8_length(qual)))
+            if not pc.all(good).as_py():
+                raise ValueError(f"not a four-line record: {name.filter(pc.invert(good))[0]}")
+            ordinal = pa.array(np.arange(self.ordinal, self.ordinal + n))
+            self.ordinal += n
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, self.file)), ordinal, name, seq, qual], ["file", "ordinal", "name", "seq", "qual"])
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        yield from self.feed(pa.array(self.more, pa.string()))
+        if any(self.held.to_pylist()):
+            raise ValueError(f"the file ends within a record: {self.held[0]}")
+
+
+def fastq_plan(rows: DataFrame) -> dict[tuple[int, int], tuple[int, int, list[str]]]:
+    """(file, start): (number of the split's first record, lines before it, lines of its last record in later splits)."""
+    plan = {}
+    for file, splits in notes_of(map_splits(rows, "file bigint, start bigint, n bigint, head array<string>", _LineCount)).items():
+        before, following = 0, list(splits.items())
+        for k, (start, (n, _)) in enumerate(following):
+            wanted, more = -(before + n) % 4, []
+            for _, (_, head) in following[k + 1 :]:
+                if len(more) >= wanted:
+                    break
+                more += head
+            plan[file, start] = (-(-before // 4), min(-before % 4, n), more[:wanted] if n > -before % 4 else [])
+            before += n
+    return plan
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ordinal, name, seq, qual) of four-line FASTQ records."""
-    lines = numbered_lines(spark, path)
-    field = F.col("line_no") % 4
-    return lines.groupBy("file", F.floor(F.col("line_no") / 4).alias("ordinal")).agg(
-        *[F.max(F.when(field == at, F.col("value"))).alias(n) for n, at in (("name", 0), ("seq", 1), ("qual", 3))]
-    )
+    """(file, ordinal, name, seq, qual) of four-line FASTQ records; ``file`` is a number for the file.
+
+    The lines of each split are counted first; with them every split knows its place in the file, takes up after the
+    record that runs into it, and ends its own last record with the next split's first lines. Nothing is shuffled.
+    A record that is not ``@``, bases, ``+`` and as many qualities raises an error, and so does a file that ends
+    within a record. Gzipped files are one split each.
+    """
+    rows = split_rows(spark.read.text(path))
+    plan = spark.sparkContext.broadcast(fastq_plan(rows))
+    return map_splits(rows, "file bigint, ordinal bigint, name string, seq string, qual string", lambda key: _FastqRecords(key, plan.value[key]))
 
 
 def read_fastq_pair(spark: SparkSession, path1: str, path2: str) -> DataFrame:
