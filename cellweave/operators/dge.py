@@ -185,6 +185,5 @@ def knee_summary(totals: DataFrame, threshold: DataFrame) -> DataFrame:
     median = exact_quantiles(cells, {"median_umis": ("umi_count", 0.5)}, [])
     return cells.agg(
         F.count("*").alias("n_cells"),
-        F.max(median.scalar()).alias("median_umis"),
         F.max(threshold.select("threshold").scalar()).alias("read_threshold"),
-    )
+    ).withColumn("median_umis", median.scalar())
