@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -21,3 +22,10 @@ def cut(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="cellweave-ckpt-"))
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path for files on their way, beside the checkpoints."""
+    sc = spark.sparkContext
+    cut(spark.range(0))  # names the folder if need be
+    return f"{sc.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -22,6 +22,14 @@ def reads_per_cell(reads: DataFrame) -> DataFrame:
     return qc_reads(reads).groupBy("cell_barcode").agg(F.count("*").alias("umi"))
 
 
+def tss_regions(tss: DataFrame) -> DataFrame:
+    """(chrom, start, end): what ``tss_pairs`` looks at around each TSS."""
+    middle = F.floor((F.col("start") + F.col("end")) / 2).cast("bigint")
+    return tss.select(
+        "chrom", F.greatest(F.lit(0), middle - 2 * FLANK).cast("bigint").alias("start"), (middle + 2 * FLANK).alias("end")
+    )
+
+
 def tss_pairs(reads: DataFrame, tss: DataFrame) -> DataFrame:
     """(cell_barcode, left, right): offsets of both fragment ends from the window start of a TSS.
 
