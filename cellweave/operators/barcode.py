@@ -175,10 +175,10 @@ def correct_barcodes(
 ) -> DataFrame:
     """Add status (perfect, correct, multi_match, no_match) and the corrected bc1..bc3.
 
-    The reads are read twice: once for their distinct triples, which are stored, once for the result.
+    The reads are read once for their distinct triples, which are stored, and once for each side of the result.
     Imperfect triples get their candidates, which must be among ``triples`` or else the perfect triples of
-    all reads. The few settled triples are joined to all reads; perfect reads and reads without slices, which need
-    no entry, carry keys spread by ordinal so that none gathers in one partition.
+    all reads. The few settled triples are joined to the imperfect reads only; perfect reads and reads without slices,
+    which are most, pass by and are not shuffled.
     """
     hits = _exact_hits(sliced, whitelists)
     perfect = F.col("hit_obs1") & F.col("hit_obs2") & F.col("hit_obs3")
@@ -190,17 +190,14 @@ def correct_barcodes(
     candidates = distinct.where("not _perfect").select(*OBS)
     for obs, bc, m in zip(OBS, BCS, maps):
         candidates = candidates.join(m.select(F.col("obs").alias(obs), F.col("barcode").alias(bc)), obs)
-    keys = [f"_key_{o}" for o in OBS]
     fixed = (
         candidates.join(triples.select(*BCS), BCS, "left_semi")
-        .groupBy(*[F.col(o).alias(k) for o, k in zip(OBS, keys)])
+        .groupBy(*OBS)
         .agg(F.count("*").alias("_n"), *[F.min(b).alias(f"_{b}") for b in BCS])
     )
     sought = ~F.col("_perfect") & F.col("slice_status").isNull()
-    spread = F.concat(F.lit("-"), F.xxhash64("ordinal").cast("string"))
-    joined = hits.withColumns({k: F.when(sought, F.col(o)).otherwise(spread) for o, k in zip(OBS, keys)}).join(
-        fixed, keys, "left"
-    )
+    blank = {"_n": F.lit(None).cast("bigint"), **{f"_{b}": F.lit(None).cast("string") for b in BCS}}
+    joined = hits.where(~sought).withColumns(blank).unionByName(hits.where(sought).join(fixed, list(OBS), "left"))
     one = F.col("_n") == 1
     status = (
         F.when(F.col("_perfect"), "perfect")
@@ -221,7 +218,10 @@ def correct_barcodes(
 def tag_of(cut: Column, cfg: AssayConfig) -> Column:
     """A (chromatin), R (RNA) or W (undetermined) by distance to the transposase tag."""
     near, far = cfg.tag_edit_dist
-    d = free_divergence(F.rpad(cut, cfg.tag_length, "N"), F.lit(cfg.tag_seq))
+    exact = cut == F.lit(cfg.tag_seq)
+    # A whole tag, the usual case, goes to the measure as null and is not measured.
+    padded = F.when(~exact, F.rpad(cut, cfg.tag_length, "N"))
+    d = F.when(exact, 0).otherwise(free_divergence(padded, F.lit(cfg.tag_seq)))
     return F.when(d <= near, "A").when(d >= far, "R").otherwise("W")
 
 

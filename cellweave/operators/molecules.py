@@ -206,8 +206,8 @@ def filter_atac_bam(
 ) -> DataFrame:
     """Keep the first read pair of every molecule that belongs to a called cell.
 
-    The pair is chosen by the smallest read name per (cell, umi) as a plain minimum, which
-    combines before the shuffle; its mates follow by read name.
+    Reads of other molecules go first. The pair is chosen by the smallest read name per (cell, umi) as a plain
+    minimum, which combines before the shuffle; its mates follow by read name.
     """
     ok = (
         ~F.col("is_unmapped") & ~F.col("mate_is_unmapped") & ~F.col("is_secondary")
@@ -222,9 +222,10 @@ def filter_atac_bam(
     )
     first = (
         kept.where("is_read1")
+        .select("cell_barcode", "umi", "qname")
+        .join(wanted, ["cell_barcode", "umi"], "left_semi")
         .groupBy("cell_barcode", "umi")
         .agg(F.min("qname").alias("qname"))
-        .join(wanted, ["cell_barcode", "umi"], "left_semi")
         .select("qname")
     )
     return kept.join(first, "qname", "left_semi")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from cellweave.lineage import cut, scratch
 from cellweave.operators import atac, correlation, links, pileup
 from cellweave.plans import views as V
-from cellweave.plans.catalog import _HISTO, _register
+from cellweave.plans.catalog import _HISTO, ORACLES, _register
 from cellweave.sources import alignments, bam_regions, bgzf, fasta, sinks, tables
+from cellweave.streaming import molecules as streaming
 
 # Records with flags, operations, bases, qualities and a mate.
 RECORD = f"""
@@ -194,3 +195,18 @@ def pileup_of_alignments(spark, sf):
     )
     genome = lines.select(F.concat(F.lit("c"), F.floor(k / 1000).cast("string")).alias("chrom"), ((k % 1000) * 64).alias("offset"), F.col("line").alias("seq"))
     return pileup.pileup_rows(reads, genome, chunk=64)
+
+
+@_register("molecules_from_stream", ORACLES["umi_collapse"])
+def molecules_from_stream(spark, sf):
+    """Reads arrive in three parts, a minute apart, and a closing row an hour later."""
+    streaming.use_state_store(spark)
+    path = scratch(spark, "stream")
+    minute = F.pmod(F.xxhash64("umi", "gene"), F.lit(3))
+    hits = V.view(spark, sf, V.READ_HIT).withColumn("arrived", F.timestamp_seconds(minute * 60 + 1_700_000_000))
+    closing = spark.createDataFrame([("", "", "", "A", False)], "cell_barcode string, genome string, gene string, umi string, exonic boolean")
+    for part in (hits, closing.withColumn("arrived", F.timestamp_seconds(F.lit(1_700_003_600)))):
+        part.select("cell_barcode", "genome", "gene", "umi", "exonic", "arrived").write.mode("append").parquet(f"{path}/in")
+        stream = streaming.stream_molecules(streaming.watch_hits(spark, f"{path}/in"))
+        streaming.write_molecules(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    return spark.read.schema(streaming.OUT_SCHEMA).parquet(f"{path}/out").where("cell_barcode <> ''")
