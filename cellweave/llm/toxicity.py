@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import small_batches, text_key, text_or_empty
+from cellweave.llm.common import small_batches, stored, text_key, text_or_empty
 
 TRAIN_ROWS, TERMS, ALPHABET = 20_000, 50_000, 60
 MIN_SUPPORT, MIN_WEIGHT = 3, 1.0
@@ -88,7 +88,8 @@ def fit_char_model(words: DataFrame, alphabet: int = ALPHABET) -> CharModel:
                     seen[padded[i : i + 3]] += weight
         yield pa.RecordBatch.from_pydict({"gram": pa.array(seen, pa.string()), "weight": pa.array(seen.values(), pa.float64())})
 
-    counts = words.mapInArrow(grams, "gram string, weight double").groupBy("gram").agg(F.round(F.sum("weight"), 3).alias("weight"))
+    # Stored, as it is read twice and small, and all texts stand behind it.
+    counts = stored(words.mapInArrow(grams, "gram string, weight double").groupBy("gram").agg(F.round(F.sum("weight"), 3).alias("weight")))
     ends = counts.groupBy(F.substring("gram", 3, 1).alias("c")).agg(F.sum("weight").alias("w"))
     letters = [r.c for r in ends.where("c <> '#'").orderBy(F.desc(F.round("w", 2)), "c").limit(alphabet).collect()]
     known = "".join(sorted(letters))
@@ -331,7 +332,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, train_rows: int = TRAI
     chars = fit_char_model(word_counts(documents))
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(chars)
-    rows = training_rows(documents, labels, "toxic", FOLDS, HELD, train_rows)
+    rows = stored(training_rows(documents, labels, "toxic", FOLDS, HELD, train_rows))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore, seen = Restorer(shared.value, terms_of), ({}, {})
