@@ -199,9 +199,14 @@ class Restorer:
     def pieces(self, text: str) -> Iterator[str]:
         """Known words that stand in two pieces."""
         words = _WORDS(text)
-        for word in self.known.intersection(map(str.__add__, words, words[1:])):
-            if any(a + b == word and word in self.decode(f"{a} {b}") for a, b in zip(words, words[1:])):  # noqa: B905
-                yield word
+        joined = list(map(str.__add__, words, words[1:]))
+        hits = self.known.intersection(joined)
+        if not hits:
+            return
+        for a, b in {(a, b): None for a, b, word in zip(words, words[1:], joined) if word in hits}:  # noqa: B905
+            if a + b in hits and a + b in self.decode(f"{a} {b}"):
+                hits -= {a + b}
+                yield a + b
 
     def __call__(self, text: str) -> set[str]:
         text = text.lower()
