@@ -31,7 +31,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +46,15 @@ HEAD = 1 << 20
 #: Words, their tokens and pairs' texts that a task keeps from one batch to the next.
 CACHE_WORDS, CACHE_TOKENS, CACHE_PAIRS = 300_000, 4_000_000, 200_000
 _WORD_START = re.compile(r"(?<=[!-~\w])(?= .)", re.DOTALL).split
+#: A space that follows something else, so that a text's spaces are not all cuts.
+_BEHIND_OTHER = re.compile(r"[^!-~\w] ").search
+#: Every code point before U+0530 is assigned, or has been unassigned for long; of later ones libraries differ in classes.
+_LATER = re.compile("[^\x00-\u052f]").search
+#: The pre-token pattern of the byte-level vocabulary.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Words that are encoded at once; of words whose tokens don't give their bytes, halves are tried.
+TOGETHER = 512
+_CUTTERS: dict[tuple[str, str], "_Cutter"] = {}
 _NUMBERS = "n_a long, n_b long, n_groups long, n_links long"
 SPACE_MARK = "▁"
 
@@ -66,9 +74,14 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int,
             size = min(step, n_a - i, n_b - j)
             one, other = raw_a[4 * i : 4 * (i + size)], raw_b[4 * j : 4 * (j + size)]
             if one != other:
-                apart = int.from_bytes(one, "little") ^ int.from_bytes(other, "little")
-                same = ((apart & -apart).bit_length() - 1) // 32  # ends before the lowest bit that differs
-                i, j = i + same, j + same
+                if size > PROBE:
+                    apart = int.from_bytes(one, "little") ^ int.from_bytes(other, "little")
+                    same = ((apart & -apart).bit_length() - 1) // 32  # ends before the lowest bit that differs
+                    i, j = i + same, j + same
+                else:
+                    while list_a[i] == list_b[j]:
+                        i += 1
+                        j += 1
                 break
             i, j = i + size, j + size
             if size < step:
@@ -127,11 +140,14 @@ class _PairText(dict):
 def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, single: list[str], stretches: list, groups: list) -> str:
     """``a1,a2|b1;a3|b2,b3``: the ids of every group; ``single`` has the texts of the one-to-one groups."""
     out: list[str] = []
+    a, b = ids_a.tolist(), ids_b.tolist()
     at = 0
     for (_, _, n), (i, k, j, m) in zip(stretches, groups, strict=False):
         out += single[at : at + n]
         at += n
-        out.append(f"{','.join(map(str, ids_a[i:k].tolist()))}|{','.join(map(str, ids_b[j:m].tolist()))}")
+        left = f"{a[i]}" if k - i == 1 else f"{a[i]},{a[i + 1]}" if k - i == 2 else ",".join(map(str, a[i:k]))
+        right = f"{b[j]}" if m - j == 1 else f"{b[j]},{b[j + 1]}" if m - j == 2 else ",".join(map(str, b[j:m]))
+        out.append(f"{left}|{right}")
     return ";".join(out + single[at:])
 
 
@@ -142,11 +158,24 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class _Known(dict):
+    """A number per word, in order of appearance; ``new`` has the words that got one since it was last emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        self.new.append(word)
+        return at
+
+
 class _Cutter:
     """Ids and byte lengths of space + text in both tokenizers."""
 
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -157,70 +186,114 @@ class _Cutter:
         bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, at in vocabulary.items():
             bytes_a[at] = bytes(letters[c] for c in token)
+        # The ids of the vocabulary are the ranks of its merges, for which this library is quicker.
+        self.quick = Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks={t: i for i, t in enumerate(bytes_a)}, special_tokens={}).encode_ordinary
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
-        self.bytes_a, self.bytes_b = ((table, np.array(list(map(len, table)), np.int32)) for table in (bytes_a, bytes_b))
+        self.tables = [(table, np.array(list(map(len, table)), np.int32)) for table in (bytes_a, bytes_b)]
         #: Whether no piece joins a space to what stands before it.
         self.by_word = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
         self._forget()
 
     def _forget(self) -> None:
-        self.words: dict[str, int] = {}
+        self.words = _Known()
         self.whole = np.empty(0, bool)
-        #: For A and B: where each word's tokens begin (and the last ones end), their ids and byte lengths.
-        self.starts = [np.zeros(1, np.int64)] * 2
-        self.ids = [np.empty(0, np.int64)] * 2
+        #: For A and B: where each word's tokens begin and how many they are, all ids and their byte lengths.
+        self.starts = [np.empty(0, np.int64)] * 2
+        self.counts = [np.empty(0, np.int64)] * 2
+        self.ids = [np.empty(0, np.int32)] * 2
         self.sizes = [np.empty(0, np.int32)] * 2
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode texts that begin with a space."""
-        found = (
-            [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)],
-            self.b.encode([w[1:] for w in words], num_threads=1),
-        )
-        spelled = [w.encode() for w in words]
-        together, lengths = b"".join(spelled), np.array(list(map(len, spelled)))
-        whole = np.ones(len(words), bool)
-        for side, (ids, (table, size_of)) in enumerate(zip(found, (self.bytes_a, self.bytes_b), strict=True)):
-            flat = list(chain.from_iterable(ids))
-            token = np.array(flat, np.int64)
-            ends = np.cumsum(list(map(len, ids)))
-            covered = np.diff(np.r_[0, np.r_[0, np.cumsum(size_of[token])][ends]])
-            if (covered != lengths).any() or b"".join(map(table.__getitem__, flat)) != together:
-                whole &= np.array([b"".join(map(table.__getitem__, x)) == w for x, w in zip(ids, spelled, strict=True)], bool)
-            self.starts[side] = np.concatenate([self.starts[side], self.starts[side][-1] + ends])
-            self.ids[side] = np.concatenate([self.ids[side], token])
-            self.sizes[side] = np.concatenate([self.sizes[side], size_of[token]])
+    def words_of(self, text: str) -> list[str]:
+        """What stands between the spaces at which both tokenizers cut."""
+        spaced = " " + text
+        if not self.by_word:
+            return [text]
+        if text.endswith(" ") or _BEHIND_OTHER(spaced):
+            return [w[1:] for w in _WORD_START(spaced)]
+        return text.split(" ")
+
+    def _tokens(self, words: list[str]) -> tuple[np.ndarray, list[tuple]]:
+        """Whether each word's tokens give its bytes, and per tokenizer the numbers of tokens, ids and byte lengths."""
+        text = " ".join(words)
+        spelled = (" " + text).encode()
+        sizes = np.array(list(map(len, map(str.encode, words)))) + 1
+        ids_a = self.a.encode(" " + text, add_special_tokens=False).ids if _LATER(text) else self.quick(" " + text)
+        found = (ids_a, self.b.encode(text))
+        sides = []
+        for ids, (table, size_of) in zip(found, self.tables, strict=True):
+            token = np.array(ids, np.int32)
+            ends = np.cumsum(size_of[token])
+            at = np.searchsorted(ends, np.cumsum(sizes))
+            if b"".join(map(table.__getitem__, ids)) != spelled or (ends[at] != np.cumsum(sizes)).any():
+                break
+            sides.append((np.diff(np.r_[0, at + 1]), token, size_of[token]))
+        if len(sides) == 2:
+            return np.ones(len(words), bool), sides
+        if len(words) == 1:
+            return np.zeros(1, bool), [(np.zeros(1, np.int64), np.empty(0, np.int32), np.empty(0, np.int32))] * 2
+        half = len(words) // 2
+        (one, left), (other, right) = self._tokens(words[:half]), self._tokens(words[half:])
+        return np.concatenate([one, other]), [tuple(map(np.concatenate, zip(x, y, strict=True))) for x, y in zip(left, right, strict=True)]
+
+    def _learn(self) -> None:
+        """New words with a clear end are encoded together, as the cut at the next space divides them; others one by one."""
+        words = self.words.new
+        self.words.new = []
+        kinds: list[list[int]] = [[], []]
+        parts = []
+        for i, w in enumerate(words):
+            if "!" <= w[-1:] <= "~" or w[-1:].isalnum():
+                kinds[bool(_LATER(w))].append(i)
+            else:
+                parts.append([i])
+        parts += [kind[i : i + TOGETHER] for kind in kinds for i in range(0, len(kind), TOGETHER)]
+        order = np.array([i for part in parts for i in part])
+        found = [self._tokens([words[i] for i in part]) for part in parts]
+        whole = np.empty(len(words), bool)
+        whole[order] = np.concatenate([x for x, _ in found])
         self.whole = np.concatenate([self.whole, whole])
-        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
+        for side in range(2):
+            n, ids, sizes = (np.concatenate(x) for x in zip(*(sides[side] for _, sides in found), strict=True))
+            starts, counts = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+            counts[order] = n
+            starts[order] = len(self.ids[side]) + np.cumsum(n) - n
+            for own, more in ((self.starts, starts), (self.counts, counts), (self.ids, ids), (self.sizes, sizes)):
+                own[side] = np.concatenate([own[side], more])
 
     def __call__(self, texts: list[str]) -> Iterator[tuple | None]:
         """(ids of A, their ends, ids of B, their ends) of space + each text; None if there are no tokens."""
         if len(self.words) > CACHE_WORDS or len(self.ids[0]) + len(self.ids[1]) > CACHE_TOKENS:
             self._forget()
-        cut = [(_WORD_START(" " + t) if self.by_word else [" " + t]) if t else [] for t in texts]
-        new = list({w for words in cut for w in words} - self.words.keys())
-        if new:
-            self._learn(new)
-        for words in cut:
-            at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        number = self.words.__getitem__
+        found = [np.array(list(map(number, self.words_of(t))) if t else [], np.int64) for t in texts]
+        if self.words.new:
+            self._learn()
+        for at in found:
             if not len(at) or not self.whole[at].all():
                 yield None
                 continue
             out = []
-            for starts, ids, sizes in zip(self.starts, self.ids, self.sizes, strict=True):
-                n = starts[at + 1] - starts[at]
+            for starts, counts, ids, sizes in zip(self.starts, self.counts, self.ids, self.sizes, strict=True):
+                n = counts[at]
                 token = np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)
-                out += [ids[token], np.cumsum(sizes[token], dtype=np.int32)]
+                out += [ids[token].astype(np.int64), np.cumsum(sizes[token], dtype=np.int32)]
             yield tuple(out)
 
 
+def _cutter(path_a: str, path_b: str) -> _Cutter:
+    """One for all tasks of a Python worker, one after another."""
+    if (path_a, path_b) not in _CUTTERS:
+        _CUTTERS[path_a, path_b] = _Cutter(path_a, path_b)
+    return _CUTTERS[path_a, path_b]
+
+
 def aligned_documents(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """A row per document: doc_id, the numbers of tokens, groups and links, groups_sha256, and its distinct pairs with their times."""
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, text_of = _Cutter(path_a, path_b), _PairText()
+        cutter, text_of = _cutter(path_a, path_b), _PairText()
         for batch in batches:
             numbers, digests, pairs, times, ends = [], [], [], [], [0]
             if len(text_of) > CACHE_PAIRS:
