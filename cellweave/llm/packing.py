@@ -24,6 +24,7 @@ from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,6 +37,8 @@ from cellweave.llm.token_counts import special_strings
 WINDOW, OPEN, FAN_IN = 2048, 16, 64
 END_ID = 1
 _CACHE = 400_000
+#: New words that are encoded at once.
+TOGETHER = 1_000
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 _PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -56,9 +59,11 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = special_strings(path)
+        special = special_strings(path)
+        self.special = re.compile("|".join(map(re.escape, special)) or r"\Z.").search
         vocabulary = self.tokenizer.get_vocab()
-        self.word_end = frozenset(i for t, i in vocabulary.items() if t.endswith("</w>"))
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.chunk_ids: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {}
 
@@ -66,14 +71,14 @@ class ChunkEncoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn_words(self, words: list[str]) -> None:
-        for k in range(0, len(words), 200):
-            some = words[k : k + 200]
-            ids, at, got = self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, 0, []
-            for end, i in enumerate(ids, 1):
-                if i in self.word_end:
-                    got.append(array("I", ids[at:end]).tobytes())
-                    at = end
-            if len(got) != len(some) or at != len(ids):
+        for k in range(0, len(words), TOGETHER):
+            some = words[k : k + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = (np.flatnonzero(self.word_end[ids]) + 1).tolist()
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                raw = ids.tobytes()
+                got = [raw[4 * start : 4 * end] for start, end in zip([0, *ends], ends)]  # noqa: B905
+            else:
                 got = [self._whole(w) for w in some]
             self.word_ids.update(zip(some, got, strict=True))
 
@@ -82,26 +87,38 @@ class ChunkEncoder:
             self.chunk_ids.clear()
         if len(self.word_ids) > _CACHE:
             self.word_ids.clear()
+        single: list[str] = []
         cut: dict[str, list[str]] = {}
         for c in chunks:
-            if c not in self.chunk_ids:
-                if self.plain(c) and not any(s in c for s in self.special):
-                    cut[c] = self.words(c.lower())
-                else:
-                    self.chunk_ids[c] = self._whole(c)
-        self._learn_words([*{w for ws in cut.values() for w in ws if w not in self.word_ids}])
+            if c.isascii() and c.isalpha():
+                single.append(c)
+            elif self.plain(c) and not self.special(c):
+                cut[c] = self.words(c.lower())
+            else:
+                self.chunk_ids[c] = self._whole(c)
+        lower = list(map(str.lower, single))
         word = self.word_ids
+        self._learn_words(list({*lower, *(w for ws in cut.values() for w in ws)} - word.keys()))
+        self.chunk_ids.update(zip(single, map(word.__getitem__, lower), strict=True))
         for c, ws in cut.items():
             self.chunk_ids[c] = word[ws[0]] if len(ws) == 1 else b"".join([word[w] for w in ws])
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The texts' ids, in order."""
         for k in range(0, len(texts), 256):
-            split = [None if self.odd_space(t) else t.split() for t in texts[k : k + 256]]
-            self._learn({c for chunks in split if chunks for c in chunks})
-            of = self.chunk_ids.__getitem__
-            for t, chunks in zip(texts[k : k + 256], split, strict=True):
-                yield self._whole(t) if chunks is None else b"".join(map(of, chunks))
+            some = texts[k : k + 256]
+            split = [None if self.odd_space(t) else t.split() for t in some]
+            known = self.chunk_ids.get
+            found = [None if chunks is None else list(map(known, chunks)) for chunks in split]
+            gaps = [[i for i, ids in enumerate(parts) if ids is None] if parts and None in parts else () for parts in found]
+            new = {chunks[i] for chunks, at in zip(split, gaps, strict=True) for i in at}
+            if new:
+                self._learn(new)
+                for chunks, parts, at in zip(split, found, gaps, strict=True):
+                    for i in at:
+                        parts[i] = self.chunk_ids[chunks[i]]
+            for t, parts in zip(some, found, strict=True):
+                yield self._whole(t) if parts is None else b"".join(parts)
 
 
 def _encoder(path: str) -> ChunkEncoder:
@@ -148,15 +165,15 @@ def _pack_partition(path: str, window: int, most: int, schema: pa.Schema):
         encode, windows = _encoder(path), OpenWindows(window, most)
         end = array("I", [END_ID]).tobytes()
         for batch in batches:
-            rows: dict[str, list] = {f.name: [] for f in schema}
+            rows: list[tuple] = []
             for key, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
                 ids += end
                 tokens = len(ids) // 4
                 for start, length, seq, offset in windows.place(tokens):
                     piece = ids if length == tokens else ids[4 * start : 4 * (start + length)]
-                    for name, value in zip(rows, (key, start, length, zlib.crc32(piece), tokens, part, seq, offset, 0), strict=True):
-                        rows[name].append(value)
-            yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                    rows.append((key, start, length, zlib.crc32(piece), tokens, part, seq, offset, 0))
+            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
         # A row for each window left open tells how much of it is used.
         left = {f.name: [] for f in schema}
         for room, seq in windows.rooms:
