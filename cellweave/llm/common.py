@@ -55,6 +55,14 @@ def small_batches(spark: SparkSession, records: int = BATCH_RECORDS) -> None:
         spark.conf.set(name, str(records))
 
 
+def free_prefix(df: DataFrame) -> str:
+    """Underscores that begin no column's name, for columns that an operator adds on the way."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

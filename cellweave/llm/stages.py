@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
-from cellweave.llm.common import stored, table, text_key
+from cellweave.llm.common import free_prefix, stored, table, text_key
 
 #: Decisions (16 bytes each) are broadcast up to this counted number, else joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
@@ -18,10 +18,17 @@ BROADCAST_KEYS = 1_000_000
 
 def _without(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
     """``docs`` whose (doc_id, ``key``) is not in ``gone`` (doc_id, key)."""
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    gone, same = _keys(docs, gone, key)
+    gone = gone.distinct()
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_anti")
+    return docs.join(gone, same, "left_anti")
+
+
+def _keys(docs: DataFrame, keys: DataFrame, key: Column) -> tuple[DataFrame, Column]:
+    """``keys`` (doc_id, key) under names that ``docs`` has not, and the condition that a row of ``docs`` is among them."""
+    at = free_prefix(docs)
+    return keys.select(F.col("doc_id").alias(f"{at}id"), F.col("key").alias(f"{at}key")), F.col("doc_id").eqNullSafe(F.col(f"{at}id")) & (key == F.col(f"{at}key"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +48,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if again.isEmpty():
         return kept
     once = _without(kept, again, near_dedup.digest())
-    keys = again.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    several = kept.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (near_dedup.digest() == F.col("_key")), "left_semi")
+    keys, same = _keys(kept, again, near_dedup.digest())
+    several = kept.join(keys, same, "left_semi")
     return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import LOWER, UPPER
+from cellweave.llm.common import LOWER, UPPER, free_prefix
 
 Rule = tuple[str, str, str]
 MAX_RULES = 1_000_000
@@ -98,5 +98,6 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow",
         )
 
     out = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
-    out = out.withColumn("_decided", decide("host", "path"))
-    return out.withColumns({"rule": F.col("_decided.rule"), "verdict": F.col("_decided.verdict")}).drop("_decided")
+    decided = f"{free_prefix(out)}decided"
+    out = out.withColumn(decided, decide("host", "path"))
+    return out.withColumns({"rule": F.col(f"{decided}.rule"), "verdict": F.col(f"{decided}.verdict")}).drop(decided)
