@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from cellweave.config import AssayConfig
 from cellweave.lineage import cut
-from cellweave.operators import annotation, barcode, circle, intervals, links, molecules, mutation, trim
+from cellweave.operators import annotation, barcode, circle, intervals, links, molecules, mutation, pileup, trim
 from cellweave.plans import demultiplex, mutations, postprocess, regulatory
-from cellweave.sources import alignments, fasta, sinks, tables
+from cellweave.sources import alignments, bam_regions, fasta, sinks, tables
 
 
 def _config(path: str | None, spark: SparkSession) -> AssayConfig:
@@ -116,8 +116,18 @@ def link(spark, a):
     sinks.write_links(regulatory.finish(found, genes), a.out)
 
 
+def _pileup(spark, path, fasta_path):
+    """Pileup rows of a file, or of alignments on a genome."""
+    if not path.endswith((".bam", ".sam")):
+        return tables.read_pileup(spark, path)
+    if not fasta_path:
+        raise ValueError("pileups of alignments need --fasta")
+    return pileup.pileup_rows(_align(spark, path), fasta.read_genome(spark, fasta_path))
+
+
 def mutate(spark, a):
-    out = mutations.call_mutations(tables.read_pileup(spark, a.tumor), tables.read_pileup(spark, a.normal))
+    tumor, normal = (cut(_pileup(spark, path, a.fasta)) for path in (a.tumor, a.normal))
+    out = mutations.call_mutations(tumor, normal)
     for name, df in out.items():
         df.write.mode("overwrite").parquet(f"{a.out}/{name}")
     sinks.write_bed(spark.read.parquet(f"{a.out}/sites"), f"{a.out}/sites.bed")
@@ -129,7 +139,15 @@ def cluster(spark, a):
         part = _align(spark, path).withColumn("batch", F.lit(batch))
         reads = part if reads is None else reads.unionByName(part)
     split = mutation.split_by_cluster(reads, tables.read_clusters(spark, a.clusters), a.suffix)
-    split.write.mode("overwrite").partitionBy("label").parquet(a.out)
+    if a.bam:
+        contigs = alignments.bam_contigs(spark, a.alignments[0])
+        sinks.write_bam(split, contigs, a.out, by="label")
+    else:
+        split.write.mode("overwrite").partitionBy("label").parquet(a.out)
+
+
+def index(spark, a):
+    bam_regions.index_bam(spark, a.alignments, a.out)
 
 
 def circles(spark, a):
@@ -178,8 +196,9 @@ def parser() -> argparse.ArgumentParser:
     )
     m.add_argument("--datatype", choices=["RNA", "ATAC"], required=True)
     mode("links", link, "expression", "accessibility", "genome_dir", "fasta", window_kb=500)
-    mode("mutations", mutate, "tumor", "normal")
-    mode("clusters", cluster, "alignments+", "clusters", suffix=False)
+    mode("mutations", mutate, "tumor", "normal", fasta=None)
+    mode("clusters", cluster, "alignments+", "clusters", suffix=False, bam=False)
+    mode("index", index, "alignments")
     mode("circles", circles, "input")
     mode("convert", convert, "prefix")
     return p

@@ -210,3 +210,33 @@ def test_regions_read_their_blocks_only(spark, tmp_path):
     assert len(want) > 50 and got == sorted(want)
     blocks = alignments.bam_blocks(spark, str(tmp_path / "*.bam")).where("length(value) > 0").count()
     assert 0 < read.value < blocks / 3
+
+
+def test_commands_on_bam(spark, tmp_path):
+    """Labelled BAM files, an index, and mutations straight from alignments."""
+    from cellweave.__main__ import main
+
+    rng = random.Random(5)
+    text = "".join(rng.choice("ACGT") for _ in range(400))
+    (tmp_path / "g.fa").write_text(">hg_1\n" + "".join(text[i : i + 50] + "\n" for i in range(0, 400, 50)))
+    other = "C" if text[120] != "C" else "G"
+    blank = alignment_rows(1)[0].asDict() | {"reference_name": "hg_1", "mapq": 60, "cigar": "50M", "mate_reference_name": "*", "mate_pos": -1, "qual": "I" * 50, "tags": "", "flag": 0}
+
+    def reads(name, share):
+        out = []
+        for i in range(24):
+            seq = text[100:120] + (other if i < share else text[120]) + text[121:150]
+            out.append(Row(**blank | {"qname": f"{name}{i % 3}:U{i}:r{i}", "pos": 100, "seq": seq}))
+        return out
+
+    contigs = [("hg_1", 400)]
+    (tmp_path / "t.bam").write_bytes(bam_bytes(reads("t", 12), 500, contigs))
+    (tmp_path / "n.bam").write_bytes(bam_bytes(reads("n", 0), 500, contigs))
+    main(["mutations", "--out", str(tmp_path / "mut"), "--tumor", str(tmp_path / "t.bam"), "--normal", str(tmp_path / "n.bam"), "--fasta", str(tmp_path / "g.fa")])
+    found = spark.read.parquet(str(tmp_path / "mut/mutated")).collect()
+    assert {(r.chrom, r.pos, r.allele, r.wild_type) for r in found} == {("hg_1", 121, other, text[120])} and sum(r.n for r in found) == 12
+    (tmp_path / "cl").write_text("t0 tumor\nt1 tumor\nt2 rest\n")
+    main(["clusters", "--out", str(tmp_path / "by"), "--alignments", str(tmp_path / "t.bam"), "--clusters", str(tmp_path / "cl"), "--bam"])
+    assert alignments.read_bam(spark, str(tmp_path / "by/label=tumor/*.bam")).count() == 16
+    main(["index", "--out", str(tmp_path / "index"), "--alignments", str(tmp_path / "t.bam")])
+    assert spark.read.parquet(str(tmp_path / "index")).select("chrom", "window").collect() == [("hg_1", 0)]
