@@ -13,10 +13,11 @@ With ``span_words`` also goes every window of that many consecutive words that s
 (``repeated_spans``). Within a text it does so only if it does not overlap its first occurrence.
 
 Digests are written once as a table. Repeats inside a text are settled where it is read. Across texts the earliest occurrence
-is an aggregate minimum that combines before the shuffle, so a line in a third of all documents costs one row per task. Occurrences are then marked by a join of the digests that occur more than
-once; a digest held by many rows is split by the adaptive skew join.
+is an aggregate minimum that combines before the shuffle, so a line in a third of all documents costs one row per task. Occurrences
+are then marked by a join of the digests that occur more than once, to which only rows go that a table of bits of these digests
+lets pass; a digest held by many rows is split by the adaptive skew join.
 
-Defined cases: null and empty texts have no units and stay as they are; a text is cut whole whatever its length;
+Defined cases: ``doc_id`` must be of a whole number's type; null and empty texts have no units and stay as they are; a text is cut whole whatever its length;
 rows of one doc_id take nothing from each other (as rows without one), so repeated rows give repeated rows;
 other columns pass through untouched. A kept text is the kept units joined by their own separators; in a unit that loses
 sentences or words the others are joined by one space, and a unit that loses all of them goes.
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh3_128_digest
 
-from cellweave.llm.common import small_batches, stored, text_key, text_or_empty
+from cellweave.llm.common import free_prefix, small_batches, stored, text_key, text_or_empty
 
 MIN_WORDS, RUN_WORDS = 5, 30
 SPAN_WORDS, ANCHOR_WORDS = 50, 15
@@ -89,13 +90,30 @@ def _spread(separator: str, min_words: int):
 
 
 def _later(rows: DataFrame) -> DataFrame:
-    """doc, text_key, place of the ``rows`` whose digest stands earlier."""
+    """doc, text_key, place of the ``rows`` whose digest stands earlier.
+
+    Most digests stand once. A table of bits of those that don't lets a task drop the rows that can meet none before the
+    join; a row that it keeps for nothing meets none there.
+    """
     once = rows.where("not again")
-    firsts = once.groupBy("high", "low").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    later = once.join(firsts, ["high", "low"]).where("doc > first")
+    firsts = stored(once.groupBy("high", "low").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"))
+    table = rows.sparkSession.sparkContext.broadcast(_table_of_bits(firsts.select(F.col("low").alias("anchor"))))
+
+    def met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_are_set(table.value, batch.column("low").to_numpy().view(np.uint64))))
+
+    names = "doc long, text_key long, place int, high long, low long"
+    some = once.select("doc", "text_key", "place", "high", "low").mapInArrow(met, names)
+    later = some.join(firsts, ["high", "low"]).where("doc > first")
     return later.select("doc", "text_key", "place").unionByName(rows.where("again").select("doc", "text_key", "place"))
 
 
+def _are_set(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    bit = values & np.uint64(8 * len(table) - 1)
+    return (table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _word_hashes(text: str) -> np.ndarray:
     """A row of two 64-bit values per word."""
     return np.frombuffer(b"".join([xxh3_128_digest(w.lower().encode("utf-8", "replace")) for w in _WORD.findall(text)]), np.uint64).reshape(-1, 2)
@@ -163,8 +181,7 @@ def repeated_spans(documents: DataFrame, span: int = SPAN_WORDS) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("place", pa.int32()), ("high", pa.int64()), ("low", pa.int64()), ("again", pa.bool_())])
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = table.value
-        mask, found, held = np.uint64(8 * len(bits) - 1), [], 0
+        found, held = [], 0
 
         def flush() -> pa.RecordBatch:
             columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [[]] * len(schema)
@@ -177,8 +194,7 @@ def repeated_spans(documents: DataFrame, span: int = SPAN_WORDS) -> DataFrame:
                 if len(hashes) < span:
                     continue
                 at, grams = _anchors(hashes[:, 0], span)
-                bit = grams & mask
-                places = np.flatnonzero((bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)[at])
+                places = np.flatnonzero(_are_set(table.value, grams)[at])
                 if not len(places):
                     continue
                 high, low = (_windows(hashes[:, k], span)[places].view(np.int64) for k in (0, 1))
@@ -286,13 +302,13 @@ def cut(
     return separator.join(kept), spans
 
 
-def _cut_out(separator: str, span_words: int | None, schema: pa.Schema):
-    """Arrow batches with ``_units``, ``_sentences`` and ``_windows`` to batches of ``schema``: texts rewritten, spans of what went."""
+def _cut_out(separator: str, span_words: int | None, marks: list[str], schema: pa.Schema):
+    """Arrow batches with units, sentences and windows, named by ``marks``, to batches of ``schema``: texts rewritten, spans of what went."""
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
-            for row in zip(*(batch.column(c) for c in ("text", "_units", "_sentences", "_windows")), strict=True):
+            for row in zip(*(batch.column(c) for c in ("text", *marks)), strict=True):
                 text, units, sentences, windows = (v.as_py() for v in row)
                 spans = []
                 if units or sentences or windows:
@@ -313,19 +329,23 @@ def dedup_lines(documents: DataFrame, unit: str = "line", min_words: int = MIN_W
 
     ``removed`` lists (place, start, end) of each removed unit, in code points of the original text.
     """
+    if not isinstance(documents.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError("doc_id ranks the documents here and must be a whole number")
     small_batches(documents.sparkSession)
     separator = SEPARATORS[unit]
+    at = free_prefix(documents)
+    marks = [f"{at}{c}" for c in ("units", "sentences", "windows")]
     gone = repeated_units(documents, unit, min_words, span_words).select(
-        F.col("doc").alias("_id"), F.col("text_key").alias("_key"), *(F.col(c).alias(f"_{c}") for c in ("units", "sentences", "windows"))
+        F.col("doc").alias(f"{at}doc"), F.col("text_key").alias(f"{at}gone"), *(F.col(c.removeprefix(at)).alias(c) for c in marks)
     )
     kept = [c for c in documents.columns if c not in ("n_units", "n_removed", "removed")]
     docs = documents.select(
-        *kept, F.when(text_or_empty() != "", F.size(F.split("text", separator))).otherwise(0).alias("n_units"), text_key().alias("_text_key")
+        *kept, F.when(text_or_empty() != "", F.size(F.split("text", separator))).otherwise(0).alias("n_units"), text_key().alias(f"{at}key")
     )
-    joined = docs.join(gone, (_key() == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
-    joined = joined.select(*kept, "n_units", "_units", "_sentences", "_windows")
+    joined = docs.join(gone, (_key() == F.col(f"{at}doc")) & (F.col(f"{at}key") == F.col(f"{at}gone")), "left")
+    joined = joined.select(*kept, "n_units", *marks)
     span = T.StructType([T.StructField(c, T.IntegerType()) for c in ("place", "start", "end")])
     schema = T.StructType(
-        [*joined.drop("_units", "_sentences", "_windows").schema.fields, T.StructField("n_removed", T.IntegerType()), T.StructField("removed", T.ArrayType(span))]
+        [*joined.drop(*marks).schema.fields, T.StructField("n_removed", T.IntegerType()), T.StructField("removed", T.ArrayType(span))]
     )
-    return joined.mapInArrow(_cut_out(separator, span_words, to_arrow_schema(schema)), schema)
+    return joined.mapInArrow(_cut_out(separator, span_words, marks, to_arrow_schema(schema)), schema)

@@ -295,3 +295,21 @@ def test_spans_with_other_sentence_ends_go_in_the_pipeline(spark):
     assert rows == {1: docs[0][1], 2: "Another start. Gluedword0,\nthird words!\nLast line.", 3: "Begin:\nStop", 5: docs[4][1]}
     assert line_dedup.cut("a b, c d e. f", "\n", set(), set(), 30, [1, 2], 2) == ("a e. f", [(0, 2, 8)])
     assert line_dedup.cut("a b\n\nc d. e", "\n", set(), set(), 30, [1], 2) == ("a\nd. e", [(0, 2, 3), (1, 4, 4), (2, 5, 6)])
+
+
+def test_clashing_names_and_ids(spark):
+    """Columns named like those an operator adds on its way."""
+    names = ["_units", "_key", "_id", "_text_key", "_sentences", "_windows", "__units", "_decided", "node"]
+    rows = [(1, "One two three four five six.\nand more words here now"), (2, "One two three four five six.\nother words stand here"), (3, None)]
+    docs = spark.createDataFrame([(i, t, *[f"c{i}"] * len(names)) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert out[2].text == "other words stand here" and all(out[i][n] == f"c{i}" for i in out for n in names)
+    gone = spark.createDataFrame([(2, 5), (None, 5)], "doc_id long, key long")
+    left = stages._without(docs, gone.withColumn("key", stages.F.lit(None).cast("long")), stages.text_key())
+    assert left.count() == 3 and left.columns == docs.columns
+    keys = docs.where("doc_id = 2").select("doc_id", stages.text_key().alias("key"))
+    assert [r.doc_id for r in stages._without(docs, keys, stages.text_key()).orderBy("doc_id").collect()] == [1, 3]
+    with pytest.raises(TypeError):
+        line_dedup.dedup_lines(docs.withColumn("doc_id", docs.doc_id.cast("string")))
+    pages = spark.createDataFrame([(1, "http://a.com/x", "kept")], "page_id long, url string, _decided string")
+    assert url_filter.judge_urls(pages, URL_RULES).first()._decided == "kept"
