@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,61 +14,59 @@ from cellweave.functions.seq import cell_from_qname
 # The characters that stand for one read in the pileup format.
 BASES = "ACGTNacgtn.,*#><"
 _MARKED = r"[^ACGTNacgtn.,*#><]"
-_STATE = "struct<out:string,mode:int,sign:string,num:string,left:int,n:int>"
-# What the next character is to the fold below.
-_READ, _QUALITY, _FIRST, _NUMBER, _INDEL, _BROKEN = range(6)
+_LONGEST = 2**31 - 1
+# One step through a text: a read start with its quality, plain reads and read ends, or an indel's sign and length.
+_STEP = re.compile(r"\^(?:.(.)?)?|([ACGTNacgtn.,*#><$]+)|([+-])([0-9]*)", re.DOTALL)
 
 
-def _marked_tokens(text: Column) -> Column:
-    """(out, n): tokens of a text with read marks or indels, each behind a line feed, and their number.
+def _marked_text(text: str) -> tuple[str, int]:
+    """Tokens of a text with read marks or indels, each behind a line feed, and their number.
 
-    A fold over the characters. Of a read start the quality is left out, of an indel the length; what cannot be
-    read ends the tokens.
+    Of a read start the quality is left out, of an indel the length; what cannot be read ends the tokens.
     """
-
-    def step(s: Column, c: Column) -> Column:
-        def state(out=s["out"], mode=None, sign=s["sign"], num=s["num"], left=s["left"], n=s["n"]) -> Column:
-            fields = {"out": out, "mode": mode, "sign": sign, "num": num, "left": left, "n": n}
-            plain = {k: F.lit(v) if isinstance(v, (int, str)) else v for k, v in fields.items()}
-            return F.struct(*[v.alias(k) for k, v in plain.items()]).cast(_STATE)
-
-        def read(out: Column) -> Column:
-            return (
-                F.when(F.lit(BASES).contains(c), state(F.concat(out, F.lit("\n"), c), _READ, n=s["n"] + 1))
-                .when(c == "^", state(out, _QUALITY))
-                .when((c == "$") & (s["n"] > 0), state(F.concat(out, c), _READ))
-                .when(c.isin("+", "-") & (s["n"] > 0), state(out, _NUMBER, sign=c, num=""))
-                .otherwise(state(out, _BROKEN))
-            )
-
-        size = s["num"].try_cast("int")
-        signed = F.concat(s["out"], s["sign"])
-        after = lambda left: F.when(left > 0, _INDEL).otherwise(_READ)
-        number = (
-            F.when(c.between("0", "9"), state(mode=_NUMBER, num=F.concat(s["num"], c)))
-            .when(size.isNull(), state(mode=_BROKEN))
-            .when(size == 0, read(signed))
-            .otherwise(state(F.concat(signed, c), after(size - 1), left=size - 1))
-        )
-        return (
-            F.when(s["mode"] == _READ, read(s["out"]))
-            .when(s["mode"] == _QUALITY, state(mode=_FIRST))
-            .when(s["mode"] == _FIRST, state(F.concat(s["out"], F.lit("\n^"), c), _READ, n=s["n"] + 1))
-            .when(s["mode"] == _NUMBER, number)
-            .when(s["mode"] == _INDEL, state(F.concat(s["out"], c), after(s["left"] - 1), left=s["left"] - 1))
-            .otherwise(s)
-        )
-
-    start = F.struct(
-        F.lit("").alias("out"), F.lit(_READ).alias("mode"), F.lit("").alias("sign"), F.lit("").alias("num"),
-        F.lit(0).alias("left"), F.lit(0).alias("n"),
-    ).cast(_STATE)
-    # A length with nothing behind it still marks its read.
-    open_end = lambda s: (s["mode"] == _NUMBER) & (s["num"] != "")
-    finish = lambda s: F.struct(
-        F.when(open_end(s), F.concat(s["out"], s["sign"])).otherwise(s["out"]).alias("out"), s["n"].alias("n")
-    )
-    return F.aggregate(F.split(text, ""), start, step, finish)
+    out, n, at = [], 0, 0
+    while step := _STEP.match(text, at):
+        first, plain, sign, digits = step.groups()
+        at = step.end()
+        if plain:
+            if n == 0 and plain[0] == "$":
+                break
+            n += len(plain) - plain.count("$")
+            out.append(("\n" + "\n".join(plain)).replace("\n$", "$"))
+        elif first is not None:
+            n += 1
+            out.append("\n^" + first)
+        elif sign:
+            size = digits.lstrip("0")
+            size = int(size or 0) if len(size) <= 10 else _LONGEST + 1
+            # A length with nothing behind it still marks its read.
+            if not n or not digits or size > _LONGEST and at < len(text):
+                break
+            out.append(sign + text[at : at + size])
+            at += size
+    return "".join(out), n
+
+
+@F.pandas_udf("string")
+def _marked_tokens(text: pd.Series, n: pd.Series) -> pd.Series:
+    """The tokens, parted by line feeds, where there are ``n``; else null."""
+
+    def one(t, size):
+        if not isinstance(t, str):
+            return None
+        out, found = _marked_text(t)
+        return out[1:] if found == size else None
+
+    return pd.Series([one(t, size) for t, size in zip(text, n, strict=True)], dtype=object)
+
+
+# Not so in truth: it keeps the optimizer from copying the parsing into every filter behind it.
+_marked_tokens = _marked_tokens.asNondeterministic()
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, also where the optimizer writes it out in place."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def pileup_tokens(text: Column, n: Column) -> Column:
@@ -72,10 +74,9 @@ def pileup_tokens(text: Column, n: Column) -> Column:
 
     Rows of plain characters are split as they are.
     """
-    marked = _marked_tokens(text)
+    marked = text.rlike(_MARKED)
     plain = F.when(F.length(text) == n, F.when(n == 0, F.array().cast("array<string>")).otherwise(F.split(text, "")))
-    folded = F.transform(F.array(marked), lambda m: F.when(m["n"] == n, F.split(F.substring(m["out"], 2, 2_147_483_647), "\n")))
-    return F.when(text.rlike(_MARKED), F.get(folded, 0)).otherwise(plain)
+    return F.when(marked, F.split(_marked_tokens(F.when(marked, text), n), "\n")).otherwise(plain)
 
 
 def _supported(alleles: Column, min_reads: int, min_alleles: int) -> Column:
@@ -83,13 +84,19 @@ def _supported(alleles: Column, min_reads: int, min_alleles: int) -> Column:
 
     Skips do not count towards the alleles with at least ``min_reads`` reads.
     """
-    tally = F.transform(
-        F.array_distinct(alleles),
-        lambda a: F.struct(a.alias("allele"), F.size(F.filter(alleles, lambda x: x.eqNullSafe(a))).alias("reads")),
-    )
-    strong = F.size(F.filter(tally, lambda t: (t["allele"] != "S") & (t["reads"] >= min_reads)))
-    kept = F.transform(F.filter(tally, lambda t: t["reads"] > min_reads), lambda t: t["allele"])
-    return F.when((strong >= min_alleles) & (F.size(kept) >= min_alleles), kept)
+
+    def tally(every: Column) -> Column:
+        return F.transform(
+            F.array_distinct(every),
+            lambda a: F.struct(a.alias("allele"), F.size(F.filter(every, lambda x: x.eqNullSafe(a))).alias("reads")),
+        )
+
+    def kept(tallied: Column) -> Column:
+        strong = F.size(F.filter(tallied, lambda t: (t["allele"] != "S") & (t["reads"] >= min_reads)))
+        enough = F.transform(F.filter(tallied, lambda t: t["reads"] > min_reads), lambda t: t["allele"])
+        return F.when((strong >= min_alleles) & (F.size(enough) >= min_alleles), enough)
+
+    return _once(alleles, lambda every: _once(tally(every), kept))
 
 
 def normalise_allele(token: Column, ref: Column, strip_marks: bool = False) -> Column:

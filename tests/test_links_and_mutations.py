@@ -121,3 +121,14 @@ def test_circle_selection(spark):
     out = circle.select_circles(rows).collect()
     assert sorted((r.start, r.end, r.cell_barcode, r.umi) for r in out) == [(100, 560, "cell", "UMI")] * 2
     assert [r.n for r in circle.count_circles(circle.select_circles(rows)).collect()] == [1]
+
+
+def test_a_pileup_text_is_parsed_once_per_row(spark):
+    rows = [("c", 1, "A", 3, "^I.$C+2AC*", "III", "a:1,b:2,c:3"), ("c", 2, "A", 4, "..CC", "IIII", "a:1,b:2,b:3,c:4"), ("c", 3, "A", 2, "^+.+99999999999", "I", "a:1")]
+    pileup = spark.createDataFrame(rows, "chrom string, pos int, ref string, depth int, match string, qual string, names string")
+    counts = mutation.allele_counts(mutation.pileup_sites(pileup, 2), 1, 2)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "aggregate(" not in plan
+    assert {tuple(r) for r in counts.collect()} == {("c", 2, "a", "A", 1), ("c", 2, "b", "A", 1), ("c", 2, "b", "C", 1), ("c", 2, "c", "C", 1)}
+    tokens = pileup.select("pos", mutation.pileup_tokens(F.col("match"), F.length("qual")).alias("t"))
+    assert dict(map(tuple, tokens.collect())) == {1: ["^.$", "C+AC", "*"], 2: [".", ".", "C", "C"], 3: ["^.+"]}
