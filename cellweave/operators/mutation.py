@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellweave.functions.seq import cell_from_qname
 
@@ -47,7 +48,7 @@ def _marked_text(text: str) -> tuple[str, int]:
     return "".join(out), n
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _marked_tokens(text: pd.Series, n: pd.Series) -> pd.Series:
     """The tokens, parted by line feeds, where there are ``n``; else null."""
 
@@ -60,10 +61,6 @@ def _marked_tokens(text: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([one(t, size) for t, size in zip(text, n, strict=True)], dtype=object)
 
 
-# Not so in truth: it keeps the optimizer from copying the parsing into every filter behind it.
-_marked_tokens = _marked_tokens.asNondeterministic()
-
-
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value worked out once, also where the optimizer writes it out in place."""
     return F.get(F.transform(F.array(value), use), 0)
@@ -76,7 +73,9 @@ def pileup_tokens(text: Column, n: Column) -> Column:
     """
     marked = text.rlike(_MARKED)
     plain = F.when(F.length(text) == n, F.when(n == 0, F.array().cast("array<string>")).otherwise(F.split(text, "")))
-    return F.when(marked, F.split(_marked_tokens(F.when(marked, text), n), "\n")).otherwise(plain)
+    # Not so in truth: it keeps the optimizer from copying the parsing into every filter behind it.
+    parsed = _marked_tokens.asNondeterministic()(F.when(marked, text), n)
+    return F.when(marked, F.split(parsed, "\n")).otherwise(plain)
 
 
 def _supported(alleles: Column, min_reads: int, min_alleles: int) -> Column:
