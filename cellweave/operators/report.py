@@ -101,12 +101,13 @@ def kmer_reference(fasta: DataFrame, k: int = 30) -> DataFrame:
 def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 30, id_col: str = "ordinal") -> DataFrame:
     """(id, strand): reads with a probe k-mer in the reference; sense wins over antisense.
 
-    Only probes that meet the reference survive the join, so the grouping sees few rows.
+    Only probes that meet the reference survive the join, so the grouping sees few rows. The planner's estimate does
+    not count the k-mers that a line is exploded into, so the reference would be broadcast at any size: it is merged.
     """
     probes = reads.select(id_col, F.explode(probe_kmers("seq", k)).alias("kmer")).where(
         F.length("kmer") == k
     )
-    return probes.join(kmers, "kmer").groupBy(id_col).agg(F.max("strand").alias("strand"))
+    return probes.join(kmers.hint("merge"), "kmer").groupBy(id_col).agg(F.max("strand").alias("strand"))
 
 
 def kmer_summary(reads: DataFrame, kmers: DataFrame, k: int = 30) -> DataFrame:
