@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +74,27 @@ def insertion_histogram(pairs: DataFrame) -> DataFrame:
     return ends.where("offset is not null").groupBy("cell_barcode", "offset").agg(F.count("*").alias("n"))
 
 
+def tss_insertions(reads: DataFrame, tss: DataFrame, by: Sequence[str] = ("cell_barcode",)) -> DataFrame:
+    """(*by, offset, n): what ``insertion_histogram`` counts over ``tss_pairs``, without a row per read and TSS.
+
+    Equal ends and equal TSS are counted before they meet, so an end meets at most one row per base of the window,
+    however many TSS and reads there are.
+    """
+    at = F.floor((F.col("start") + F.col("end")) / 2).cast("bigint")
+    centres = tss.select("chrom", at.alias("tss")).where(F.col("tss") > -2 * FLANK).groupBy("chrom", "tss").agg(F.count("*").alias("_m"))
+    spans = centres.select("chrom", "_m", (F.col("tss") - FLANK).alias("w_start"), (F.col("tss") + FLANK - 1).alias("w_end"))
+    size = F.abs(F.col("tlen"))
+    good = qc_reads(reads).where(size - 9 < 1000)
+    if "read_end" in reads.columns:
+        good = good.where((F.col("pos") < F.col("read_end")) & (F.col("read_end") > 0))
+    else:
+        good = good.where(F.col("pos") >= 0)
+    ends = good.select("chrom", *by, F.explode(F.array(F.col("pos") + 4, F.col("pos") + size - 5)).alias("_at"))
+    ends = ends.groupBy("chrom", *by, "_at").agg(F.count("*").alias("_n"))
+    met = point_join(ends, spans, ["chrom"], "_at", ("w_start", "w_end"), 2 * FLANK)
+    return met.groupBy(*by, (F.col("_at") - F.col("w_start")).alias("offset")).agg(F.sum(F.col("_n") * F.col("_m")).alias("n"))
+
+
 def tss_scores(reads: DataFrame, tss: DataFrame) -> DataFrame:
     """(cell_barcode, umi, tss_score): smoothed centre over mean flank insertions.
 

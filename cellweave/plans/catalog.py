@@ -542,8 +542,7 @@ _SCORES = f"""select m.cell_barcode, u.umi, case when f > 0 then c / f when c >
 
 @_register("tss_histogram", _HISTO)
 def tss_histogram(spark, sf):
-    pairs = atac.tss_pairs(V.view(spark, sf, V.ALIGNMENT), V.view(spark, sf, V.TSS))
-    return atac.insertion_histogram(pairs)
+    return atac.tss_insertions(V.view(spark, sf, V.ALIGNMENT), V.view(spark, sf, V.TSS))
 
 
 @_register("tss_scores", f"select cell_barcode, umi, round(tss_score, 6) as tss_score from ({_SCORES}) s")
@@ -561,8 +560,7 @@ def tss_scores(spark, sf):
            round(sum(n) over (order by "offset" rows between 25 preceding and 24 following) / 50.0 / f, 6) as smoothed from g, f""",
 )
 def tss_profile(spark, sf):
-    pairs = atac.tss_pairs(V.view(spark, sf, V.ALIGNMENT), V.view(spark, sf, V.TSS))
-    out = atac.tss_profile(spark, atac.insertion_histogram(pairs))
+    out = atac.tss_profile(spark, atac.tss_insertions(V.view(spark, sf, V.ALIGNMENT), V.view(spark, sf, V.TSS), by=()))
     return out.withColumns({c: _r(c) for c in ("enrichment", "smoothed")})
 
 

@@ -85,7 +85,7 @@ def tss_histogram_indexed(spark, sf):
     tss = V.view(spark, sf, V.TSS)
     # The view's reads are known by their first base, so their ends stay out of the join.
     near = bam_regions.fetch_reads(spark, f"{path}/index", atac.tss_regions(tss)).drop("read_end")
-    return atac.insertion_histogram(atac.tss_pairs(near, tss))
+    return atac.tss_insertions(near, tss)
 
 
 _RDP = V.oracle_text(V.READ_PAIR)

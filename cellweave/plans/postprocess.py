@@ -136,7 +136,7 @@ def chromatin_qc(
 ) -> dict[str, DataFrame]:
     """Per-cell scores, the cells that pass, the overall profile, fragment sizes and medians."""
     scores = cut(atac.tss_scores(reads, tss))
-    histogram = atac.insertion_histogram(atac.tss_pairs(reads, tss))
+    histogram = atac.tss_insertions(reads, tss)
     passing = atac.filter_cells(scores, cfg.cutumi, cfg.cuttss)
     return {
         "scores": scores,

@@ -1,6 +1,8 @@
 """Joins that must not grow with the square of a table, nor go whole through the driver."""
 
-from cellweave.operators import report
+from pyspark.sql import functions as F
+
+from cellweave.operators import atac, report
 
 
 def test_kmer_reference_is_not_broadcast(spark, tmp_path):
@@ -10,3 +12,19 @@ def test_kmer_reference_is_not_broadcast(spark, tmp_path):
     hits = report.kmer_hits(reads, report.kmer_reference(spark.read.parquet(f"{tmp_path}/lines"), 8), 8)
     assert "Broadcast" not in hits._jdf.queryExecution().executedPlan().toString()
     assert {tuple(r) for r in hits.collect()} == {(1, "sense"), (2, "antisense")}
+
+
+def test_tss_insertions_count_equal_ends_and_centres_once(spark):
+    schema = "chrom string, cell_barcode string, pos bigint, tlen bigint, is_unmapped boolean, mapq int, is_reverse boolean"
+    at = [0, 3, 1990, 1999, 2100, 3995, 3996, 5000, 6999, -2, None]
+    rows = [("c", "xy"[i % 2], p, n, False, 60, False) for i, p in enumerate(at) for n in (0, 50, -300, 1008, 1009, None)] * 3
+    reads = spark.createDataFrame(rows, schema)
+    tss = spark.createDataFrame([("c", s, s + 1) for s in (0, 100, 2000, 2000, 5001)] + [("d", 7, 8)], "chrom string, start bigint, end bigint")
+    for kind in (reads, reads.withColumn("read_end", F.col("pos") + 20)):
+        plain = {tuple(r) for r in atac.insertion_histogram(atac.tss_pairs(kind, tss)).collect()}
+        assert plain == {tuple(r) for r in atac.tss_insertions(kind, tss).collect()}
+    met = spark.createDataFrame(rows * 20, schema)
+    pairs = atac.tss_insertions(met, tss.unionByName(tss), by=())
+    assert {r.offset: r.n for r in pairs.collect()} == {
+        r.offset: r.n * 40 for r in atac.insertion_histogram(atac.tss_pairs(reads, tss)).groupBy("offset").agg(F.sum("n").alias("n")).collect()
+    }
