@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.lineage import cut
-from cellweave.operators.intervals import overlap_join, point_join
+from cellweave.operators.intervals import bin_of, overlap_join, point_join
 from cellweave.operators.quantiles import exact_quantiles
 
 FLANK = 2000  # bases kept on each side of a TSS
 SMOOTH = 50
+LONG = 8192  # bases of the longest region that meets its fragments in one bin
+TASK_PAIRS = 1 << 22  # pairs of a bin that a task of ``count_regions`` looks through
 
 
 def qc_reads(reads: DataFrame) -> DataFrame:
@@ -207,18 +209,44 @@ def region_name() -> Column:
     )
 
 
+def _region_pairs(frags: DataFrame, spots: DataFrame, reach: int, width: int) -> DataFrame:
+    """Pairs of ``frags`` and ``spots`` no longer than ``reach``, with ``_bin``: the one bin where a spot starts.
+
+    Both sides are cut into as many tasks as their pairs need, and all pairs of a spot are in one of them.
+    """
+    start = F.explode(F.sequence(bin_of(F.col("frag_start") - reach + 1, width), bin_of(F.col("frag_end") - 1, width)))
+    a = frags.withColumn("_bin", start)
+    b = spots.withColumn("_bin", bin_of(F.col("start"), width))
+    key = ["chrom", "_bin"]
+    sizes = a.groupBy(*key).agg(F.count("*").alias("_a")).join(b.groupBy(*key).agg(F.count("*").alias("_b")), key)
+    # One number: pairs that share a bin.
+    pairs = sizes.agg(F.sum(F.col("_a").cast("double") * F.col("_b"))).first()[0] or 0
+    tasks = 1 + int(pairs / TASK_PAIRS)
+    met = a.repartition(tasks, *key).join(b.repartition(tasks, *key), key)
+    return met.where((F.col("frag_start") < F.col("end")) & (F.col("start") < F.col("frag_end")))
+
+
 def count_regions(
     regions: DataFrame, fragments: DataFrame, binary: bool = False, width: int = 2048
 ) -> DataFrame:
     """(peak, cell_barcode, value): fragments of each cell overlapping each region.
 
-    Fits windows, promoters and peaks alike; the result stays in coordinate form.
+    Fits windows, promoters and peaks alike; the result stays in coordinate form. Equal fragments of a cell and equal
+    regions are counted before they meet. A region of up to ``LONG`` bases meets its fragments in the bin of its start,
+    so its pairs are counted where they arise and are not shuffled; longer ones are cut into bins.
     """
-    pairs = overlap_join(
-        fragments.select("chrom", "frag_start", "frag_end", "cell_barcode"),
-        regions.select("chrom", "start", "end"),
-        ["chrom"], ("frag_start", "frag_end"), ("start", "end"), width,
-    )
-    n = pairs.groupBy("chrom", "start", "end", "cell_barcode").agg(F.count("*").alias("value"))
+    span = ["chrom", "start", "end"]
+    frags = fragments.where("frag_start < frag_end").groupBy("chrom", "frag_start", "frag_end", "cell_barcode").agg(F.count("*").alias("_n"))
+    frags = cut(frags)
+    spots = cut(regions.where(F.col("start") < F.col("end")).groupBy(*span).agg(F.count("*").alias("_m")))
+    size = F.col("end") - F.col("start")
+    longest = spots.agg(F.max(F.when(size <= LONG, size)).alias("near"), F.max(size).alias("all")).first()
+    value = F.sum(F.col("_n") * F.col("_m")).alias("value")
+    reach = longest["near"] or 0
+    near = _region_pairs(frags, spots.where(size <= LONG), reach, width).groupBy("_bin", *span, "cell_barcode")
+    out = near.agg(value).drop("_bin")
+    if (longest["all"] or 0) > LONG:
+        far = overlap_join(frags, spots.where(size > LONG), ["chrom"], ("frag_start", "frag_end"), ("start", "end"), max(width, LONG))
+        out = out.unionByName(far.groupBy(*span, "cell_barcode").agg(value))
     value = F.lit(1).cast("bigint") if binary else F.col("value")
-    return n.select(region_name().alias("peak"), "cell_barcode", value.alias("value"))
+    return out.select(region_name().alias("peak"), "cell_barcode", value.alias("value"))

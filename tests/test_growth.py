@@ -28,3 +28,25 @@ def test_tss_insertions_count_equal_ends_and_centres_once(spark):
     assert {r.offset: r.n for r in pairs.collect()} == {
         r.offset: r.n * 40 for r in atac.insertion_histogram(atac.tss_pairs(reads, tss)).groupBy("offset").agg(F.sum("n").alias("n")).collect()
     }
+
+
+def test_region_counts_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch):
+    frags = [("c", s, s + n, f"x{i % 3}") for i, s in enumerate(range(-40, 9000, 37)) for n in (0, 1, 60, 700)] * 2
+    frags += [("c", None, 5, "x0"), ("d", 3, 9, None), (None, 1, 9, "x0")]
+    regions = [("c", s, s + n) for s in range(-100, 9000, 211) for n in (0, 1, 500)] + [("c", 0, 500)] * 2
+    regions += [("c", -5, 20_000), ("c", 100, 100 + atac.LONG), ("d", 0, 4), (None, 0, 4), ("c", 7, None)]
+    fragments = spark.createDataFrame(frags, "chrom string, frag_start bigint, frag_end bigint, cell_barcode string")
+    spots = spark.createDataFrame(regions, "chrom string, start bigint, end bigint")
+    want = {}
+    for c, s, e in regions:
+        for fc, fs, fe, cell in frags:
+            if None not in (c, s, e, fs, fe) and c == fc and s < e and fs < fe and s < fe and fs < e:
+                want[f"{c}:{s}-{e}", cell] = want.get((f"{c}:{s}-{e}", cell), 0) + 1
+    monkeypatch.setattr(atac, "TASK_PAIRS", 2000)
+    for width in (64, 2048):
+        assert {(r.peak, r.cell_barcode): r.value for r in atac.count_regions(spots, fragments, width=width).collect()} == want
+    assert {r.value for r in atac.count_regions(spots, fragments, binary=True).collect()} == {1}
+    short = atac.count_regions(spots.where(F.col("end") - F.col("start") <= 500), fragments)
+    assert short.rdd.getNumPartitions() > 4  # more than the session's shuffle partitions
+    # Pairs are counted in the task that makes them: no shuffle between the join and the counts.
+    assert "Exchange" not in short._jdf.queryExecution().executedPlan().toString().split("Join")[0]
