@@ -19,6 +19,7 @@ from cellweave.operators.intervals import bin_of, clip_to_bins, point_join
 LEFT_OUT, PAIRED, PROPER = 0x704, 0x1, 0x2
 _PIECE = "struct<op:string,size:int,ref:bigint,read:int>"
 _SKIP_BIN = 1 << 14
+TASK_BASES = 1 << 21  # bases that a task spreads to rows, about
 
 
 def read_pieces(pos: Column, cigar: Column) -> Column:
@@ -37,27 +38,19 @@ def read_pieces(pos: Column, cigar: Column) -> Column:
     return F.aggregate(items, start, step)["pieces"]
 
 
-def _texts(blocks: DataFrame, genome: DataFrame, chunk: int) -> DataFrame:
-    """``blocks`` cut at the genome's pieces, with the contig's bases of each part as ``text``."""
-    parts = clip_to_bins(blocks, "start", "end", chunk)
+def _texts(blocks: DataFrame, genome: DataFrame, chunk: int, *tasks: int) -> DataFrame:
+    """``blocks`` cut at the genome's pieces and dealt by (chrom, ``bin``), with the contig's bases of each part as ``text``."""
+    parts = clip_to_bins(blocks, "start", "end", chunk).repartition(*tasks, "chrom", "bin")
     text = genome.select("chrom", bin_of(F.col("offset"), chunk).alias("bin"), "offset", F.upper("seq").alias("_seq"))
     low = F.greatest(F.col("start"), F.col("offset"))
     high = F.least(F.col("end"), F.col("offset") + F.length("_seq"))
     met = parts.join(text, ["chrom", "bin"]).where(low < high)
     bases = F.substr("_seq", (low - F.col("offset") + 1).cast("int"), (high - low).cast("int"))
-    return met.select(*[c for c in blocks.columns if c not in ("start", "end")], low.alias("start"), high.alias("end"), bases.alias("text"))
+    return met.select("bin", *[c for c in blocks.columns if c not in ("start", "end")], low.alias("start"), high.alias("end"), bases.alias("text"))
 
 
-def pileup_reads(
-    reads: DataFrame, genome: DataFrame, sites: DataFrame | None = None, min_quality: int = 13, orphans: bool = False, chunk: int = 65_536
-) -> DataFrame:
-    """(chrom, pos, ref, token, qual, qname, start): a row per read and place; ``pos`` counts from 1.
-
-    ``reads`` has the fields of alignment records, ``genome`` (chrom, offset, seq) as ``gc_content`` takes it. Left out
-    are unmapped, secondary, failed and duplicate reads, mates without their proper pair unless ``orphans``, reads without
-    bases, bases below ``min_quality`` (of a deletion or skip, that of the base before it counts), and places without text.
-    With ``sites`` (chrom, pos) only these places are given.
-    """
+def _placed(reads: DataFrame, genome: DataFrame, sites: DataFrame | None, min_quality: int, orphans: bool, chunk: int) -> DataFrame:
+    """What ``pileup_reads`` gives, and the ``bin`` of each place, by which the rows lie in tasks if no read skips."""
     flag = F.col("flag")
     paired = (flag.bitwiseAND(PAIRED) != 0) & (flag.bitwiseAND(PROPER) == 0)
     good = reads.where((flag.bitwiseAND(LEFT_OUT) == 0) & (F.col("cigar") != "*") & (F.col("seq") != "*"))
@@ -75,55 +68,80 @@ def pileup_reads(
     ).drop("pieces", "piece")
     key = ["chrom", "qname", "flag", "read_start", "cigar"]
     cased = lambda text, back: F.when(back, F.lower(text)).otherwise(text)
-    own = cut(pieces.where(F.col("op").isin("M", "=", "X", "D", "N")).withColumn("ref_end", F.col("end")))
+    own = pieces.where(F.col("op").isin("M", "=", "X", "D", "N"))
 
     # Deleted bases, for the mark behind the base before them.
     gone = _texts(own.where("op = 'D'").select(*key, "i", "start", "end").distinct(), genome, chunk)
     gone = gone.groupBy(*key, (F.col("i") - 1).alias("i")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "text"))), lambda x: x["text"]), "").alias("gone"))
 
-    aligned = own.where(F.col("op") != "N").withColumn("block_start", F.col("start"))
-    based = _texts(aligned, genome, chunk)
-    follows = F.coalesce((F.col("next.op") == "D") & (F.col("op") != "D"), F.lit(False))
-    marked = based.where(follows).join(gone, [*key, "i"], "left").unionByName(based.where(~follows).withColumn("gone", F.lit(None).cast("string")))
-    spread = marked.withColumn("p", F.explode(F.sequence("start", F.col("end") - 1)))
-    within = (F.col("p") - F.col("block_start")).cast("int")
+    # A block takes its own bases, qualities and marks along, not the read's.
     deleted = F.col("op") == "D"
-    in_read = F.when(deleted, F.col("read") - 1).otherwise(F.col("read") + within)
+    size = F.when(deleted, F.lit(1)).otherwise(F.col("size"))
+    in_read = F.when(deleted, F.greatest(F.col("read") - 1, F.lit(0))).otherwise(F.col("read")) + 1
+    inserted = F.substr("seq", F.col("read") + F.col("size") + 1, F.col("next.size"))
+    aligned = own.where(F.col("op") != "N").select(
+        *key, "i", "mapq", "back", "start", "end", "goes_on", deleted.alias("deleted"), F.col("start").alias("block_start"), F.col("end").alias("ref_end"),
+        F.when(~deleted, F.substr("seq", in_read, size)).alias("seq"),
+        F.when(F.col("qual") == "*", F.repeat(F.lit("~"), size)).otherwise(F.substr("qual", in_read, size)).alias("qual"),
+        F.when(~deleted & (F.col("next.op") == "I"), F.concat(F.lit("+"), F.col("next.size").cast("string"), cased(inserted, F.col("back")))).alias("gained"),
+        F.coalesce((F.col("next.op") == "D") & ~deleted, F.lit(False)).alias("follows"),
+    )
+    marked = aligned.where("follows").join(gone, [*key, "i"], "left").unionByName(aligned.where("not follows").withColumn("gone", F.lit(None).cast("string")))
+    # Spread in tasks of bounded size. Most runs of reads skip nothing: then no row is stored or met twice.
+    sizes = own.agg(F.count_if(F.col("op") == "N").alias("skips"), F.sum(F.when(F.col("op") != "N", F.col("size"))).alias("bases")).first()
+    based = _texts(marked.drop("cigar", "i", "follows"), genome, chunk, 1 + (sizes["bases"] or 0) // TASK_BASES)
+    spread = based.withColumn("p", F.explode(F.sequence("start", F.col("end") - 1)))
+    within = F.when(F.col("deleted"), F.lit(0)).otherwise((F.col("p") - F.col("block_start")).cast("int")) + 1
     ref = F.substr("text", (F.col("p") - F.col("start") + 1).cast("int"), F.lit(1))
-    base = F.substr("seq", in_read + 1, F.lit(1))
-    letter = F.when(deleted, "*").when((base == ref) & (base != "N"), F.when(F.col("back"), ",").otherwise(".")).otherwise(cased(base, F.col("back")))
+    base = F.substr("seq", within, F.lit(1))
+    letter = F.when(F.col("deleted"), "*").when((base == ref) & (base != "N"), F.when(F.col("back"), ",").otherwise(".")).otherwise(cased(base, F.col("back")))
     last = F.col("p") == F.col("ref_end") - 1
-    inserted = F.substr("seq", F.col("read") + F.col("size") + 1, F.col("next.size"))
-    change = F.when(last & ~deleted & (F.col("next.op") == "I"), F.concat(F.lit("+"), F.col("next.size").cast("string"), cased(inserted, F.col("back")))).when(
-        last & F.col("gone").isNotNull(), F.concat(F.lit("-"), F.length("gone").cast("string"), cased(F.col("gone"), F.col("back")))
-    )
-    head = F.when((F.col("p") == F.col("read_start")) & ~deleted, F.concat(F.lit("^"), F.col("mapq")))
+    lost = F.concat(F.lit("-"), F.length("gone").cast("string"), cased(F.col("gone"), F.col("back")))
+    change = F.when(last, F.coalesce("gained", lost))
+    head = F.when((F.col("p") == F.col("read_start")) & ~F.col("deleted"), F.concat(F.lit("^"), F.col("mapq")))
     tail = F.when(last & ~F.col("goes_on"), "$")
     none = F.lit("")
     token = F.concat(F.coalesce(head, none), letter, F.coalesce(change, none), F.coalesce(tail, none))
-    quality = F.when(F.col("qual") == "*", F.lit("~")).otherwise(F.substr("qual", F.greatest(in_read, F.lit(0)) + 1, F.lit(1)))
-    rows = spread.select("chrom", (F.col("p") + 1).alias("pos"), ref.alias("ref"), token.alias("token"), quality.alias("qual"), "qname", F.col("read_start").alias("start"), "flag")
+    rows = spread.select("chrom", "bin", (F.col("p") + 1).alias("pos"), ref.alias("ref"), token.alias("token"), F.substr("qual", within, F.lit(1)).alias("qual"), "qname", F.col("read_start").alias("start"), "flag")
     rows = rows.where(F.ascii("qual") - 33 >= min_quality)
     if sites is not None:
         rows = rows.join(sites.select("chrom", "pos").distinct(), ["chrom", "pos"], "left_semi")
+    if not sizes["skips"]:
+        return rows
     rows = cut(rows)
-    covered = rows.groupBy("chrom", "pos").agg(F.first("ref").alias("ref"))
+    covered = rows.groupBy("chrom", "bin", "pos").agg(F.first("ref").alias("ref"))
     skips = own.where("op = 'N'").select(
         "chrom", (F.col("start") + 1).alias("from"), (F.col("end") + 1).alias("to"), "back", "qname", F.col("read_start").alias("start"), "flag",
         F.when(F.col("qual") == "*", F.lit("~")).otherwise(F.substr("qual", F.greatest(F.col("read"), F.lit(1)), F.lit(1))).alias("qual"),
     ).where(F.ascii("qual") - 33 >= min_quality)
     over = point_join(covered, skips, ["chrom"], "pos", ("from", "to"), _SKIP_BIN)
-    skipped = over.select("chrom", "pos", "ref", F.when(F.col("back"), "<").otherwise(">").alias("token"), "qual", "qname", "start", "flag")
+    skipped = over.select("chrom", "bin", "pos", "ref", F.when(F.col("back"), "<").otherwise(">").alias("token"), "qual", "qname", "start", "flag")
     return rows.unionByName(skipped)
 
 
-def pileup_rows(reads: DataFrame, genome: DataFrame, **options) -> DataFrame:
+def pileup_reads(
+    reads: DataFrame, genome: DataFrame, sites: DataFrame | None = None, min_quality: int = 13, orphans: bool = False, chunk: int = 65_536
+) -> DataFrame:
+    """(chrom, pos, ref, token, qual, qname, start): a row per read and place; ``pos`` counts from 1.
+
+    ``reads`` has the fields of alignment records, ``genome`` (chrom, offset, seq) as ``gc_content`` takes it. Left out
+    are unmapped, secondary, failed and duplicate reads, mates without their proper pair unless ``orphans``, reads without
+    bases, bases below ``min_quality`` (of a deletion or skip, that of the base before it counts), and places without text.
+    With ``sites`` (chrom, pos) only these places are given.
+    """
+    return _placed(reads, genome, sites, min_quality, orphans, chunk).drop("bin")
+
+
+def pileup_rows(
+    reads: DataFrame, genome: DataFrame, sites: DataFrame | None = None, min_quality: int = 13, orphans: bool = False, chunk: int = 65_536
+) -> DataFrame:
     """(chrom, pos, ref, depth, match, qual, names): the pileup format's rows, reads in the order of (start, name, flag).
 
-    A row holds all reads of its place, as the format has it; ``pileup_reads`` gives them as rows of their own.
+    A row holds all reads of its place, as the format has it; ``pileup_reads`` gives them as rows of their own. Blocks are
+    shuffled to the bin of their place, and spread and grouped there: no row per read and place is shuffled.
     """
     one = F.array_sort(F.collect_list(F.struct("start", "qname", "flag", "token", "qual")))
-    sites = pileup_reads(reads, genome, **options).groupBy("chrom", "pos", "ref").agg(one.alias("reads"))
+    sites = _placed(reads, genome, sites, min_quality, orphans, chunk).groupBy("chrom", "bin", "pos", "ref").agg(one.alias("reads"))
     joined = lambda field, by: F.array_join(F.transform("reads", lambda r: r[field]), by)
     return sites.select(
         "chrom", "pos", "ref", F.size("reads").alias("depth"), joined("token", "").alias("match"), joined("qual", "").alias("qual"), joined("qname", ",").alias("names")

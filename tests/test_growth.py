@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cellweave.operators import atac, report
+from cellweave.operators import atac, pileup, report
 
 
 def test_kmer_reference_is_not_broadcast(spark, tmp_path):
@@ -50,3 +50,24 @@ def test_region_counts_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch):
     assert short.rdd.getNumPartitions() > 4  # more than the session's shuffle partitions
     # Pairs are counted in the task that makes them: no shuffle between the join and the counts.
     assert "Exchange" not in short._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+
+
+def test_pileup_shuffles_blocks_not_bases(spark, tmp_path, monkeypatch):
+    genome = spark.createDataFrame([("c", 64 * i, "ACGT" * 16) for i in range(8)], "chrom string, offset bigint, seq string")
+    rows = [(f"r{i}", 0, "c", 3 * i, 60, "8M2D4M2I6M", "ACGT" * 5, "I" * 20) for i in range(150)] * 2
+    reads = spark.createDataFrame(rows, "qname string, flag int, reference_name string, pos bigint, mapq int, cigar string, seq string, qual string")
+    stored = []
+    monkeypatch.setattr(pileup, "cut", lambda df: stored.append(df) or df)
+    monkeypatch.setattr(pileup, "TASK_BASES", 500)
+    out = pileup.pileup_rows(reads, genome, chunk=64)
+    assert not stored  # nothing is stored when no read skips
+    # Grouped where the bases are spread: nothing is shuffled behind the last join.
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert out.rdd.getNumPartitions() > 4
+    whole = {(r.chrom, r.pos): tuple(r) for r in out.collect()}
+    assert sum(r[3] for r in whole.values()) == sum(20 for i in range(150) if 3 * i + 20 <= 512) * 2
+    monkeypatch.setattr(pileup, "TASK_BASES", 1 << 21)
+    skipping = spark.createDataFrame([("s", 0, "c", 500, 60, "2M600N2M", "ACGT", "IIII")], reads.schema)
+    mixed = pileup.pileup_rows(reads.unionByName(skipping), genome, chunk=64)
+    assert len(stored) == 1  # with skips the rows are met twice
+    assert {k: v for k, v in ((((r.chrom, r.pos)), tuple(r)) for r in mixed.collect()) if k[1] <= 400} == {k: v for k, v in whole.items() if k[1] <= 400}
