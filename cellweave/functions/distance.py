@@ -57,7 +57,8 @@ def _free_divergence(s1: pd.Series, s2: pd.Series) -> pd.Series:
 
 def free_divergence(a: Column, b: Column) -> Column:
     """Free divergence of equal-length strings; null when the lengths differ."""
-    return _free_divergence(a, b)
+    # Told to be repeatable it would be measured once more, with the strings behind it, for each filter on its result.
+    return _free_divergence.asNondeterministic()(a, b)
 
 
 def edit_distance(a: Column, b: Column, method: str) -> Column:

@@ -53,16 +53,46 @@ def quality_bounds(quals: list[str], cutoff5: int, cutoff3: int) -> tuple[np.nda
 def find_adapter3(seqs: list[str], adapter: str) -> tuple[np.ndarray, np.ndarray]:
     """Start of the best 3' adapter match per read (read length if none) and whether one was found.
 
-    Nothing beats the whole adapter without errors, so only reads lacking that are aligned.
+    Nothing beats the whole adapter without errors. Of reads lacking that only those are aligned that hold a part of the
+    adapter which an alignment with errors must hold, elsewhere than in a prefix of the adapter that ends the read.
     """
+    n = np.array([len(s) for s in seqs], dtype=np.int64)
     at = np.array([s.find(adapter) for s in seqs], dtype=np.int64)
     found = at >= 0
-    rest = np.flatnonzero(~found)
-    if len(rest):
+    if len(adapter) < MIN_OVERLAP:
+        return np.where(found, at, n), found
+    seeds, rest = _seeds(adapter), []
+    for i in np.flatnonzero(~found).tolist():
+        s = seqs[i]
+        # The longest prefix that ends the read as it is; a longer one needs errors to score more.
+        start = s.find(adapter[:MIN_OVERLAP])
+        while start >= 0 and not adapter.startswith(s[start:]):
+            start = s.find(adapter[:MIN_OVERLAP], start + 1)
+        at[i], found[i] = (start, True) if start >= 0 else (len(s), False)
+        for piece, offset in seeds:
+            first = s.find(piece)
+            # A part at its place in that prefix leads to no other alignment of more score.
+            if first >= 0 and (start < 0 or first != start + offset or s.rfind(piece) != first):
+                rest.append(i)
+                break
+    if rest:
         at[rest], found[rest] = _align_adapter3([seqs[i] for i in rest], adapter)
     return at, found
 
 
+def _seeds(adapter: str) -> list[tuple[str, int]]:
+    """Parts of the adapter and their places: any alignment with errors, within those allowed, holds one unchanged.
+
+    ``e`` errors are allowed from some length on; of ``e`` + 1 pieces of that length one is free of errors.
+    """
+    allowed = np.floor(np.arange(len(adapter) + 1) * ERROR_RATE).astype(int)
+    out = []
+    for e in range(1, allowed[-1] + 1):
+        size = int(np.argmax(allowed >= e)) // (e + 1)
+        out += [(adapter[k * size : (k + 1) * size], k * size) for k in range(e + 1)]
+    return out
+
+
 def _align_adapter3(seqs: list[str], adapter: str) -> tuple[np.ndarray, np.ndarray]:
     """The search for reads that hold the adapter with errors, in part or not at all.
 
@@ -136,7 +166,8 @@ def trim_bounds(seq: Column, qual: Column, q5: int, q3: int, adapter: str | None
                 hi = lo + cut
         return pd.DataFrame({"lo": lo.astype("int32"), "hi": hi.astype("int32"), "found": found})
 
-    return bounds(seq, qual)
+    # Told to be repeatable it would be worked out once more, with the reads behind it, for each filter on its result.
+    return bounds.asNondeterministic()(seq, qual)
 
 
 def _apply(df: DataFrame, k: int, b: Column) -> DataFrame:

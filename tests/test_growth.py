@@ -1,8 +1,11 @@
 """Joins that must not grow with the square of a table, nor go whole through the driver."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from cellweave.operators import atac, pileup, report
+from cellweave.functions.distance import free_divergence
+from cellweave.operators import atac, pileup, report, trim
 
 
 def test_kmer_reference_is_not_broadcast(spark, tmp_path):
@@ -71,3 +74,39 @@ def test_pileup_shuffles_blocks_not_bases(spark, tmp_path, monkeypatch):
     mixed = pileup.pileup_rows(reads.unionByName(skipping), genome, chunk=64)
     assert len(stored) == 1  # with skips the rows are met twice
     assert {k: v for k, v in ((((r.chrom, r.pos)), tuple(r)) for r in mixed.collect()) if k[1] <= 400} == {k: v for k, v in whole.items() if k[1] <= 400}
+
+
+def test_adapter_search_aligns_only_reads_that_may_match(monkeypatch):
+    rng, aligned, align = random.Random(3), [], trim._align_adapter3
+    monkeypatch.setattr(trim, "_align_adapter3", lambda seqs, adapter: aligned.append(len(seqs)) or align(seqs, adapter))
+    for adapter in ("CTGTCTCTTATACACATCTCCGAGCCCACGAGAC", "CTGTCTCTTATACACATCT", "AAAAAAAAAAAAAAA", "TACTGCAGC", "ACAC", "AC"):
+        reads = ["", "A", adapter[:2], adapter[:3]]
+        for _ in range(4000):
+            part = list(adapter[: rng.randrange(len(adapter) + 1)] if rng.random() < 0.7 else adapter)
+            for _ in range(rng.choice((0, 0, 1, 1, 2, 3, 4))):
+                k = rng.randrange(len(part) + 1)
+                part[k : k + rng.randrange(2)] = rng.choices("ACGTN", k=rng.randrange(2))
+            before = adapter[: rng.randrange(len(adapter))] if rng.random() < 0.3 else ""
+            tail = "".join(rng.choices("ACGT", k=rng.choice((0, 0, 3, 9))))
+            reads.append("".join(rng.choices("ACGT", k=rng.randrange(30))) + before + "".join(part) + tail)
+        at, found = trim.find_adapter3(reads, adapter)
+        rest = [r for r in reads if adapter not in r]
+        want_at, want_found = align(rest, adapter)
+        mine = [i for i, r in enumerate(reads) if adapter not in r]
+        assert at[mine].tolist() == want_at.tolist() and found[mine].tolist() == want_found.tolist()
+        assert all(found[i] and at[i] == r.find(adapter) for i, r in enumerate(reads) if adapter in r)
+    aligned.clear()
+    inserts = ["".join(rng.choices("ACGT", k=40)) for _ in range(2000)]
+    trim.find_adapter3([s + "CTGTCTCTTATACACATCTCCGAGC" for s in inserts], "CTGTCTCTTATACACATCTCCGAGCCCACGAGAC")
+    trim.find_adapter3(inserts, "CTGTCTCTTATACACATCT")
+    assert sum(aligned) < 1500
+
+
+def test_trimming_and_distance_are_worked_out_once(spark):
+    reads = spark.createDataFrame([(1, "ACGT" * 9, "I" * 36, "ACGT" * 9, "I" * 36)], "ordinal int, seq1 string, qual1 string, seq2 string, qual2 string")
+    trimmed = trim.trim_pairs(reads, 15, 10, ("CTGTCTCTTATACACATCT", None), (10, 5), require1=False)
+    near = reads.select(free_divergence(F.col("seq1"), F.col("seq2")).alias("d")).where("d < 3")
+    for df in (trimmed, near):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+        assert df.count() == 1
