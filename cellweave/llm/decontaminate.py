@@ -7,8 +7,8 @@ join of kept hashes meets every shared span. Each meeting is extended word by wo
 words themselves, and counts when ``SPAN`` or more words agree. Items of fewer words have no full window:
 the whole item is one hash, looked up among the documents' hashes of that length.
 
-The item side is broadcast only when its counted rows are at most ``BROADCAST_ROWS``; otherwise both sides
-are shuffled on the hash. Nothing is grouped by a hash, so a passage held by many documents costs each
+The item side is broadcast only when its counted rows are at most ``BROADCAST_ROWS``, and then every hash of a
+document is looked up, not the kept ones only; otherwise both sides are shuffled on the kept hashes. Nothing is grouped by a hash, so a passage held by many documents costs each
 document its own rows only.
 
 Defined cases: null or wordless texts have no words and are clean; null items have no windows; a null
@@ -35,12 +35,15 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
 
 
-def _grams(size: int, hashes: str, count: str) -> Column:
-    """A hash for every ``size`` consecutive words; ``hashes`` holds one for each word."""
-    at = lambda i: F.xxhash64(F.lit(size), *[F.get(F.col(hashes), i + j) for j in range(size)])
-    return F.when(
-        F.col(count) >= size, F.transform(F.sequence(F.lit(0), F.col(count) - size), at)
-    ).otherwise(F.array().cast("array<bigint>"))
+def _gram_at(size: int, place: Column) -> Column:
+    """The hash of ``size`` consecutive words."""
+    return F.xxhash64(F.lit(size), *[F.get(F.col("words"), place + j) for j in range(size)])
+
+
+def _grams(size: int) -> Column:
+    """A hash for every ``size`` consecutive words."""
+    every = F.transform(F.sequence(F.lit(0), F.col("n_words") - size), lambda i: _gram_at(size, i))
+    return F.when(F.col("n_words") >= size, every).otherwise(F.array().cast("array<bigint>"))
 
 
 def _winnowed(df: DataFrame, span: int, gram: int) -> DataFrame:
@@ -58,10 +61,8 @@ def _winnowed(df: DataFrame, span: int, gram: int) -> DataFrame:
     return df.withColumn("kept", kept)
 
 
-def _hashed(df: DataFrame, gram: int) -> DataFrame:
-    df = df.withColumn("words", words_of(text_or_empty()))
-    df = df.withColumns({"n_words": F.size("words"), "hashes": F.transform("words", lambda w: F.xxhash64(w))})
-    return df.withColumn("grams", _grams(gram, "hashes", "n_words"))
+def _worded(df: DataFrame) -> DataFrame:
+    return df.withColumn("words", words_of(text_or_empty())).withColumn("n_words", F.size("words"))
 
 
 def _around(place: Column, before: int, length: int) -> Column:
@@ -75,13 +76,12 @@ def _prints(df: DataFrame, keep: list[str], span: int, gram: int, short: list[in
 
     ``whole``: for items, where only an item as long as a short window is hashed as such.
     """
-    reach = span - gram
-    df = _winnowed(_hashed(df, gram), span, gram)
+    df = _winnowed(_worded(df).withColumn("grams", _grams(gram)), span, gram)
     entry = lambda size, place, value: F.struct(
         F.lit(size).alias("size"), place.cast("int").alias("place"), value.alias("hash")
     )
     lists = [F.transform("kept", lambda p: entry(gram, p, F.get(F.col("grams"), p.cast("int"))))]
-    df = df.withColumns({f"grams_{n}": _grams(n, "hashes", "n_words") for n in short})
+    df = df.withColumns({f"grams_{n}": _grams(n) for n in short})
 
     def whole_grams(n: int) -> Column:
         # Negative sizes keep short windows of GRAM words apart from the kept hashes of long items.
@@ -90,30 +90,52 @@ def _prints(df: DataFrame, keep: list[str], span: int, gram: int, short: list[in
 
     tagged = lists + [whole_grams(n) for n in short]
     rows = df.select(*keep, "words", F.explode(F.concat(*tagged)).alias("print"))
-    place, size = F.col("print.place"), F.col("print.size")
-    return rows.select(
-        *keep,
-        size.alias("size"),
-        F.col("print.hash").alias("hash"),
-        place.alias("place"),
+    rows = rows.select(*keep, "words", F.col("print.size").alias("size"), F.col("print.hash").alias("hash"), F.col("print.place").alias("place"))
+    return rows.select(*keep, "size", "hash", "place", *_context(span, gram))
+
+
+def _context(span: int, gram: int) -> list[Column]:
+    """What the comparison of a print needs of its ``words``: the gram, the words around it and how many are on the left."""
+    place, size, reach = F.col("place"), F.col("size"), span - gram
+    return [
         F.least(place, F.lit(reach)).alias("left"),
         F.when(size < 0, _around(place, 0, 0)).otherwise(_around(place, reach, gram + reach)).alias("near"),
         F.when(size < 0, F.slice(F.col("words"), place + 1, -size)).otherwise(_around(place, 0, gram)).alias("gram"),
-    )
+    ]
+
+
+def _probed(docs: DataFrame, items: DataFrame, span: int, gram: int, short: list[int]) -> DataFrame:
+    """Documents beside broadcast prints of items: a row per meeting, and one of place -1 per document.
+
+    Every gram of a document is looked up where it stands, which costs less than choosing some of them, as nothing is
+    shuffled; only grams that meet take their words along.
+    """
+    rows = _worded(docs).select("doc_id", "text_key", "words", "n_words", F.explode(F.sequence(F.lit(-1), F.col("n_words") - 1)).alias("place"))
+    own = F.col("place") < 0
+    at = lambda n: F.when(~own & (F.col("place") <= F.col("n_words") - n), _gram_at(n, F.col("place")))
+    sizes = [(0, F.when(own, F.lit(0).cast("bigint"))), (gram, at(gram)), *((-n, at(n)) for n in short)]
+    if short:
+        rows = rows.select("*", F.inline(F.array(*[F.struct(F.lit(n).alias("size"), h.alias("hash")) for n, h in sizes])))
+    else:
+        rows = rows.select("*", F.when(own, 0).otherwise(gram).alias("size"), F.coalesce(*[h for _, h in sizes]).alias("hash"))
+    # An inner join, met in its turn by the documents' own rows: rows without a meeting end inside it.
+    items = items.unionByName(items.sparkSession.sql("select 0 as size, 0L as hash"), allowMissingColumns=True)
+    met = rows.join(F.broadcast(items), ["size", "hash"])
+    return met.select("doc_id", "text_key", "n_words", "item_id", "size", "place", "item_left", "item_near", "item_gram", *_context(span, gram))
 
 
 def _agreeing(a: Column, b: Column, a_from: Column, b_from: Column, step: int, most: int) -> Column:
     """How many words agree in a row from a place of each on, going by ``step``, ``most`` at most."""
-    out = F.lit(0)
-    for i in reversed(range(most)):
-        x = F.when(a_from + step * i >= 0, F.get(a, a_from + step * i))
-        y = F.when(b_from + step * i >= 0, F.get(b, b_from + step * i))
-        out = F.when(x == y, out + 1).otherwise(0)
-    return out
 
+    def more(n: Column, i: Column) -> Column:
+        x, y = (F.when(at >= 0, F.get(words, at)) for words, at in ((a, a_from + i * step), (b, b_from + i * step)))
+        return F.when((n == i) & (x == y), n + 1).otherwise(n)
 
-def benchmark_spans(documents: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Every meeting of a document and an item: doc_id, text_key, item_id, first and end word place."""
+    return F.aggregate(F.sequence(F.lit(0), F.lit(most - 1)), F.lit(0), more) if most else F.lit(0)
+
+
+def _meetings(documents: DataFrame, benchmark: DataFrame, span: int, gram: int) -> DataFrame:
+    """Rows of ``benchmark_spans``, and a row with ``n_words`` and nothing else for every document."""
     items = benchmark.select("item_id", "text")
     lengths = items.select(F.size(words_of(text_or_empty())).alias("n")).where(f"n > 0 and n < {span}").distinct()
     short = sorted(r.n for r in lengths.collect())  # fewer than ``span`` numbers
@@ -121,41 +143,51 @@ def benchmark_spans(documents: DataFrame, benchmark: DataFrame, span: int = SPAN
     item_prints = item_prints.select(
         "size", "hash", "item_id", F.col("left").alias("item_left"), F.col("near").alias("item_near"), F.col("gram").alias("item_gram")
     )
-    if item_prints.count() <= BROADCAST_ROWS:
-        item_prints = F.broadcast(item_prints)
     docs = documents.select("doc_id", "text", text_key().alias("text_key"))
-    met = _prints(docs, ["doc_id", "text_key"], span, gram, short, False).join(item_prints, ["size", "hash"])
+    if item_prints.count() <= BROADCAST_ROWS:
+        met = _probed(docs, item_prints, span, gram, short)
+    else:
+        met = _prints(docs, ["doc_id", "text_key"], span, gram, short, False).join(item_prints, ["size", "hash"]).withColumn("n_words", F.lit(None).cast("int"))
+        n_words = F.size(F.regexp_extract_all(text_or_empty(), F.lit(RAW_WORD), F.lit(0)))
+        own = docs.select("doc_id", "text_key", n_words.alias("n_words"), F.lit(-1).alias("place"))
+        met = met.unionByName(own, allowMissingColumns=True)
     reach = span - gram
-    met = met.where(F.col("gram") == F.col("item_gram")).withColumns(
+    own = F.col("place") < 0
+    met = met.where(own | (F.col("gram") == F.col("item_gram"))).withColumns(
         {
             "before": _agreeing(F.col("near"), F.col("item_near"), F.col("left") - 1, F.col("item_left") - 1, -1, reach),
             "after": _agreeing(F.col("near"), F.col("item_near"), F.col("left") + gram, F.col("item_left") + gram, 1, reach),
         }
     )
+    # Rows that do not count lose their span and are not filtered: a filter would be worked out inside the join.
     long = F.col("size") > 0
-    met = met.where(~long | (F.col("before") + F.col("after") + gram >= span))
+    counts = ~own & (~long | (F.col("before") + F.col("after") + gram >= span))
+    first = F.when(long, F.col("place") - F.col("before")).otherwise(F.col("place")).cast("int")
+    end = F.when(long, F.col("place") + gram + F.col("after")).otherwise(F.col("place") - F.col("size")).cast("int")
     return met.select(
         "doc_id",
         "text_key",
-        "item_id",
-        F.when(long, F.col("place") - F.col("before")).otherwise(F.col("place")).alias("start"),
-        F.when(long, F.col("place") + gram + F.col("after")).otherwise(F.col("place") - F.col("size")).alias("end"),
+        F.when(own, F.col("n_words")).alias("n_words"),
+        F.when(counts, F.col("item_id")).alias("item_id"),
+        F.when(counts, F.struct(first.alias("start"), end.alias("end"))).alias("span"),
     )
 
 
+def benchmark_spans(documents: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """The distinct meetings of documents and items: doc_id, text_key, item_id, first and end word place."""
+    key = ["doc_id", "text_key", "item_id"]
+    met = _meetings(documents, benchmark, span, gram).groupBy(*key).agg(F.collect_set("span").alias("spans"))
+    return met.select(*key, F.inline("spans"))
+
+
 def decontaminate(documents: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """A row per document: n_words, the hit word spans (merged), n_hit, sorted item_ids, contaminated."""
-    key = ["doc_id", "text_key"]
-    n_words = F.size(F.regexp_extract_all(text_or_empty(), F.lit(RAW_WORD), F.lit(0)))
-    base = documents.select("doc_id", text_key().alias("text_key"), n_words.alias("n_words"))
-    met = benchmark_spans(documents, benchmark, span, gram).select(*key, F.struct("start", "end").alias("span"), F.col("item_id").cast("string").alias("item"), F.lit(None).cast("int").alias("n_words"), F.lit(0).alias("rows"))
-    own = base.select(*key, F.lit(None).cast("struct<start:int,end:int>").alias("span"), F.lit(None).cast("string").alias("item"), "n_words", F.lit(1).alias("rows"))
-    met = met.withColumn("span", F.col("span").cast("struct<start:int,end:int>"))
-    out = own.unionByName(met).groupBy(*key).agg(
+    met = _meetings(documents, benchmark, span, gram)
+    out = met.groupBy("doc_id", "text_key").agg(
         F.max("n_words").alias("n_words"),
-        F.sum("rows").alias("rows"),
+        F.count("n_words").alias("rows"),
         F.array_sort(F.collect_set("span")).alias("found"),
-        F.array_sort(F.collect_set("item")).alias("items"),
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
     start = F.array().cast("array<struct<start:int,end:int>>")
 

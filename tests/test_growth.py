@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from cellweave.functions.distance import free_divergence
+from cellweave.llm import decontaminate
 from cellweave.operators import atac, pileup, report, trim
 
 
@@ -110,3 +111,28 @@ def test_trimming_and_distance_are_worked_out_once(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("ArrowEvalPython") == 1
         assert df.count() == 1
+
+
+def test_documents_are_read_once_against_few_items(spark, tmp_path, monkeypatch):
+    words = "a b c d e f g h i j k l m n o p q r s t u v w x y z".split()
+    texts = ["", None, "A b C", " ".join(words), "q " + " ".join(words[3:15]) + " q", " ".join(words[:9]), "x y z x y z", " ".join(words[3:12]) + " c"]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/docs")
+    items = [("long", " ".join(words[2:20])), ("short", "x, Y z"), (None, "b C"), ("none", None), ("five", "a b c d e")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    documents = spark.read.parquet(f"{tmp_path}/docs")
+    few = decontaminate.decontaminate(documents, benchmark)
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    spans = decontaminate.benchmark_spans(documents, benchmark)
+    columns = ["doc_id", "n_words", "spans", "n_hit", "items", "contaminated"]
+    ways = []
+    for most in (decontaminate.BROADCAST_ROWS, 0):  # looked up in place, and shuffled
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", most)
+        out = decontaminate.decontaminate(documents, benchmark)
+        met = decontaminate.benchmark_spans(documents, benchmark)
+        ways.append([sorted(map(repr, df.collect())) for df in (out.select(columns), met)])
+    assert ways[0] == ways[1]
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in few.collect()}
+    assert got == {0: (0, 0, []), 1: (0, 0, []), 2: (3, 2, []), 3: (26, 23, ["five", "long", "short"]), 4: (14, 12, ["long"]), 5: (9, 5, ["five"]), 6: (6, 6, ["short"]), 7: (10, 0, [])}
+    assert few.count() == 9
+    assert {r.doc_id for r in spans.where("item_id = 'long'").collect()} == {3, 4}
