@@ -50,6 +50,8 @@ SIGN_COST, REPEAT_COST, LOST_COST = 1.0, 0.5, 8.0
 #: Of a mark or blank: left out of a word, ending one. Between single letters a word rather goes on.
 DROP_COST, END_COST = (0.5, 0.1), (0.0, 1.5)
 _WORDS = re.compile(r"[^\W\d_]+").findall
+#: Latin-1 bytes that are no letters become blanks.
+_LATIN = bytes(c if _WORDS(chr(c)) else 32 for c in range(256))
 _PLAIN = re.compile(r"[^\W\d_]*").fullmatch
 _RUN = re.compile(r"([^\W\d_])\1\1").search
 _TWICE = re.compile(r"([^\W\d_])\1").search
@@ -64,6 +66,14 @@ _MAYBE_SPACED = re.compile(rf"{_APART}{_SINGLE}{_APART}+{_SINGLE}(?![^\W_])").se
 _BLANKS = re.compile(rf"{_APART}+").sub
 
 
+def letter_runs(text: str) -> list[str]:
+    """What ``_WORDS`` finds; texts of Latin-1 letters are cut without a pattern."""
+    try:
+        return text.encode("latin-1").translate(_LATIN).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORDS(text)
+
+
 @dataclass
 class CharModel:
     """Costs (negative natural logarithms) of a character after two others; index 0 is a word end."""
@@ -175,6 +185,7 @@ class Restorer:
 
     def __init__(self, model: CharModel, of: Callable[[Iterable[str]], Iterable[str]] = tuple, most: int = 700_000, known: Iterable[str] = ()):
         self.decode, self.of, self.most, self.seen, self.known = Decoder(model), of, most, {}, frozenset(known)
+        self.firsts = frozenset(w[:i] for w in self.known for i in range(1, len(w)))
 
     def word(self, word: str) -> list[str]:
         """Readings of letters."""
@@ -198,12 +209,12 @@ class Restorer:
 
     def pieces(self, text: str) -> Iterator[str]:
         """Known words that stand in two pieces."""
-        words = _WORDS(text)
-        joined = list(map(str.__add__, words, words[1:]))
-        hits = self.known.intersection(joined)
-        if not hits:
-            return
-        for a, b in {(a, b): None for a, b, word in zip(words, words[1:], joined) if word in hits}:  # noqa: B905
+        words = letter_runs(text)
+        # Only a word that begins a known one is joined to the next.
+        at = [i for i, word in enumerate(words[:-1], 1) if word in self.firsts]
+        pairs = {(words[i - 1], words[i]): None for i in at if words[i - 1] + words[i] in self.known}
+        hits = {a + b for a, b in pairs}
+        for a, b in pairs:
             if a + b in hits and a + b in self.decode(f"{a} {b}"):
                 hits -= {a + b}
                 yield a + b

@@ -248,3 +248,19 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, SF)
     assert none.count() == 0
+
+
+def test_words_in_two_pieces_and_letter_runs():
+    rng = random.Random(5)
+    signs = "".join(map(chr, range(256)))
+    for extra in ("", "абв", "ǅ²"):
+        for _ in range(300):
+            text = "".join(rng.choices(signs + "abcdefgh " * 20 + extra * 30, k=80))
+            assert toxicity.letter_runs(text) == toxicity._WORDS(text)
+    chars = toxicity.CharModel("diot", np.log(np.full((5, 5, 5), 5.0)))
+    restorer = toxicity.Restorer(chars, known=["idiot", "toto"])
+    assert restorer.firsts == {"i", "id", "idi", "idio", "t", "to", "tot"}
+    text = "an id iot, to to id iot id. iot toto"
+    words = toxicity._WORDS(text)
+    read = {a + b for a, b in zip(words, words[1:], strict=False) if a + b in restorer.known and a + b in restorer.decode(f"{a} {b}")}
+    assert read and sorted(restorer.pieces(text)) == sorted(read)
