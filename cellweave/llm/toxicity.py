@@ -30,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,11 @@ def letter_runs(text: str) -> list[str]:
         return _WORDS(text)
 
 
+@lru_cache(maxsize=4)
+def beginnings(words: frozenset[str]) -> frozenset[str]:
+    return frozenset(w[:i] for w in words for i in range(1, len(w)))
+
+
 @dataclass
 class CharModel:
     """Costs (negative natural logarithms) of a character after two others; index 0 is a word end."""
@@ -185,7 +191,6 @@ class Restorer:
 
     def __init__(self, model: CharModel, of: Callable[[Iterable[str]], Iterable[str]] = tuple, most: int = 700_000, known: Iterable[str] = ()):
         self.decode, self.of, self.most, self.seen, self.known = Decoder(model), of, most, {}, frozenset(known)
-        self.firsts = frozenset(w[:i] for w in self.known for i in range(1, len(w)))
 
     def word(self, word: str) -> list[str]:
         """Readings of letters."""
@@ -209,9 +214,9 @@ class Restorer:
 
     def pieces(self, text: str) -> Iterator[str]:
         """Known words that stand in two pieces."""
-        words = letter_runs(text)
+        words, firsts = letter_runs(text), beginnings(self.known)
         # Only a word that begins a known one is joined to the next.
-        at = [i for i, word in enumerate(words[:-1], 1) if word in self.firsts]
+        at = [i for i, word in enumerate(words[:-1], 1) if word in firsts]
         pairs = {(words[i - 1], words[i]): None for i in at if words[i - 1] + words[i] in self.known}
         hits = {a + b for a, b in pairs}
         for a, b in pairs:
