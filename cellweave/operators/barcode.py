@@ -67,8 +67,11 @@ def prefix_map(
 
 def i5_of(name: Column) -> Column:
     """The i5 index: after '+' in the last ':' field of the last word of the read name."""
-    word = F.element_at(F.split(F.trim(name), r"\s+"), -1)
-    return F.split_part(F.element_at(F.split(word, ":"), -1), F.lit("+"), F.lit(2))
+    field = F.trim(name)
+    # What follows the last ':' or white space; a pattern costs more than the rest of the slicing.
+    for mark in ": \t\n\x0b\f\r":
+        field = F.substring_index(field, mark, -1)
+    return F.split_part(field, F.lit("+"), F.lit(2))
 
 
 def _pick(options: Sequence[int], shift: Column) -> Column:

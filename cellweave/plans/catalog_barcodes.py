@@ -10,7 +10,7 @@ from cellweave.lineage import cut
 from cellweave.operators import barcode, report, trim
 from cellweave.plans import demultiplex
 from cellweave.plans import views as V
-from cellweave.plans.catalog import ALN, CFG, RDP, SBC, WL1, WL2, WL3, _r, _register
+from cellweave.plans.catalog import ALN, CFG, RDP, SBC, WL1, WL2, WL3, _r, _register, _stored
 from cellweave.plans.views import dna
 
 FAS = V.oracle_text(V.FASTA)
@@ -94,7 +94,8 @@ _TAGGED = f"""{_STATUS},
 
 
 def _whitelists(spark, sf):
-    return [V.view(spark, sf, w) for w in (V.WHITELIST1, V.WHITELIST2, V.WHITELIST3)]
+    # Made from whole tables, they would be made again for each join.
+    return [_stored(spark, sf, w) for w in (V.WHITELIST1, V.WHITELIST2, V.WHITELIST3)]
 
 
 def _sliced(spark, sf, max_d=1):
@@ -114,19 +115,22 @@ def _sample_size(spark, sf):
     return spark.read.parquet(f"{sf}/orders.parquet").count() // 3
 
 
-def _parsed(spark, sf):
-    """(sliced, corrected, tagged) of the reads, stored once as a trimmed library would be."""
+def _parsed(spark, sf, *unused):
+    """(sliced, corrected, tagged) of the reads, stored once as a trimmed library would be.
+
+    Spark prunes no column of what is stored: columns that a query has no use for are named, not made, and null.
+    """
     index = demultiplex.build_index(_whitelists(spark, sf), CFG)
-    reads = cut(V.view(spark, sf, V.READ_PAIR))
+    reads = cut(V.view(spark, sf, V.READ_PAIR).drop(*unused)).withColumns({c: F.lit(None).cast("string") for c in unused})
     return demultiplex.parse_library(reads, index, CFG, "LIB1.")
 
 
 def _corrected(spark, sf):
-    return _parsed(spark, sf)[1]
+    return _parsed(spark, sf, "name2", "seq2", "qual1", "qual2")[1]
 
 
-def _tagged(spark, sf):
-    return _parsed(spark, sf)[2]
+def _tagged(spark, sf, *unused):
+    return _parsed(spark, sf, "name2", "qual2", *unused)[2]
 
 
 _WLS = f"select substring({dna('cast(s_suppkey as string)')}, 1, 6) as barcode from supplier group by 1"
@@ -227,12 +231,12 @@ def status_counts(spark, sf):
 
 @_register("tagged_reads", f"with {_TAGGED} select ordinal, tag, cell_barcode, umi, seq1, qual1 from fin")
 def tagged_reads(spark, sf):
-    return _tagged(spark, sf).select("ordinal", "tag", "cell_barcode", "umi", "seq1", "qual1")
+    return _tagged(spark, sf, "seq2").select("ordinal", "tag", "cell_barcode", "umi", "seq1", "qual1")
 
 
 @_register("tag_counts", f"with {_TAGGED} select tag, cast(count(*) as bigint) as reads from fin group by 1")
 def tag_counts(spark, sf):
-    return barcode.tag_counts(_tagged(spark, sf))
+    return barcode.tag_counts(_tagged(spark, sf, "seq2", "qual1"))
 
 
 @_register(
@@ -240,7 +244,7 @@ def tag_counts(spark, sf):
     f"with {_TAGGED} select ordinal, '@' || tag || '_' || cell_barcode || ':' || umi || ':' || substring(split_part(name1, ' ', 1), 2) as name from fin",
 )
 def packed_names(spark, sf):
-    return _tagged(spark, sf).select("ordinal", barcode.packed_name("name1").alias("name"))
+    return _tagged(spark, sf, "seq2", "qual1").select("ordinal", barcode.packed_name("name1").alias("name"))
 
 
 @_register(
@@ -256,7 +260,7 @@ def packed_names(spark, sf):
       {{'key': '--ATAC_valid', 'value': a / n}}, {{'key': '--RNA_valid', 'value': r / n}}, {{'key': '--Undetermined_valid', 'value': w / n}}], recursive := true) from n, t)""",
 )
 def barcode_run_stats(spark, sf):
-    _, corrected, tagged = _parsed(spark, sf)
+    _, corrected, tagged = _parsed(spark, sf, "name2", "seq2", "qual1", "qual2")
     stats = barcode.run_stats(corrected, tagged)
     return stats.withColumn("value", _r("value", 9))
 
@@ -282,7 +286,7 @@ def quality_summary(spark, sf):
         from fin left join ({SBC}) s on s.bc = fin.bc2 group by 1""",
 )
 def sample_shares(spark, sf):
-    sampled = barcode.with_sample(_tagged(spark, sf), V.view(spark, sf, V.SAMPLE_BC))
+    sampled = barcode.with_sample(_tagged(spark, sf, "seq2", "qual1"), V.view(spark, sf, V.SAMPLE_BC))
     return barcode.sample_shares(sampled).withColumn("share", _r("share", 9))
 
 
@@ -291,7 +295,7 @@ def sample_shares(spark, sf):
     f"""with {_TAGGED} select bc2, cast(count(*) as bigint) as reads, round(count(*) / (select count(*) from fin), 9) as share from fin group by 1""",
 )
 def barcode_shares(spark, sf):
-    return barcode.sample_shares(_tagged(spark, sf), "bc2").withColumn("share", _r("share", 9))
+    return barcode.sample_shares(_tagged(spark, sf, "seq2", "qual1"), "bc2").withColumn("share", _r("share", 9))
 
 
 @_register(
@@ -300,7 +304,7 @@ def barcode_shares(spark, sf):
         where not (fin.tag = 'A' and length(fin.seq2) + 1 < 20) group by 1, 2""",
 )
 def split_modalities(spark, sf):
-    sampled = barcode.with_sample(_tagged(spark, sf), V.view(spark, sf, V.SAMPLE_BC))
+    sampled = barcode.with_sample(_tagged(spark, sf, "qual1"), V.view(spark, sf, V.SAMPLE_BC))
     return barcode.split_modalities(sampled, CFG).groupBy("sample", "tag").agg(F.count("*").alias("reads"))
 
 

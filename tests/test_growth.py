@@ -1,12 +1,14 @@
 """Joins that must not grow with the square of a table, nor go whole through the driver."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from cellweave.functions.distance import free_divergence
 from cellweave.llm import decontaminate
-from cellweave.operators import atac, pileup, report, trim
+from cellweave.operators import atac, barcode, pileup, report, trim
+from cellweave.plans import catalog_barcodes
 
 
 def test_kmer_reference_is_not_broadcast(spark, tmp_path):
@@ -136,3 +138,40 @@ def test_documents_are_read_once_against_few_items(spark, tmp_path, monkeypatch)
     assert got == {0: (0, 0, []), 1: (0, 0, []), 2: (3, 2, []), 3: (26, 23, ["five", "long", "short"]), 4: (14, 12, ["long"]), 5: (9, 5, ["five"]), 6: (6, 6, ["short"]), 7: (10, 0, [])}
     assert few.count() == 9
     assert {r.doc_id for r in spans.where("item_id = 'long'").collect()} == {3, 4}
+
+
+def test_read_parsing_stores_whitelists_and_the_columns_it_uses(spark, tmp_path, monkeypatch):
+    tables = {
+        "orders": ([(i, 7 * i, "FOP"[i % 3], f"{i % 5}-X") for i in range(300)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"),
+        "part": ([(i, 1 + i % 50) for i in range(100)], "p_partkey bigint, p_size int"),
+        "nation": ([(i, i % 5) for i in range(25)], "n_nationkey int, n_regionkey int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    stored, store = [], catalog_barcodes.cut
+    monkeypatch.setattr(catalog_barcodes, "cut", lambda df: stored.append(df.columns) or store(df))
+    counts = catalog_barcodes.split_modalities(spark, str(tmp_path))
+    assert stored == [["ordinal", "name1", "seq1", "seq2"]]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "o_orderpriority" not in plan and "p_size" not in plan and "n_regionkey" in plan  # the samples, read once
+    tagged = catalog_barcodes.tagged_reads(spark, str(tmp_path))  # the clipped qualities are made where they are returned
+    assert stored[1:] == [["ordinal", "name1", "seq1", "qual1"]]
+    kept = tagged.collect()
+    assert kept and all(len(r.seq1) == len(r.qual1) > 0 for r in kept)
+    assert sum(r.reads for r in counts.collect()) == len(kept)  # no second mate is short, and every barcode has a sample
+
+
+def test_index_of_a_name_needs_no_pattern(spark):
+    words = ["@r1 1:N:0:AA+CC", "@r1:2:AA+CC", "a+b", "x:a+b y", "x:a+b y+z+w", "a\tb:c+d", "a:b+c\td+e", "a:b+c\t", " a:b+c  ", "a b:", "+", ":+", "",
+             "   ", "a:b\x0bc+d", "a:b\nc+d:e+f\r", "a:b\fc+d", "a:é+ü", "a\u00a0b:c+d\u00a0e"]
+    names = spark.createDataFrame([(w,) for w in [*words, None]], "name string")
+    got = {r.name: r.i5 for r in names.select("name", barcode.i5_of(F.col("name")).alias("i5")).collect()}
+
+    def plain(name):
+        field = re.split(r"[ \t\n\x0b\f\r]+", name.strip(" "))[-1].split(":")[-1].split("+")
+        return field[1] if len(field) > 1 else ""
+
+    assert got == {**{w: plain(w) for w in words}, None: None}
+    plan = names.select(barcode.i5_of(F.col("name")))._jdf.queryExecution().optimizedPlan().toString()
+    assert r"\s" not in plan
