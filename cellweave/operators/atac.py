@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cellweave.lineage import cut
 from cellweave.operators.intervals import bin_of, overlap_join, point_join
@@ -15,6 +20,8 @@ FLANK = 2000  # bases kept on each side of a TSS
 SMOOTH = 50
 LONG = 8192  # bases of the longest region that meets its fragments in one bin
 TASK_PAIRS = 1 << 22  # pairs of a bin that a task of ``count_regions`` looks through
+CHUNK = 14  # bits of the places of TSS that are packed together
+CELLS, ROWS, MANY = 128, 1 << 13, 64  # cells and rows that are counted at a time; TSS from which an end is counted by itself
 
 
 def qc_reads(reads: DataFrame) -> DataFrame:
@@ -80,11 +87,11 @@ def tss_insertions(reads: DataFrame, tss: DataFrame, by: Sequence[str] = ("cell_
     """(*by, offset, n): what ``insertion_histogram`` counts over ``tss_pairs``, without a row per read and TSS.
 
     Equal ends and equal TSS are counted before they meet, so an end meets at most one row per base of the window,
-    however many TSS and reads there are.
+    however many TSS and reads there are. With ``by`` the ends of a group go to one task, which has all TSS, and are
+    counted there: no row per end and TSS, or per offset, is shuffled.
     """
     at = F.floor((F.col("start") + F.col("end")) / 2).cast("bigint")
     centres = tss.select("chrom", at.alias("tss")).where(F.col("tss") > -2 * FLANK).groupBy("chrom", "tss").agg(F.count("*").alias("_m"))
-    spans = centres.select("chrom", "_m", (F.col("tss") - FLANK).alias("w_start"), (F.col("tss") + FLANK - 1).alias("w_end"))
     size = F.abs(F.col("tlen"))
     good = qc_reads(reads).where(size - 9 < 1000)
     if "read_end" in reads.columns:
@@ -92,9 +99,134 @@ def tss_insertions(reads: DataFrame, tss: DataFrame, by: Sequence[str] = ("cell_
     else:
         good = good.where(F.col("pos") >= 0)
     ends = good.select("chrom", *by, F.explode(F.array(F.col("pos") + 4, F.col("pos") + size - 5)).alias("_at"))
-    ends = ends.groupBy("chrom", *by, "_at").agg(F.count("*").alias("_n"))
+    if by:
+        return _insertions_by(ends, centres, by)
+    spans = centres.select("chrom", "_m", (F.col("tss") - FLANK).alias("w_start"), (F.col("tss") + FLANK - 1).alias("w_end"))
+    ends = ends.groupBy("chrom", "_at").agg(F.count("*").alias("_n"))
     met = point_join(ends, spans, ["chrom"], "_at", ("w_start", "w_end"), 2 * FLANK)
-    return met.groupBy(*by, (F.col("_at") - F.col("w_start")).alias("offset")).agg(F.sum(F.col("_n") * F.col("_m")).alias("n"))
+    return met.groupBy((F.col("_at") - F.col("w_start")).alias("offset")).agg(F.sum(F.col("_n") * F.col("_m")).alias("n"))
+
+
+def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chrom, TSS and how often each stands) to (chrom, bytes): steps from TSS to TSS, and the numbers."""
+    for batch in batches:
+        of, data = batch.column("_all"), []
+        bounds, flat = of.offsets.to_numpy(), of.values
+        tss, m = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("tss", "_m"))
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            order = np.argsort(tss[a:b])
+            data.append(zlib.compress(np.diff(tss[a:b][order], prepend=0).tobytes() + m[a:b][order].tobytes()))
+        yield pa.RecordBatch.from_arrays([batch.column("chrom"), pa.array(data, pa.binary())], ["chrom", "_data"])
+
+
+class _Centres:
+    """The TSS of all contigs: 16 bytes each."""
+
+    def __init__(self, packed: list[tuple[str, bytes]]):
+        parts: dict[str, list[np.ndarray]] = {}
+        for chrom, data in packed:
+            steps, m = np.frombuffer(zlib.decompress(data), np.int64).reshape(2, -1)
+            parts.setdefault(chrom, []).append(np.stack([np.cumsum(steps), m]))
+        none = [np.zeros((2, 0), np.int64)]
+        self.bounds: dict[str, tuple[int, int]] = {}
+        joined, at = none, 0
+        for chrom in parts:
+            own = np.concatenate(sorted(parts[chrom], key=lambda x: x[0, 0]), axis=1)
+            self.bounds[chrom] = (at, at + own.shape[1])
+            joined, at = [*joined, own], at + own.shape[1]
+        self.tss, self.m = np.concatenate(joined, axis=1)
+
+    def near(self, chroms: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and past the last TSS whose windows hold each place."""
+        codes = chroms.dictionary_encode()
+        number, first, past = codes.indices.to_numpy(zero_copy_only=False), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        for i, chrom in enumerate(codes.dictionary.to_pylist()):
+            a, b = self.bounds.get(chrom, (0, 0))
+            here = np.flatnonzero(number == i)
+            first[here] = a + np.searchsorted(self.tss[a:b], at[here] - FLANK + 2)
+            past[here] = a + np.searchsorted(self.tss[a:b], at[here] + FLANK, "right")
+        return first, past
+
+    def add(self, sums: np.ndarray, cell: np.ndarray, at: np.ndarray, n: np.ndarray, first: np.ndarray, past: np.ndarray) -> None:
+        """Count ``n`` at each end's offsets in its cell's row of ``sums``."""
+        met = past - first
+        for i in np.flatnonzero(met >= MANY):
+            near = slice(first[i], past[i])
+            sums[cell[i]][at[i] + FLANK - self.tss[near]] += n[i] * self.m[near]  # no TSS stands twice, so no offset does
+        few = np.flatnonzero((met > 0) & (met < MANY))
+        met = met[few]
+        end = np.repeat(few, met)
+        near = np.arange(len(end)) + np.repeat(first[few] - (np.cumsum(met) - met), met)
+        np.add.at(sums, (cell[end], at[end] + FLANK - self.tss[near]), n[end] * self.m[near])
+
+
+def _changes(columns: Iterable[pa.Array], n: int) -> np.ndarray:
+    """Which of the ``n`` rows differ from the row before; the first one does."""
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for column in columns:
+        codes = pc.dictionary_encode(column, null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return new
+
+
+def _insertions_by(ends: DataFrame, centres: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(*by, offset, n) of ``ends`` (chrom, *by, _at) around ``centres`` (chrom, tss, _m).
+
+    Ends are dealt by group; the TSS go packed to each task, ahead of them. Sorted ends pass by and a few groups'
+    counts are held at a time, so a task holds the TSS and no more, however many groups and ends it has.
+    """
+    tasks = int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = centres.where(F.col("chrom").isNotNull()).groupBy("chrom", F.shiftright("tss", CHUNK).alias("_chunk")).agg(F.collect_list(F.struct("tss", "_m")).alias("_all"))
+    packed = lists.select("chrom", "_all").mapInArrow(_packed, "chrom string, _data binary")
+    marks = packed.withColumn("_task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    rows = ends.where(F.col("chrom").isNotNull() & F.col("_at").isNotNull()).withColumn("_task", F.pmod(F.xxhash64(*by), F.lit(tasks)).cast("int"))
+    dealt = rows.unionByName(marks, allowMissingColumns=True).repartitionById(tasks, "_task").drop("_task")
+    dealt = dealt.sortWithinPartitions(F.col("_data").isNull(), *by, "chrom", "_at")
+    names = [*by, "offset", "n"]
+
+    def out(groups: list[pa.Array], sums: np.ndarray) -> pa.RecordBatch:
+        row, offset = np.nonzero(sums)
+        return pa.RecordBatch.from_arrays([*[c.take(pa.array(row)) for c in groups], pa.array(offset), pa.array(sums[row, offset])], names)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, centres, held, last = [], None, None, None  # the group under way: its row of ``by`` and its counts
+        for batch in batches:
+            ahead = batch.num_rows - batch.column("_data").null_count
+            marks += zip(batch.column("chrom")[:ahead].to_pylist(), batch.column("_data")[:ahead].to_pylist(), strict=True)
+            if ahead == batch.num_rows:
+                continue
+            if centres is None:
+                centres, marks = _Centres(marks), []
+            batch = batch.slice(ahead)
+            group = _changes([batch.column(c) for c in by], batch.num_rows)
+            new = group | _changes([batch.column("chrom"), batch.column("_at")], batch.num_rows)
+            # Equal ends of a group stand together: a row for each, and how many there are.
+            begin = np.flatnonzero(new)
+            n = np.diff(begin, append=batch.num_rows)
+            number = np.cumsum(group)[begin] - 1
+            batch = batch.take(pa.array(begin))
+            at = batch.column("_at").to_numpy()
+            first, past = centres.near(batch.column("chrom"), at)
+            a = 0
+            while a < len(at):
+                b = min(a + ROWS, int(np.searchsorted(number, number[a] + CELLS)))
+                part, own = slice(a, b), number[a:b] - number[a]
+                sums = np.zeros((own[-1] + 1, 2 * FLANK - 1), np.int64)
+                centres.add(sums, own, at[part], n[part], first[part], past[part])
+                rows = pa.array(a + np.flatnonzero(np.diff(own, prepend=-1)))
+                groups = [batch.column(c).take(rows) for c in by]
+                if held is not None and all(x[0].as_py() == y[0].as_py() for x, y in zip(held, groups, strict=True)):
+                    sums[0] += last
+                elif held is not None:
+                    yield out(held, last[None])
+                yield out([c[:-1] for c in groups], sums[:-1])
+                held, last, a = [c[-1:] for c in groups], sums[-1].copy(), b
+        if held is not None:
+            yield out(held, last[None])
+
+    fields = [*[StructField(c, ends.schema[c].dataType) for c in by], StructField("offset", LongType()), StructField("n", LongType())]
+    return dealt.mapInArrow(count, StructType(fields))
 
 
 def tss_scores(reads: DataFrame, tss: DataFrame) -> DataFrame:

@@ -36,6 +36,31 @@ def test_tss_insertions_count_equal_ends_and_centres_once(spark):
     }
 
 
+def test_tss_insertions_of_cells_are_counted_in_one_task(spark, monkeypatch):
+    rng = random.Random(8)
+    schema = "chrom string, cell_barcode string, pos bigint, tlen bigint, is_unmapped boolean, mapq int, is_reverse boolean"
+    cell = lambda: rng.choice(["x", None, *(f"c{i}" for i in range(9))])
+    rows = [(rng.choice(["c", "d", "e", None]), cell(), rng.randrange(-3000, 40_000), rng.randrange(-1200, 1200), False, 60, False) for _ in range(600)]
+    reads = spark.createDataFrame(rows + rows[:200] * 3, schema)
+    close = [("c", s, s + 1) for s in range(15_000, 19_000, 5)]  # more than MANY in a window
+    apart = [(c, s, s + 2) for c in ("c", "d", "f", None) for s in [-4100, -3990, -60, *range(0, 40_000, 997)]]
+    tss = spark.createDataFrame(close + apart * 2, "chrom string, start bigint, end bigint")
+    plain = {tuple(r) for r in atac.insertion_histogram(atac.tss_pairs(reads, tss)).collect()}
+    assert len(plain) > 10_000
+    plan = atac.tss_insertions(reads, tss)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan.split("MapInArrow")[0]  # nothing is shuffled behind the counts
+    monkeypatch.setattr(atac, "CELLS", 2)
+    monkeypatch.setattr(atac, "ROWS", 7)
+    for rows_a_batch in ("10000", "5"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
+        try:
+            got = [tuple(r) for r in atac.tss_insertions(reads, tss).collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(got) == len(plain) and set(got) == plain
+    assert atac.tss_insertions(reads, tss.where("false")).collect() == []
+
+
 def test_region_counts_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch):
     frags = [("c", s, s + n, f"x{i % 3}") for i, s in enumerate(range(-40, 9000, 37)) for n in (0, 1, 60, 700)] * 2
     frags += [("c", None, 5, "x0"), ("d", 3, 9, None), (None, 1, 9, "x0")]
