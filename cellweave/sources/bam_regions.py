@@ -111,20 +111,25 @@ def _blocks_from(f, at: int) -> Iterator[tuple[int, bytes]]:
         at += len(raw) + 16
 
 
-def _range(f, contigs: list[str], first: int, last: int) -> tuple[pa.RecordBatch, int]:
-    """The records from place ``first`` to ``last`` and how many blocks were read for them."""
-    data, begin, n = bytearray(), [], 0
+def _range(f, contigs: list[str], first: int, last: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """The records from place ``first`` to ``last``, some blocks' at a time, and how many blocks were read for them."""
+    data, past, skip, stop, n = bytearray(), 0, first & 0xFFFF, None, 0
     for at, block in _blocks_from(f, first >> 16):
-        begin.append((at, len(data)))
+        if at == last >> 16:
+            stop = past + len(data) + (last & 0xFFFF)
         data += block
         n += 1
-        if at < last >> 16:
+        if stop is None and n < BLOCKS:
             continue
-        start = next(b for a, b in begin if a == last >> 16) + (last & 0xFFFF)
-        if start + 4 <= len(data) and start + 4 + struct.unpack_from("<i", data, start)[0] <= len(data):
-            break
-    starts, _ = bgzf.record_starts(bytes(data), first & 0xFFFF)
-    return bgzf.decode(bytes(data), [s for s in starts if s <= start], contigs), n
+        held = bytes(data)
+        starts, end = bgzf.record_starts(held, skip)
+        if starts:
+            yield bgzf.decode(held, [s for s in starts if stop is None or past + s <= stop], contigs), n
+            n = 0
+        if stop is not None and past + end > stop:
+            return
+        data, past, skip = bytearray(held[end:]), past + end, 0
+    raise ValueError("the last record of a range is missing: the index is of another file")
 
 
 def fetch_reads(spark: SparkSession, index: str, regions: DataFrame, blocks_read=None) -> DataFrame:
@@ -132,6 +137,8 @@ def fetch_reads(spark: SparkSession, index: str, regions: DataFrame, blocks_read
 
     A join with the regions themselves stays to the caller. ``blocks_read``, an accumulator, adds up the blocks read.
     A range begins at its first window's first record; reads that also overlap an earlier range belong to that one.
+    Ranges are dealt to as many tasks as the session shuffles to, and read some blocks at a time: what a task holds does
+    not grow with the depth of its ranges.
     """
     last = F.shiftright(F.greatest("end", F.col("start") + 1) - 1, WINDOW)
     wanted = regions.select("chrom", F.explode(F.sequence(F.shiftright(F.greatest("start", F.lit(0)), WINDOW), last)).alias("window"))
@@ -157,14 +164,15 @@ def fetch_reads(spark: SparkSession, index: str, regions: DataFrame, blocks_read
                             if bgzf.header_end(head) is not None:
                                 break
                         contigs[row["path"]] = [n for n, _ in bgzf.references(head)]
-                    records, n = _range(f, contigs[row["path"]], row["first"], row["last"])
-                if blocks_read is not None:
-                    blocks_read.add(n)
-                begin = records.column("pos").to_numpy()
-                end = begin + np.maximum(bgzf.cigar_spans(records.column("cigar").to_pylist()), 1)
-                mine = (begin >> WINDOW > row["before"]) & (begin >> WINDOW <= row["high"]) & ((end - 1) >> WINDOW >= row["low"])
-                same = np.array([c == row["chrom"] for c in records.column("reference_name").to_pylist()], bool)
-                yield records.filter(pa.array(mine & same))
-
-    spread = ranges.repartition(F.xxhash64("path", "chrom", "run"))
+                    for records, n in _range(f, contigs[row["path"]], row["first"], row["last"]):
+                        if blocks_read is not None:
+                            blocks_read.add(n)
+                        begin = records.column("pos").to_numpy()
+                        end = begin + np.maximum(bgzf.cigar_spans(records.column("cigar").to_pylist()), 1)
+                        mine = (begin >> WINDOW > row["before"]) & (begin >> WINDOW <= row["high"]) & ((end - 1) >> WINDOW >= row["low"])
+                        same = np.array([c == row["chrom"] for c in records.column("reference_name").to_pylist()], bool)
+                        yield records.filter(pa.array(mine & same))
+
+    # Ranges are a few numbers each, so their size says nothing about the work: the number of tasks is named.
+    spread = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "chrom", "run")
     return with_alignment_columns(spread.mapInArrow(read, bgzf.RECORD_SCHEMA))

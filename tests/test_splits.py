@@ -212,6 +212,24 @@ def test_regions_read_their_blocks_only(spark, tmp_path):
     assert 0 < read.value < blocks / 3
 
 
+def test_deep_regions_are_read_some_blocks_at_a_time(spark, tmp_path):
+    blank = alignment_rows(1)[0].asDict() | {"flag": 0, "reference_name": "hg_1", "cigar": "50M", "seq": "A" * 50, "qual": "I" * 50}
+    rows = [Row(**blank | {"qname": f"C:U:{i}", "pos": 100 + i // 40}) for i in range(4000)]
+    (tmp_path / "a.bam").write_bytes(bam_bytes(rows, 3_000, [("hg_1", 50_000)]))
+    bam_regions.index_bam(spark, str(tmp_path / "a.bam"), str(tmp_path / "index"))
+    place = spark.read.parquet(str(tmp_path / "index")).first()
+    with open(tmp_path / "a.bam", "rb") as f:
+        parts = [records.num_rows for records, _ in bam_regions._range(f, ["hg_1"], place["first"], place["last"])]
+    assert sum(parts) == 4000 and max(parts) < 2000
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        near = bam_regions.fetch_reads(spark, str(tmp_path / "index"), spark.createDataFrame([("hg_1", 0, 9)], "chrom string, start bigint, end bigint"))
+        assert near.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert near.count() == 4000
+
+
 def test_commands_on_bam(spark, tmp_path):
     """Labelled BAM files, an index, and mutations straight from alignments."""
     from cellweave.__main__ import main
