@@ -104,6 +104,61 @@ def test_pileup_shuffles_blocks_not_bases(spark, tmp_path, monkeypatch):
     assert {k: v for k, v in ((((r.chrom, r.pos)), tuple(r)) for r in mixed.collect()) if k[1] <= 400} == {k: v for k, v in whole.items() if k[1] <= 400}
 
 
+def _pileup_by_hand(reads, text):
+    """{place: (depth, tokens, qualities, names)}, base by base."""
+    sites = {}
+    for name, flag, _, pos, mapq, cigar, seq, qual in reads:
+        back, at, base = bool(flag & 16), pos, 0
+        items = [(int(n), op) for n, op in re.findall(r"(\d+)([MIDS])", cigar)]
+        ends = [i for i, (_, op) in enumerate(items) if op in "MD"]
+        cased = lambda x: x.lower() if back else x  # noqa: B023, E731
+        for i, (n, op) in enumerate(items):
+            after, kind = items[i + 1] if i + 1 < len(items) else (0, "")
+            for k in range(n if op in "MD" else 0):
+                p, here = at + k, max(base - 1, 0) if op == "D" else base + k
+                own = "~" if qual == "*" else qual[here]
+                same = op == "M" and seq[here] == text[p] != "N"
+                token = "*" if op == "D" else ("," if back else ".") if same else cased(seq[here])
+                token = f"^{chr(min(mapq, 93) + 33)}{token}" if p == pos and op == "M" else token
+                if k == n - 1 and op == "M" and kind == "I":
+                    token += f"+{after}{cased(seq[base + n : base + n + after])}"
+                if k == n - 1 and op == "M" and kind == "D" and name is not None:
+                    token += f"-{after}{cased(text[p + 1 : p + 1 + after])}"
+                token += "$" if k == n - 1 and i == ends[-1] else ""
+                if ord(own) - 33 >= 13:
+                    sites.setdefault((p + 1, text[p]), []).append((pos, name is not None, name or "", flag, token, own))
+            at, base = at + n * (op in "MD"), base + n * (op in "MIS")
+    return {k: (len(v), "".join(r[4] for r in sorted(v)), "".join(r[5] for r in sorted(v)), ",".join(r[2] for r in sorted(v) if r[1])) for k, v in sites.items()}
+
+
+def test_pileup_spreads_blocks_in_arrays(spark, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice("ACGTN") for _ in range(600))
+    rows = []
+    for i in range(500):
+        pos, cigar = rng.choice([rng.randrange(560), rng.randrange(100, 110)]), rng.choice(["20M", "8M2I10M", "8M3D12M", "3S17M", "4M6D2M1I13M", "2D18M2S", "1M1D1M1D18M"])
+        seq = "".join(rng.choice(["A", "C", "G", "T", text[min(pos + k, 599)], text[min(pos + k, 599)]]) for k in range(20))
+        qual = rng.choice(["*", "".join(rng.choice("&*5I") for _ in range(20))])
+        rows.append((rng.choice([None, "r1", f"q{i}"]), rng.choice([0, 16]), "c", pos, rng.choice([0, 60, 255]), cigar, seq, qual))
+    rows += rows[:50] + [(*r[:6], r[6][::-1], r[7]) for r in rows[:50]]  # equal names and starts
+    reads = spark.createDataFrame(rows, "qname string, flag int, reference_name string, pos bigint, mapq int, cigar string, seq string, qual string")
+    genome = spark.createDataFrame([("c", k, text[k : k + 32]) for k in range(0, 600, 32)], "chrom string, offset bigint, seq string")
+    want = _pileup_by_hand(rows, text)
+    for room, chunk in ((1 << 19, 32), (40, 32), (40, 128), (700, 128)):
+        monkeypatch.setattr(pileup, "BASES", room)
+        out = pileup.pileup_rows(reads, genome, chunk=chunk)
+        got = [tuple(r) for r in out.collect()]
+        assert len(got) == len(want) and {(r[1], r[2]): r[3:] for r in got} == want
+    # No row per base behind the join with the contig: neither spread nor grouped as rows.
+    above = out._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert "Generate" not in above and "Aggregate" not in above
+    single = {}
+    for r in pileup.pileup_reads(reads, genome, chunk=128).collect():
+        single.setdefault((r.pos, r.ref), []).append((r.token, r.qual))
+    assert {k: len(v) for k, v in single.items()} == {k: v[0] for k, v in want.items()}
+    assert all(sorted("".join(t for t, _ in v)) == sorted(want[k][1]) for k, v in single.items())
+
+
 def test_adapter_search_aligns_only_reads_that_may_match(monkeypatch):
     rng, aligned, align = random.Random(3), [], trim._align_adapter3
     monkeypatch.setattr(trim, "_align_adapter3", lambda seqs, adapter: aligned.append(len(seqs)) or align(seqs, adapter))
